@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from marquee.functions.text import csv_list
 from marquee.functions.weights import BLEND_WEIGHTS, UNLISTED_ITEM_LEVEL, UNLISTED_USER_LEVEL, maturity_level
 
 
@@ -20,7 +21,7 @@ def genre_bonus(affinity_sum: Column) -> Column:
 def available_in(region: Column, available_regions: Column, strict: bool = False) -> Column:
     """Region guardrail. The default is a substring test on the list; ``strict`` compares elements."""
     if strict:
-        listed = F.transform(F.split(available_regions, ","), F.trim)
+        listed = csv_list(available_regions)
         return F.array_contains(listed, region) | F.array_contains(listed, F.lit("GLOBAL"))
     return F.contains(available_regions, region) | F.contains(available_regions, F.lit("GLOBAL"))
 

@@ -49,7 +49,7 @@ def tokens(text: Column, stop_words: tuple[str, ...] | None = None) -> Column:
 
 def csv_list(column: Column) -> Column:
     """Trimmed elements of a comma-separated string."""
-    return F.transform(F.split(column, ","), F.trim)
+    return F.transform(F.split(column, ","), lambda one: F.trim(one))
 
 
 def corpus_text() -> Column:

@@ -1,28 +1,32 @@
 """TF-IDF cosine similarity between texts, best neighbours per text.
 
-Exact without comparing all texts:
+Exact, and no pair of texts ever becomes a row:
 
 1. Copies (same bag of tokens) are folded into one vector that stands for its members.
-2. Vectors meet on terms of at most ``common_df`` vectors. That gives part of each dot product and,
-   per vector, a lower bound on its ``top_k``-th best similarity.
-3. The part from common terms is at most the product of the two common-term norms. Pairs that cannot
-   reach the bound are dropped; the rest get their common-term part added.
-4. A pair that shares common terms only is at most the same product. Only vectors whose bound that
-   can still reach are looked up through their common terms.
+2. Vectors are cut into blocks of bounded size, similar ones together (by their heaviest terms).
+3. Each block finds the best matches among its own vectors, which gives every vector a bound.
+4. Two blocks meet in one task. Their dot products are added up term by term in a small dense array,
+   and only matches that reach the bound leave the task, at most ``top_k`` per vector.
 5. Neighbours of a vector are unfolded to member texts, smallest ids first.
+
+A term or a group of copies that covers much of the corpus makes no task larger: tasks are cut by
+vectors, not by terms.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from marquee.functions.blocks import MATCHES, matches_across, matches_within
 from marquee.functions.text import corpus_text, tokens
-from marquee.session import materialize
+from marquee.session import materialize, spread
 
-COMMON_DF = 1000
-# Scores are ranked at six decimals, so a bound has to miss by more than one unit to rule a pair out.
-SLACK = 1.5e-6
+# Vectors and postings per block: two blocks and the array of their dot products fit in a task.
+BLOCK_VECTORS = 2048
+BLOCK_POSTINGS = 2_000_000
 
 
 def active_items(items: DataFrame) -> DataFrame:
@@ -70,7 +74,7 @@ def _fold_copies(corpus: DataFrame, stop_words: tuple[str, ...] | None) -> tuple
     Numbers sort like the smallest member id. Texts without tokens have a NULL digest and no vector.
     """
     bag = tokens(F.col("text"), stop_words)
-    digest = F.when(F.size("bag") > 0, F.sha2(F.concat_ws(" ", F.array_sort("bag")), 256))
+    digest = F.when(F.size("bag") > 0, F.sha2(F.concat_ws(" ", F.sort_array("bag")), 256))
     texts = materialize(corpus.withColumn("bag", bag).select("item_id", digest.alias("digest")), "content-texts")
     vectors = (
         texts.filter(F.col("digest").isNotNull())
@@ -81,109 +85,68 @@ def _fold_copies(corpus: DataFrame, stop_words: tuple[str, ...] | None) -> tuple
     return texts, materialize(vectors, "content-vectors")
 
 
-def _weights(corpus: DataFrame, vectors: DataFrame, stop_words: tuple[str, ...] | None, common_df: int) -> DataFrame:
-    """(v, term, w, common, common_norm): unit weights of the distinct vectors."""
+def _vectors_with_weights(
+    corpus: DataFrame, vectors: DataFrame, stop_words: tuple[str, ...] | None
+) -> DataFrame:
+    """(v, postings): unit weights of each distinct vector as an array of (w, term), heaviest first."""
     chosen = vectors.select(F.col("first_id").alias("item_id"), "v", "copies")
-    counts = term_counts(corpus.join(chosen, "item_id"), stop_words, keep=("v", "copies"))
+    counts = materialize(
+        term_counts(corpus.join(chosen, "item_id"), stop_words, keep=("v", "copies")), "content-terms"
+    )
     n_docs = corpus.agg(F.count("*")).scalar()
-    frequency = counts.groupBy("term").agg(F.sum("copies").alias("df"), (F.count("*") > common_df).alias("common"))
-    per_vector = Window.partitionBy("v")
-    square = F.col("raw") * F.col("raw")
+    frequency = counts.groupBy("term").agg(F.sum("copies").alias("df"))
+    numbered = materialize(
+        frequency.withColumn("t", F.monotonically_increasing_id()).withColumn("idf", idf(F.col("df"), n_docs)),
+        "content-vocabulary",
+    )
+    raw = counts.join(numbered, "term").select("v", "t", (F.col("tf") * F.col("idf")).alias("raw"))
     return (
-        counts.join(frequency, "term")
-        .withColumn("raw", F.col("tf") * idf(F.col("df"), n_docs))
-        .withColumn("norm", F.sqrt(F.sum(square).over(per_vector)))
-        .withColumn("common_square", F.sum(F.when(F.col("common"), square).otherwise(0.0)).over(per_vector))
+        raw.groupBy("v").agg(
+            F.sort_array(F.collect_list(F.struct("raw", "t")), asc=False).alias("heaviest"),
+            F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("norm"),
+        )
         .select(
-            "v", "term", (F.col("raw") / F.col("norm")).alias("w"), "common",
-            (F.sqrt("common_square") / F.col("norm")).alias("common_norm"),
+            "v",
+            F.transform("heaviest", lambda one: one["t"]).alias("terms"),
+            F.transform("heaviest", lambda one: one["raw"] / F.col("norm")).alias("weights"),
         )
     )
 
 
-def _directed(pairs: DataFrame) -> DataFrame:
-    both = F.array(
-        F.struct(F.col("a").alias("x"), F.col("b").alias("y"), "dot"),
-        F.struct(F.col("b").alias("x"), F.col("a").alias("y"), "dot"),
-    )
-    return pairs.select(F.inline(both))
-
-
-def _kth_best(directed: DataFrame, top_k: int) -> DataFrame:
-    """(x, bound): the ``top_k``-th largest dot product, only for vectors that have that many."""
-    window = Window.partitionBy("x").orderBy(F.col("dot").desc())
-    return (
-        directed.withColumn("n", F.row_number().over(window)).filter(F.col("n") <= top_k)
-        .filter(F.col("n") == top_k).select("x", F.col("dot").alias("bound"))
-    )
+def _cut_into_blocks(vectors: DataFrame, block_vectors: int) -> tuple[DataFrame, int]:
+    """Vectors with a ``block`` number. Blocks follow the heaviest terms, so likely neighbours share one;
+    the vector number splits a term that is heaviest in too many vectors."""
+    vectors = materialize(vectors, "content-weights")
+    size = vectors.agg(F.count("*").alias("n"), F.sum(F.size("terms")).alias("postings")).first()
+    blocks = max(1, math.ceil(size["n"] / block_vectors), math.ceil((size["postings"] or 0) / BLOCK_POSTINGS))
+    order = [F.get("terms", F.lit(0)), F.get("terms", F.lit(1)), F.col("v")]
+    cut = vectors.repartitionByRange(blocks, *order).withColumn("block", F.spark_partition_id())
+    return materialize(cut, "content-blocks"), blocks
 
 
-def _with_bound(rows: DataFrame, bounds: DataFrame, key: str, name: str) -> DataFrame:
-    renamed = bounds.select(F.col("x").alias(key), F.col("bound").alias(name))
-    return rows.join(renamed, key, "left").withColumn(name, F.coalesce(name, F.lit(0.0)))
+def _similar_vectors(vectors: DataFrame, top_k: int, block_vectors: int) -> DataFrame:
+    """(x, y, score): at least the ``top_k`` best y of every x with positive score."""
+    vectors, blocks = _cut_into_blocks(vectors, block_vectors)
+    within = vectors.groupBy("block").applyInPandas(matches_within(top_k), MATCHES)
+    if blocks == 1:
+        return within
+    within = materialize(within, "content-within")
 
-
-def _common_part(pairs: DataFrame, common: DataFrame) -> DataFrame:
-    """Dot product over common terms for the given pairs."""
-    left = common.select(F.col("v").alias("a"), "term", F.col("w").alias("w_a"))
-    right = common.select(F.col("v").alias("b"), "term", F.col("w").alias("w_b"))
-    return (
-        pairs.select("a", "b").join(left, "a").join(right, ["b", "term"])
-        .groupBy("a", "b").agg(F.sum(F.col("w_a") * F.col("w_b")).alias("common_dot"))
-    )
-
-
-def _similar_vectors(weights: DataFrame, top_k: int) -> DataFrame:
-    """(x, y, dot) that contains the ``top_k`` best y of every x, ties at the sixth decimal included."""
-    rare = weights.filter(~F.col("common"))
-    left = rare.select("term", F.col("v").alias("a"), F.col("w").alias("w_a"), F.col("common_norm").alias("h_a"))
-    right = rare.select("term", F.col("v").alias("b"), F.col("w").alias("w_b"), F.col("common_norm").alias("h_b"))
-    pairs = (
-        left.join(right, "term").filter("a < b")
-        .groupBy("a", "b")
-        .agg(
-            F.sum(F.col("w_a") * F.col("w_b")).alias("dot"),
-            F.max("h_a").alias("h_a"),
-            F.max("h_b").alias("h_b"),
-        )
-    )
-    common = weights.filter("common")
-    if common.isEmpty():
-        return _directed(pairs)
-
-    pairs = materialize(pairs, "content-pairs")
-    bounds = materialize(_kth_best(_directed(pairs), top_k), "content-bounds")
-    reach = F.col("dot") + F.col("h_a") * F.col("h_b") + SLACK
-    hopeful = (
-        _with_bound(_with_bound(pairs, bounds, "a", "bound_a"), bounds, "b", "bound_b")
-        .filter(reach >= F.least("bound_a", "bound_b"))
-        .select("a", "b", "dot")
-    )
-    hopeful = materialize(hopeful, "content-hopeful")
-    exact = (
-        hopeful.join(_common_part(hopeful, common), ["a", "b"], "left")
-        .select("a", "b", (F.col("dot") + F.coalesce("common_dot", F.lit(0.0))).alias("dot"))
-    )
-    exact = materialize(_directed(exact), "content-exact")
-
-    bounds = _kth_best(exact, top_k)
-    largest = common.agg(F.max("common_norm")).scalar()
-    open_terms = (
-        _with_bound(common.withColumnRenamed("v", "x"), bounds, "x", "bound")
-        .filter(F.col("common_norm") * largest + SLACK >= F.col("bound"))
-        .select("x", "term", F.col("w").alias("w_x"), F.col("common_norm").alias("h_x"), "bound")
-    )
-    others = common.select(F.col("v").alias("y"), "term", F.col("w").alias("w_y"), F.col("common_norm").alias("h_y"))
-    by_common_terms = (
-        open_terms.join(others, "term")
-        .filter((F.col("x") != F.col("y")) & (F.col("h_x") * F.col("h_y") + SLACK >= F.col("bound")))
-        .groupBy("x", "y")
-        .agg(F.sum(F.col("w_x") * F.col("w_y")).alias("dot"), F.max("bound").alias("bound"))
-        .filter(F.col("dot") + SLACK >= F.col("bound"))
-        .select("x", "y", "dot")
+    bounds = within.groupBy("x").agg(F.count("*").alias("n"), F.min("score").alias("bound"))
+    bounded = vectors.join(
+        bounds.filter(F.col("n") >= top_k).select(F.col("x").alias("v"), "bound"), "v", "left"
+    ).withColumn("bound", F.coalesce("bound", F.lit(0.0)))
+    partner = F.explode(F.filter(F.sequence(F.lit(0), F.lit(blocks - 1)), lambda other: other != F.col("block")))
+    across = (
+        bounded.withColumn("partner", partner)
+        .withColumn("low", F.least("block", "partner"))
+        .withColumn("high", F.greatest("block", "partner"))
+        .drop("partner")
+        .repartition(blocks * (blocks - 1) // 2, "low", "high")
+        .groupBy("low", "high")
+        .applyInPandas(matches_across(top_k), MATCHES)
     )
-    # A pair found both ways has its full dot product in ``exact``, which is the larger one.
-    return exact.unionByName(by_common_terms).groupBy("x", "y").agg(F.max("dot").alias("dot"))
+    return within.unionByName(across)
 
 
 def _first_members(texts: DataFrame, vectors: DataFrame, limit: int) -> DataFrame:
@@ -198,17 +161,20 @@ def _first_members(texts: DataFrame, vectors: DataFrame, limit: int) -> DataFram
 
 
 def similar_texts(
-    corpus: DataFrame, top_k: int = 8, stop_words: tuple[str, ...] | None = None, common_df: int = COMMON_DF
+    corpus: DataFrame,
+    top_k: int = 8,
+    stop_words: tuple[str, ...] | None = None,
+    block_vectors: int = BLOCK_VECTORS,
 ) -> DataFrame:
     """(item_id, matches): per text its best other texts as a sorted array of (neighbor, score) with
     positive score, NULL or empty when there is none."""
+    corpus = spread(corpus)
     texts, vectors = _fold_copies(corpus, stop_words)
-    weights = materialize(_weights(corpus, vectors, stop_words, common_df), "content-weights")
+    weights = _vectors_with_weights(corpus, vectors, stop_words)
 
-    score = F.round(F.least(F.col("dot"), F.lit(1.0)), 6)
     best_first = Window.partitionBy("x").orderBy(F.col("score").desc(), "y")
     best = (
-        _similar_vectors(weights, top_k).select("x", "y", score.alias("score")).filter("score > 0")
+        _similar_vectors(weights, top_k, block_vectors)
         .withColumn("n", F.row_number().over(best_first)).filter(F.col("n") <= top_k)
         .select("x", "y", "score")
     )

@@ -56,3 +56,14 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores on an input of few large files; an input with enough splits is left alone."""
+    wanted = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df
+
+
+def place_joins_by_user(spark: SparkSession) -> None:
+    """Let a join on (user, title) use rows that are already placed by user, instead of moving them."""
+    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
