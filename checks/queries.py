@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 from datetime import timedelta
 
@@ -16,7 +17,7 @@ from marquee.operators import choice, content, covisit, features, rates, trendin
 from marquee.operators import ranking as R
 from marquee.plans import recommend as P
 from marquee.plans import train as T
-from marquee.session import fresh_path, materialize
+from marquee.session import fresh_path, materialize, prepare
 from marquee.sources import archive, events
 from marquee.sources import star_schema as S
 from marquee.streaming import ingest as I
@@ -29,7 +30,12 @@ SQL: dict[str, str] = {}
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def register(function: Query) -> Query:
-        QUERIES[name] = function
+        @functools.wraps(function)
+        def run(spark: SparkSession, root: str) -> DataFrame:
+            prepare(spark)
+            return function(spark, root)
+
+        QUERIES[name] = run
         if sql is not None:
             SQL[name] = statement(sql)
         return function

@@ -27,6 +27,7 @@ from marquee.session import materialize, spread
 # Vectors and postings per block: two blocks and the array of their dot products fit in a task.
 BLOCK_VECTORS = 2048
 BLOCK_POSTINGS = 2_000_000
+MOST_TASKS = 20_000
 
 
 def active_items(items: DataFrame) -> DataFrame:
@@ -142,7 +143,7 @@ def _similar_vectors(vectors: DataFrame, top_k: int, block_vectors: int) -> Data
         .withColumn("low", F.least("block", "partner"))
         .withColumn("high", F.greatest("block", "partner"))
         .drop("partner")
-        .repartition(blocks * (blocks - 1) // 2, "low", "high")
+        .repartition(min(blocks * (blocks - 1) // 2, MOST_TASKS), "low", "high")
         .groupBy("low", "high")
         .applyInPandas(matches_across(top_k), MATCHES)
     )

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from marquee.operators import candidates as C
 from marquee.operators import ranking as R
-from marquee.session import place_joins_by_user
 
 
 @dataclass
@@ -60,10 +59,9 @@ def scored_candidates(
     """Candidates that passed all guardrails, with components, blend and reason.
 
     One shuffle, by user, carries the candidates; merging, normalising, the watched list, profile, taste
-    and both rankings use that placement (see ``place_joins_by_user``). Watched titles count for the
-    normalisation and are dropped after it.
+    and both rankings use that placement (with the settings of ``session.prepare``). Watched titles count
+    for the normalisation and are dropped after it.
     """
-    place_joins_by_user(tables.users.sparkSession)
     profile = tables.users.select("user_id", "region", F.col("maturity_rating").alias("user_rating"))
     unwatched = R.unwatched(C.normalized(merged_candidates(tables, **session)), tables.watched)
     with_profile = R.with_known_titles(unwatched).join(profile, "user_id")

@@ -15,15 +15,11 @@ def build_session(app_name: str = "marquee", master: str | None = None, **conf:
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    settings = {
-        "spark.sql.session.timeZone": "UTC",
-        "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.skewJoin.enabled": "true",
-        **conf,
-    }
-    for key, value in settings.items():
+    for key, value in conf.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    prepare(spark)
+    return spark
 
 
 def workspace(spark: SparkSession) -> str:
@@ -64,6 +60,13 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df
 
 
-def place_joins_by_user(spark: SparkSession) -> None:
-    """Let a join on (user, title) use rows that are already placed by user, instead of moving them."""
+def prepare(spark: SparkSession) -> None:
+    """Settings that the jobs rely on, for a session that was built elsewhere.
+
+    Times are UTC, and a join on (user, title) may use rows that are already placed by user instead of
+    moving them again.
+    """
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
