@@ -17,6 +17,7 @@ from marquee.operators import choice, content, covisit, features, rates, trendin
 from marquee.operators import ranking as R
 from marquee.plans import recommend as P
 from marquee.plans import train as T
+from marquee.plans.features import user_features
 from marquee.session import fresh_path, materialize, prepare
 from marquee.sources import archive, events
 from marquee.sources import star_schema as S
@@ -79,11 +80,11 @@ def recent(spark, root, limit=20):
 
 
 def serving(spark, root) -> P.ServingTables:
-    items, model, per_title = S.items(spark, root), trained(spark, root), summary(spark, root)
+    items, model = S.items(spark, root), trained(spark, root)
+    stored = shared("features", spark, root, lambda: user_features(S.interactions(spark, root), items))
     return P.ServingTables(
-        users=S.users(spark, root), items=items, recent=recent(spark, root),
-        watched=features.watched_items(per_title), affinity=features.genre_affinity(per_title, items),
-        neighbors=model.neighbors, trending=model.trending,
+        users=S.users(spark, root), items=items, recent=stored.recent, watched=stored.watched,
+        affinity=stored.affinity, neighbors=model.neighbors, trending=model.trending,
     )
 
 
