@@ -19,6 +19,8 @@ from marquee.session import materialize
 
 PAIR_LIMIT = 500
 LARGE_USER_SPLITS = 32
+# Up to this many titles a row of two numbers per title is broadcast (16 MB); beyond it the sort does all.
+FLOOR_ITEMS = 1_000_000
 
 
 def engaged_events(events: DataFrame) -> DataFrame:
@@ -94,9 +96,8 @@ def _large_user_edges(visits: DataFrame, classes: DataFrame, overlaps: DataFrame
         classes.withColumn("n", F.row_number().over(in_class)).filter(F.col("n") <= top_k + 1)
         .select(F.col("class").alias("class_b"), F.col("item").alias("b"), F.col("users").alias("users_b"))
     )
-    per_class = Window.partitionBy("class_a").orderBy(
-        (F.col("overlap") * F.col("overlap") / F.col("users_b")).desc(), "b"
-    )
+    rank = F.col("overlap") * F.col("overlap") / F.col("users_b")
+    per_class = Window.partitionBy("class_a").orderBy(rank.desc(), "b")
     lists = (
         overlaps.join(best, "class_b")
         .withColumn("n", F.row_number().over(per_class)).filter(F.col("n") <= top_k + 1)
@@ -108,6 +109,26 @@ def _large_user_edges(visits: DataFrame, classes: DataFrame, overlaps: DataFrame
     return sources.join(lists, "class_a").filter("a <> b").withColumn("shared", F.lit(0).cast("long"))
 
 
+def _rank():
+    return F.col("shared") * F.col("shared") / F.col("users_b")
+
+
+def _above_floor(edges: DataFrame, top_k: int) -> DataFrame:
+    """Drop edges that cannot be among the ``top_k`` of their title, before anything is sorted.
+
+    The floor of a title is the largest power of two that at least ``top_k`` of its edges reach. It is
+    found by counting, and with one (number, floor) row per title it is small enough to broadcast.
+    """
+    steps = [2.0**-i for i in range(-4, 28)]
+    reached = [F.sum((_rank() >= step).cast("int")).alias(f"reach_{i}") for i, step in enumerate(steps)]
+    floor = F.lit(0.0)
+    for i in reversed(range(len(steps))):
+        floor = F.when(F.col(f"reach_{i}") >= top_k, F.lit(steps[i])).otherwise(floor)
+    floors = edges.groupBy("a").agg(*reached).select("a", floor.alias("floor"))
+    floors = materialize(floors, "covisit-floors")
+    return edges.join(F.broadcast(floors), "a").filter(_rank() >= F.col("floor")).drop("floor")
+
+
 def covisit_edges(visits: DataFrame, top_k: int = 8, pair_limit: int = PAIR_LIMIT) -> DataFrame:
     """Best neighbours of every title: shared users, users of both sides and the cosine.
 
@@ -120,7 +141,8 @@ def covisit_edges(visits: DataFrame, top_k: int = 8, pair_limit: int = PAIR_LIMI
     numbered = visits.join(numbers, "item_id").select("user_id", "item", "users")
 
     if large.isEmpty():
-        edges = _mirror(_small_user_pairs(numbered, ("users",)), ("users",))
+        pairs = materialize(_small_user_pairs(numbered, ("users",)), "covisit-pairs")
+        edges = _mirror(pairs, ("users",))
     else:
         large = materialize(large, "covisit-large-users")
         large_visits = materialize(numbered.join(large, "user_id", "left_semi"), "covisit-large-visits")
@@ -134,15 +156,15 @@ def covisit_edges(visits: DataFrame, top_k: int = 8, pair_limit: int = PAIR_LIMI
         )
         sides = ("users_a", "users_b", "class_a", "class_b")
         merged = both.groupBy("a", "b").agg(F.sum("shared").alias("shared"), *[F.first(c).alias(c) for c in sides])
-        edges = merged.join(overlaps, ["class_a", "class_b"], "left").withColumn(
-            "shared", F.col("shared") + F.coalesce("overlap", F.lit(0))
-        )
-
-    window = Window.partitionBy("a").orderBy((F.col("shared") * F.col("shared") / F.col("users_b")).desc(), "b")
-    best = (
-        edges.select("a", "b", "shared", "users_a", "users_b")
-        .withColumn("n", F.row_number().over(window)).filter(F.col("n") <= top_k)
-    )
+        shared = (F.col("shared") + F.coalesce("overlap", F.lit(0))).alias("shared")
+        edges = merged.join(overlaps, ["class_a", "class_b"], "left").select("a", "b", shared, "users_a", "users_b")
+        edges = materialize(edges, "covisit-edges")
+
+    edges = edges.select("a", "b", "shared", "users_a", "users_b")
+    if numbers.count() <= FLOOR_ITEMS:
+        edges = _above_floor(edges, top_k)
+    window = Window.partitionBy("a").orderBy(_rank().desc(), "b")
+    best = edges.withColumn("n", F.row_number().over(window)).filter(F.col("n") <= top_k)
     sources = numbers.select(F.col("item").alias("a"), F.col("item_id").alias("source_item_id"))
     targets = numbers.select(F.col("item").alias("b"), F.col("item_id").alias("neighbor_item_id"))
     return best.join(sources, "a").join(targets, "b").select(

@@ -22,7 +22,7 @@ def encode(events: DataFrame) -> DataFrame:
 
 def _number(name: str) -> Column:
     """A missing, null or empty number is 0; text that is no number gives NULL."""
-    raw = F.trim(F.col(f"message.{name}"))
+    raw = F.trim(F.col(name))
     return F.when(raw.isNull() | (raw == ""), F.lit(0.0)).otherwise(raw.try_cast("double"))
 
 
@@ -34,17 +34,18 @@ def decode(messages: DataFrame) -> DataFrame:
     schema = T.StructType([*EVENT_MESSAGE.fields, T.StructField("_corrupt", T.StringType())])
     text = F.col("value").cast("string")
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
+    # The generator keeps the parse a step of its own, so it runs once per message and not once per
+    # column that is read from it.
     parsed = messages.select(
-        text.alias("value"), F.from_json(text, schema, options).alias("message")
+        text.alias("value"), F.inline(F.array(F.from_json(text, schema, options)))
     ).select(
-        "value",
-        *[F.col(f"message.{name}").alias(name) for name in ("event_id", "user_id", "item_id", "event_type")],
+        "value", "event_id", "user_id", "item_id", "event_type",
         _number("watch_seconds").try_cast("int").alias("watch_seconds"),
         _number("completion_pct").alias("completion_pct"),
-        *[F.col(f"message.{name}").alias(name) for name in ("region", "device_type")],
-        F.try_to_timestamp(F.col("message.event_ts")).alias("event_ts"),
-        F.col("message._corrupt").isNotNull().alias("corrupt"),
-        F.col("message.event_ts").alias("stamp"),
+        "region", "device_type",
+        F.try_to_timestamp("event_ts").alias("event_ts"),
+        F.col("_corrupt").isNotNull().alias("corrupt"),
+        F.col("event_ts").alias("stamp"),
     )
     problem = F.when(F.col("corrupt") | F.col("value").isNull(), "malformed")
     for name in REQUIRED:

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marquee.session import spread
+
 
 def table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root}/{name}.parquet")
@@ -38,17 +40,15 @@ def items(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def _customers(spark: SparkSession, root: str) -> DataFrame:
-    return (
-        table(spark, root, "customer")
-        .join(table(spark, root, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-        .join(table(spark, root, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+def _with_region(spark: SparkSession, root: str, customers: DataFrame) -> DataFrame:
+    return customers.join(table(spark, root, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).join(
+        table(spark, root, "region"), F.col("n_regionkey") == F.col("r_regionkey")
     )
 
 
 def users(spark: SparkSession, root: str) -> DataFrame:
     grade = F.col("c_custkey") % 5
-    return _customers(spark, root).select(
+    return _with_region(spark, root, table(spark, root, "customer")).select(
         _padded("u", "c_custkey").alias("user_id"),
         F.col("r_name").alias("region"),
         F.lit("en").alias("preferred_language"),
@@ -61,9 +61,10 @@ def interactions(spark: SparkSession, root: str) -> DataFrame:
     """Interactions from the event table. Keys below 5 are titles that left the catalog."""
     key = F.get_json_object("props", "$.k")
     kind = F.col("event_type")
+    log = spread(table(spark, root, "events")).withColumnRenamed("user_id", "c_key")
+    with_customer = log.join(table(spark, root, "customer"), F.col("c_key") == F.col("c_custkey"))
     return (
-        table(spark, root, "events").withColumnRenamed("user_id", "c_key")
-        .join(_customers(spark, root).select("c_custkey", "r_name"), F.col("c_key") == F.col("c_custkey"))
+        _with_region(spark, root, with_customer)
         .select(
             F.col("event_id").cast("string").alias("event_id"),
             _padded("u", "c_key").alias("user_id"),
@@ -86,7 +87,7 @@ def interactions(spark: SparkSession, root: str) -> DataFrame:
 def baskets(spark: SparkSession, root: str) -> DataFrame:
     """Who bought which part, as (user_id, item_id) over the whole order history."""
     return (
-        table(spark, root, "lineitem")
+        spread(table(spark, root, "lineitem"))
         .join(table(spark, root, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         .select(_padded("u", "o_custkey").alias("user_id"), _padded("m", "l_partkey").alias("item_id"))
     )
