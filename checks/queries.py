@@ -654,7 +654,7 @@ def ingested(spark, root) -> str:
         sent = events.encode(S.interactions(spark, root))
         files = _message_files(spark, root, "messages", sent.unionByName(sent).orderBy(F.xxhash64("value")))
         out = fresh_path(spark, "ingest")
-        messages = I.read_files(spark, files, files_per_batch=2)
+        messages = I.read_files(spark, files, files_per_batch=3)
         I.finish(I.ingest(spark, messages, S.items(spark, root), out, trigger={"availableNow": True}))
         return out
 

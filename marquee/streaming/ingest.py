@@ -2,7 +2,7 @@
 
 Three queries read the same messages, each with its own checkpoint:
 
-* ``archive`` stores usable messages by hour, ``quarantine`` the unusable ones (plain file sinks).
+* ``archive`` stores usable messages by hour, ``quarantine`` the unusable ones.
 * ``facts`` keeps the first message per event id, forever, with the seen ids in a RocksDB state store,
   so a batch costs its own size and not the size of the history. Each batch writes its facts and, from
   these, a small summary per feature.
@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from marquee.operators import features
-from marquee.sources.archive import ARCHIVE_SCHEMA, HOUR_PARTS, with_hour_parts
+from marquee.sources.archive import write_archive
 from marquee.sources.events import decode, quarantined, usable
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -101,11 +101,18 @@ def merge_feature(name: str, parts: DataFrame) -> DataFrame:
     raise ValueError(f"unknown feature {name}")
 
 
+def _archive_batch(paths: Paths):
+    def write(batch: DataFrame, batch_id: int) -> None:
+        write_archive(batch, f"{paths.archive}/batch_id={batch_id}", mode="overwrite")
+
+    return write
+
+
 def _write_batch(items: DataFrame, paths: Paths):
     def write(batch: DataFrame, batch_id: int) -> None:
         target = f"{paths.facts}/batch_id={batch_id}"
         (
-            batch.withColumn("event_date", F.to_date("event_ts"))
+            batch.withColumn("event_date", F.to_date("event_ts")).hint("rebalance", "event_date")
             .write.mode("overwrite").partitionBy("event_date").parquet(target)
         )
         schema = T.StructType([*batch.schema.fields, T.StructField("event_date", T.DateType())])
@@ -132,9 +139,8 @@ def ingest(
     events = usable(decoded)
 
     archive = (
-        with_hour_parts(events).select(*ARCHIVE_SCHEMA.fieldNames())
-        .writeStream.queryName("archive").format("json").partitionBy(*HOUR_PARTS)
-        .option("checkpointLocation", paths.checkpoint("archive")).trigger(**trigger).start(paths.archive)
+        events.writeStream.queryName("archive").foreachBatch(_archive_batch(paths))
+        .option("checkpointLocation", paths.checkpoint("archive")).trigger(**trigger).start()
     )
     quarantine = (
         quarantined(decoded)
