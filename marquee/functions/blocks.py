@@ -13,6 +13,7 @@ _MILLION = 1_000_000
 # terms with many as columns of dense matrices, the rest one by one.
 _FEW, _MANY = 256, 5_000
 _DENSE_COLUMNS = 512
+_PRODUCTS_AT_ONCE = 2_000_000
 
 
 def _postings(block: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -55,8 +56,8 @@ def _dot_products(left: pd.DataFrame, right: pd.DataFrame) -> np.ndarray:
         ls, rs = slice(l_start[i], l_start[i] + l_count[i]), slice(r_start[i], r_start[i] + r_count[i])
         dots[np.ix_(l_rows[ls], r_rows[rs])] += np.outer(l_weights[ls], r_weights[rs])
 
-    small = np.flatnonzero(products < _FEW)
-    if len(small):
+    few = np.flatnonzero(products < _FEW)
+    for small in np.array_split(few, 1 + int(products[few].sum()) // _PRODUCTS_AT_ONCE):
         term = np.repeat(small, products[small])
         nth = np.arange(len(term)) - np.repeat(np.cumsum(products[small]) - products[small], products[small])
         at_left = l_start[term] + nth // r_count[term]
