@@ -2,23 +2,11 @@
 
 from __future__ import annotations
 
-import functools
 import re
-import zipfile
-from pathlib import Path
 
-import pyspark
+from marquee.functions.text import STOP_WORDS
 
-from marquee.functions.text import english_stop_words
-
-
-@functools.cache
-def _stop_list() -> str:
-    jar = next(Path(pyspark.__file__).parent.glob("jars/spark-mllib_*.jar"))
-    with zipfile.ZipFile(jar) as archive:
-        base = archive.read("org/apache/spark/ml/feature/stopwords/english.txt").decode().split("\n")
-    quoted = ("'" + word.replace("'", "''") + "'" for word in english_stop_words(base))
-    return ", ".join(quoted)
+_STOP_LIST = ", ".join(f"'{word}'" for word in STOP_WORDS)
 
 
 def _case(column: str, table: dict[str, str], other: str) -> str:
@@ -215,4 +203,4 @@ def statement(select: str) -> str:
     collect(select)
     parts = [f"{name} AS ({CTES[name]})" for name in CTES if name in needed]
     text = ("WITH " + ",\n".join(parts) + "\n" if parts else "") + select
-    return text.replace("{STOP}", _stop_list())
+    return text.replace("{STOP}", _STOP_LIST)

@@ -2,48 +2,39 @@
 
 from __future__ import annotations
 
-import functools
-
-from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Fixed value: a token is a run of at least two word characters.
 TOKEN_PATTERN = r"[\p{L}\p{N}_]{2,}"
 
-# The words by which the usual information-retrieval stop list of 318 English words
-# differs from the list that ships with Spark.
-NOT_STOPPED = ("did", "does", "doing", "don", "having", "just", "ought", "theirs")
-ALSO_STOPPED = """
-across afterwards almost alone along already also although always among amongst amoungst amount another
-anyhow anyone anything anyway anywhere around back became become becomes becoming beforehand behind beside
-besides beyond bill bottom call cant co con couldnt cry de describe detail done due eg eight either eleven
-else elsewhere empty enough etc even ever every everyone everything everywhere except fifteen fifty fill find
-fire first five former formerly forty found four front full get give go hasnt hence hereafter hereby herein
-hereupon however hundred ie inc indeed interest keep last latter latterly least less ltd made many may
-meanwhile might mill mine moreover mostly move much must name namely neither never nevertheless next nine
-nobody none noone nothing nowhere often one onto others otherwise part per perhaps please put rather re see
-seem seemed seeming seems serious several show side since sincere six sixty somehow someone something sometime
-sometimes somewhere still system take ten thence thereafter thereby therefore therein thereupon thick thin
-third though three throughout thru thus together top toward towards twelve twenty two un upon us via well
-whatever whence whenever whereafter whereas whereby wherein whereupon wherever whether whither whoever whole
-whose within without yet
-""".split()
-
-
-def english_stop_words(base: list[str]) -> list[str]:
-    return sorted({word for word in base if word not in NOT_STOPPED} | set(ALSO_STOPPED))
-
-
-@functools.cache
-def default_stop_words() -> tuple[str, ...]:
-    return tuple(english_stop_words(StopWordsRemover.loadDefaultStopWords("english")))
+# The usual information-retrieval stop list of English words.
+STOP_WORDS = tuple("""
+a about above across after afterwards again against all almost alone along already also although always am among
+amongst amoungst amount an and another any anyhow anyone anything anyway anywhere are around as at back be became
+because become becomes becoming been before beforehand behind being below beside besides between beyond bill both
+bottom but by call can cannot cant co con could couldnt cry de describe detail do done down due during each eg
+eight either eleven else elsewhere empty enough etc even ever every everyone everything everywhere except few
+fifteen fifty fill find fire first five for former formerly forty found four from front full further get give go
+had has hasnt have he hence her here hereafter hereby herein hereupon hers herself him himself his how however
+hundred i ie if in inc indeed interest into is it its itself keep last latter latterly least less ltd made many
+may me meanwhile might mill mine more moreover most mostly move much must my myself name namely neither never
+nevertheless next nine no nobody none noone nor not nothing now nowhere of off often on once one only onto or
+other others otherwise our ours ourselves out over own part per perhaps please put rather re same see seem
+seemed seeming seems serious several she should show side since sincere six sixty so some somehow someone
+something sometime sometimes somewhere still such system take ten than that the their them themselves then
+thence there thereafter thereby therefore therein thereupon these they thick thin third this those though three
+through throughout thru thus to together too top toward towards twelve twenty two un under until up upon us very
+via was we well were what whatever when whence whenever where whereafter whereas whereby wherein whereupon
+wherever whether which while whither who whoever whole whom whose why will with within without would yet you your
+yours yourself yourselves
+""".split())
 
 
 def tokens(text: Column, stop_words: tuple[str, ...] | None = None) -> Column:
     """Lower-cased tokens of a text without stop words, in order and with repeats."""
     words = F.regexp_extract_all(F.lower(text), F.lit(TOKEN_PATTERN), F.lit(0))
-    stop = default_stop_words() if stop_words is None else stop_words
+    stop = STOP_WORDS if stop_words is None else stop_words
     return F.filter(words, lambda word: ~word.isin(*stop)) if stop else words
 
 

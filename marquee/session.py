@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_roots: dict[str, str] = {}
+_shipped: set[str] = set()
 
 
 def build_session(app_name: str = "marquee", master: str | None = None, **conf: str) -> SparkSession:
@@ -60,12 +63,31 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors' Python workers this package, once per application.
+
+    Functions that run in tasks are pickled by name, so a worker started in another folder or on another
+    machine has to be able to import them.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="marquee-package-")) / "marquee.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for module in sorted(package.rglob("*.py")):
+            out.write(module, module.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)
+
+
 def prepare(spark: SparkSession) -> None:
     """Settings that the jobs rely on, for a session that was built elsewhere.
 
     Times are UTC, and a join on (user, title) may use rows that are already placed by user instead of
-    moving them again.
+    moving them again. The package is shipped to the workers.
     """
+    ship_package(spark)
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
