@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import chat, mixing, quality, urls, warc
+from marquee.llm import chat, mixing, quality, simhash, urls, warc
 from marquee.llm import sql as S
 from marquee.llm.text import word_count
 from marquee.session import prepare
@@ -77,3 +77,9 @@ def quality_of(docs: DataFrame, labels: DataFrame) -> DataFrame:
 @query("op9_mixing", S.MIXING)
 def op9(spark, root):
     return mixing.mix(quality_of(table(spark, root, "documents"), table(spark, root, "labels")))
+
+
+@query("op2_simhash_near_dedup")
+def op2(spark, root):
+    groups = simhash.near_duplicates(table(spark, root, "documents"))
+    return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
