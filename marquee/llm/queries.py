@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import chat, mixing, quality, simhash, urls, warc
+from marquee.llm import chat, mixing, quality, simhash, suffix_tree, urls, warc
 from marquee.llm import sql as S
 from marquee.llm.text import word_count
 from marquee.session import prepare
@@ -83,3 +83,8 @@ def op9(spark, root):
 def op2(spark, root):
     groups = simhash.near_duplicates(table(spark, root, "documents"))
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query("op6_suffix_tree_scores")
+def op6(spark, root):
+    return suffix_tree.score_texts(table(spark, root, "documents"))
