@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import chat, mixing, quality, simhash, suffix_tree, urls, warc
+from marquee.llm import ann, chat, mixing, quality, simhash, suffix_tree, urls, warc
 from marquee.llm import sql as S
 from marquee.llm.text import word_count
 from marquee.session import prepare
@@ -88,3 +88,8 @@ def op2(spark, root):
 @query("op6_suffix_tree_scores")
 def op6(spark, root):
     return suffix_tree.score_texts(table(spark, root, "documents"))
+
+
+@query("op10_adaptive_scan")
+def op10(spark, root):
+    return ann.nearest(table(spark, root, "embeddings"))
