@@ -21,6 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from marquee.llm.text import sampled
 from marquee.session import materialize
 
 NEAREST = 5
@@ -79,7 +80,7 @@ def unit(vectors: np.ndarray) -> np.ndarray:
 
 def fit_index(distinct: DataFrame, n: int, sample: int = SAMPLE, share: float = PROBED_SHARE) -> Index:
     """Centres by a few rounds of k-means on at most ``sample`` vectors (those with the smallest hash)."""
-    rows = distinct.select("vec_no", "vec").orderBy(F.xxhash64("vec_no"), "vec_no").limit(sample).collect()
+    rows = sampled(distinct.select("vec_no", "vec"), "vec_no", sample).collect()
     points = unit(np.array([row["vec"] for row in rows]))
     rng = np.random.default_rng(SEED)
     lists = int(min(MOST_LISTS, max(1, n ** 0.5), max(1, len(points) // 4)))

@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from marquee.llm.text import word_count
 from marquee.session import materialize
 
 CYCLE = (5, 2, 1)
@@ -23,6 +24,15 @@ SEED = "mix-1"
 DIGITS = 13  # hexadecimal digits of a digest that make the random number, 52 bits
 
 
+def sized_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Documents with ``size`` in words and ``quality``: a quarter for those that are labelled bad, else 1."""
+    bad = labels.groupBy(F.col("doc_id").alias("_id")).agg(F.min("quality").alias("_label")).filter("_label = 0")
+    sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"))
+    return sized.join(bad, F.col("doc_id") == F.col("_id"), "left").select(
+        "doc_id", "source", "size", F.when(F.col("_label") == 0, 0.25).otherwise(1.0).alias("quality")
+    )
+
+
 def source_targets(sizes: DataFrame, cycle: tuple[int, ...] = CYCLE, most: int = MOST_EPOCHS) -> DataFrame:
     """(source, source_size) to (source, source_no, source_size, share, target).
 

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.text import batches, small_batches
+from marquee.llm.text import batches, sampled, small_batches
 from marquee.session import materialize
 
 WINDOW = 8
@@ -202,10 +202,7 @@ def fit_forest(rows: np.ndarray, trees: int = TREES, tree_rows: int = TREE_ROWS,
 
 
 def _sample(stats: DataFrame, bound: int) -> np.ndarray:
-    """At most ``bound`` rows with the smallest hash of their key, so the same rows at every run."""
-    rows = (
-        stats.select("doc_id", *FEATURES).orderBy(F.xxhash64("doc_id"), "doc_id", *FEATURES).limit(bound).toPandas()
-    )
+    rows = sampled(stats.select("doc_id", *FEATURES), "doc_id", bound, *FEATURES).toPandas()
     return rows[list(FEATURES)].to_numpy(dtype=np.float64)
 
 

@@ -8,9 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import ann, chat, mixing, quality, simhash, suffix_tree, urls, warc
+import corpus_pipeline
+from marquee.llm import ann, chat, line_chunks, mixing, pieces, quality, simhash, suffix_tree, urls, warc
 from marquee.llm import sql as S
-from marquee.llm.text import word_count
 from marquee.session import prepare
 from marquee.sources.star_schema import table
 
@@ -65,18 +65,9 @@ def op8(spark, root):
     return chat.read_back(chat.format_turns(chat.canonical_turns(records)))
 
 
-def quality_of(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Documents with ``size`` in words and ``quality``: a quarter for those that are labelled bad, else 1."""
-    bad = labels.groupBy(F.col("doc_id").alias("_id")).agg(F.min("quality").alias("_label")).filter("_label = 0")
-    sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"))
-    return sized.join(bad, F.col("doc_id") == F.col("_id"), "left").select(
-        "doc_id", "source", "size", F.when(F.col("_label") == 0, 0.25).otherwise(1.0).alias("quality")
-    )
-
-
 @query("op9_mixing", S.MIXING)
 def op9(spark, root):
-    return mixing.mix(quality_of(table(spark, root, "documents"), table(spark, root, "labels")))
+    return mixing.mix(mixing.sized_documents(table(spark, root, "documents"), table(spark, root, "labels")))
 
 
 @query("op2_simhash_near_dedup")
@@ -93,3 +84,18 @@ def op6(spark, root):
 @query("op10_adaptive_scan")
 def op10(spark, root):
     return ann.nearest(table(spark, root, "embeddings"))
+
+
+@query("op5_merge_dropout")
+def op5(spark, root):
+    return pieces.encoded(table(spark, root, "documents"))
+
+
+@query("op7_line_chunks", S.LINE_CHUNKS)
+def op7(spark, root):
+    return line_chunks.deduplicated(table(spark, root, "documents"))
+
+
+@query("pipeline")
+def pipeline(spark, root):
+    return corpus_pipeline.run(spark, root)

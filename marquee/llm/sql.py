@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from marquee.llm import mixing, urls
+from marquee.llm import line_chunks, mixing, urls
 
 _ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 _BASE32 = " || ".join(
@@ -59,3 +59,24 @@ placed AS (SELECT d.*, w.source_size, w.target, w.epochs, coalesce(sum(size) OVE
     FROM drawn d JOIN whole w ON d.source IS NOT DISTINCT FROM w.source)
 SELECT doc_id, source, size, source_size, target, epochs, size * (epochs + CASE WHEN epochs < {mixing.MOST_EPOCHS} AND size > 0
     AND before + size / 2.0::DOUBLE <= target - (epochs * source_size)::DOUBLE THEN 1 ELSE 0 END) AS taken FROM placed"""
+
+_P, _M = line_chunks.STEP, line_chunks.MODULUS
+_LONG = f"len(regexp_extract_all({{}}, '[^\\x20\\x09-\\x0D]+')) > {line_chunks.LONG_LINE}"
+
+LINE_CHUNKS = f"""WITH split AS (SELECT doc_id, md5(text) AS td, string_split(text, chr(10)) AS lines FROM documents
+    WHERE text IS NOT NULL),
+facts AS (SELECT *, list_transform(lines, lambda x: CAST('0x' || substr(md5(x), 1, 8) AS BIGINT) % {_M}) AS h,
+    list_transform(lines, lambda x: {_LONG.format("x")}) AS long FROM split),
+cut AS (SELECT *, list_filter(range(0, len(lines)), lambda i: i = 0 OR long[i + 1] OR long[i]
+    OR (((h[i] * {_P} + h[i + 1]) % {_M}) >> 7) % {line_chunks.EXPECTED_LINES} = 0) AS starts FROM facts),
+chunks AS (SELECT doc_id, td, starts[k] AS pos, lines[starts[k] + 1:coalesce(starts[k + 1], len(lines))] AS part
+    FROM cut, unnest(range(1, len(starts) + 1)) u(k)),
+repeats AS (SELECT doc_id, td, pos, len(part) AS n FROM chunks
+    WHERE (len(part) > 1 OR {_LONG.format("part[1]")}) AND len(list_filter(part, lambda x: trim(x) <> '')) > 0
+    QUALIFY dense_rank() OVER (PARTITION BY array_to_string(part, chr(10)) ORDER BY doc_id NULLS LAST, td, pos) > 1),
+kept AS (SELECT c.doc_id, c.td, array_to_string(flatten(list(part ORDER BY pos) FILTER (r.pos IS NULL)), chr(10)) AS text,
+    count(r.pos) AS removed_chunks, coalesce(sum(r.n), 0)::BIGINT AS removed_lines
+    FROM chunks c LEFT JOIN repeats r USING (doc_id, td, pos) GROUP BY c.doc_id, c.td)
+SELECT d.doc_id, d.lang, d.source, d.n_chars, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(k.text, '') END AS text,
+    coalesce(removed_chunks, 0) AS removed_chunks, coalesce(removed_lines, 0) AS removed_lines
+    FROM documents d LEFT JOIN kept k ON k.doc_id = d.doc_id AND k.td = md5(d.text)"""
