@@ -20,7 +20,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     prepare(spark)
     judged = quality.judge(docs, table(spark, sf_dir, "labels"))
     rejected = judged.filter("NOT kept").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(rejected, docs["doc_id"].eqNullSafe(F.col("_id")), "left_anti")
+    return docs.join(rejected, docs["doc_id"].eqNullSafe(rejected["_id"]), "left_anti")
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

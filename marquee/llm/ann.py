@@ -31,8 +31,8 @@ DOUBT = 2.1  # how far above its share, in units of 1/sqrt(dimensions), a partia
 SAMPLE = 20_000
 ROUNDS = 12
 MOST_LISTS = 65_536
-PROBED_SHARE = 0.55  # of the lists; high, because the nearest of vectors with 64 unrelated dimensions lie in many lists
-LEAST_PROBED = 8
+PROBED_SHARE = 0.65  # of the lists; high, because the nearest of vectors with 64 unrelated dimensions lie in many lists
+LEAST_PROBED = 16
 PART = 4096
 SEED = 11
 

@@ -24,6 +24,7 @@ LONG_LINE = 50
 # Fixed values of the rolling hash: a prime below 2^31 and the multiplier of a step.
 MODULUS = 2147483647
 STEP = 1000003
+COUNTS = ("removed_chunks", "removed_lines")
 
 
 def _line_hash(line: Column) -> Column:
@@ -99,7 +100,8 @@ def repeats(docs: DataFrame, key: str = "doc_id", window: int = WINDOW, expected
 def deduplicated(docs: DataFrame, key: str = "doc_id", window: int = WINDOW, expected: int = EXPECTED_LINES) -> DataFrame:
     """The documents with repeated chunks cut out of ``text``, and the number of removed chunks and lines.
 
-    Returns the columns of ``docs`` with the new text, ``removed_chunks`` and ``removed_lines``. The lines that stay
+    Returns the columns of ``docs`` with the new text, ``removed_chunks`` and ``removed_lines``, which replace columns
+    of these names. The lines that stay
     keep their order. A text of which all is removed is empty. Null and empty texts stay as they are. Rows that
     share key and text are copies of one document: they are treated alike, and none is a repeat of the other. No
     rows give no rows.
@@ -107,19 +109,19 @@ def deduplicated(docs: DataFrame, key: str = "doc_id", window: int = WINDOW, exp
     cuts = repeats(docs, key, window, expected).groupBy(F.col("key").alias("_key"), F.col("text_digest").alias("_digest")).agg(
         F.array_sort(F.collect_list(F.struct("at", "n_lines"))).alias("_cuts"), F.sum("n_lines").alias("_lines")
     )
-    same = docs[key].eqNullSafe(F.col("_key")) & (F.md5(docs["text"]) == F.col("_digest"))
-    lines = F.split("text", "\n", -1)
+    # The rows travel as one struct, so no column of theirs can clash with those that are added.
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"))
+    text = F.col("_row")["text"]
+    same = F.col("_row")[key].eqNullSafe(F.col("_key")) & (F.md5(text) == F.col("_digest"))
+    joined = rows.join(cuts, same, "left").withColumn("_all", F.when(F.col("_cuts").isNotNull(), F.split(text, "\n", -1)))
     after = lambda k: F.when(k == 0, 0).otherwise(F.get("_cuts.at", k - 1) + F.get("_cuts.n_lines", k - 1))
     between = F.transform(
         F.sequence(F.lit(0), F.size("_cuts")),
         lambda k: F.slice("_all", after(k) + 1, F.coalesce(F.get("_cuts.at", k), F.size("_all")) - after(k)),
     )
-    rest = F.when(F.col("_cuts").isNull(), F.col("text")).otherwise(F.array_join(F.flatten(between), "\n"))
-    return (
-        docs.join(cuts, same, "left").withColumn("_all", F.when(F.col("_cuts").isNotNull(), lines))
-        .select(
-            *[rest.alias(c) if c == "text" else F.col(c) for c in docs.columns],
-            F.coalesce(F.size("_cuts"), F.lit(0)).cast("long").alias("removed_chunks"),
-            F.coalesce("_lines", F.lit(0)).cast("long").alias("removed_lines"),
-        )
+    rest = F.when(F.col("_cuts").isNull(), text).otherwise(F.array_join(F.flatten(between), "\n"))
+    return joined.select(
+        *[(rest if c == "text" else F.col("_row")[c]).alias(c) for c in docs.columns if c not in COUNTS],
+        F.when(F.col("_cuts").isNull(), 0).otherwise(F.size("_cuts")).cast("long").alias(COUNTS[0]),
+        F.coalesce("_lines", F.lit(0)).cast("long").alias(COUNTS[1]),
     )

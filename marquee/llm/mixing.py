@@ -119,11 +119,11 @@ def mix(
 
 def repeated(docs: DataFrame, mixed: DataFrame, key: str = "doc_id") -> DataFrame:
     """The mixed corpus: every document as often as the mix takes it, the columns of ``docs`` unchanged."""
-    times = (
-        mixed.filter("taken > 0").groupBy(key)
-        .agg(F.max(F.expr("cast(taken / size as int)")).alias("_times"))
+    times = mixed.filter("taken > 0").groupBy(F.col(key).alias("_key")).agg(
+        F.max(F.expr("cast(taken / size as int)")).alias("_times")
     )
-    return (
-        docs.alias("d").join(times.withColumnRenamed(key, "_key"), F.col(f"d.{key}").eqNullSafe(F.col("_key")))
-        .select("d.*", F.explode(F.sequence(F.lit(1), F.col("_times"))).alias("_copy")).drop("_copy")
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"))
+    each = rows.join(times, F.col("_row")[key].eqNullSafe(F.col("_key"))).select(
+        "_row", F.explode(F.sequence(F.lit(1), F.col("_times")))
     )
+    return each.select("_row.*")

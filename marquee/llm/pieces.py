@@ -369,9 +369,9 @@ def encoded(
 
 
 def decoded(tokens: DataFrame, model: str = MODEL) -> DataFrame:
-    """The columns of ``tokens`` with ``text`` in place of the column ``tokens``; null tokens give a null text."""
+    """The columns of ``tokens`` with a new ``text`` in place of the column ``tokens``; null tokens give a null text."""
     shared = tokens.sparkSession.sparkContext.broadcast(Path(model).read_bytes())
-    names = [c for c in tokens.columns if c != "tokens"]
+    names = [c for c in tokens.columns if c not in ("tokens", "text")]
     schema = tokens.select(*names).schema.add("text", "string")
 
     def run(parts):
