@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import dataclasses
 import functools
 from collections.abc import Callable
 from datetime import timedelta
@@ -79,6 +80,26 @@ def recent(spark, root, limit=20):
     return features.recent_items(features.last_seen(summary(spark, root)), limit)
 
 
+def published(spark, root) -> str:
+    """Folder of a published model."""
+
+    def build():
+        path = fresh_path(spark, "served-model")
+        T.publish(trained(spark, root), path, last_event(spark, root))
+        return path
+
+    return shared("published", spark, root, build)
+
+
+def serving_published(spark, root) -> P.ServingTables:
+    """As ``serving``, with neighbours, trending titles and version from the published model."""
+    path = published(spark, root)
+    model = T.read_published(spark, path)
+    return dataclasses.replace(
+        serving(spark, root), neighbors=model.neighbors, trending=model.trending, versions=T.versions(spark, path)
+    )
+
+
 def serving(spark, root) -> P.ServingTables:
     items, model = S.items(spark, root), trained(spark, root)
     stored = shared("features", spark, root, lambda: user_features(S.interactions(spark, root), items))
@@ -130,28 +151,29 @@ def _(spark, root):
 
 
 def damaged_messages(interactions: DataFrame) -> DataFrame:
-    """Messages of which some are cut short, lack the region or have no valid time."""
-    kind, seconds = F.col("event_type"), F.col("watch_seconds")
-    short = seconds < 40
-    rows = interactions.withColumns({
-        "region": F.when((kind == "click") & short, None).otherwise(F.col("region")),
-        "cut": (kind == "impression") & short,
-        "late": (kind == "complete") & short,
-    })
-    encoded = rows.select("cut", "late", F.struct(*[F.col(c) for c in events.MESSAGE_FIELDS]).alias("e")).select(
-        "cut", "late", "e.*"
-    )
-    stamp = F.when(F.col("late"), F.lit("yesterday")).otherwise(
-        F.date_format("event_ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    """Messages of which some are cut short, lack the region or the user, or have no usable time or percentage."""
+    kind = F.col("event_type")
+    few = lambda name: (kind == name) & (F.col("watch_seconds") < 40)
+    changed = {
+        "region": F.when(few("click"), None).otherwise(F.col("region")),
+        "user_id": F.when(few("watchlist_add"), "").otherwise(F.col("user_id")),
+        "completion_pct": F.when(few("play_start"), "NaN").otherwise(F.col("completion_pct").cast("string")),
+        "event_ts": F.when(few("complete"), "yesterday").when(few("watch_progress"), "12:30").otherwise(
+            F.date_format("event_ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+        ),
+    }
+    fields = [changed.get(name, F.col(name)).alias(name) for name in events.MESSAGE_FIELDS]
+    text = F.to_json(F.struct(*fields))
+    return interactions.select(
+        F.when(few("impression"), F.substr(text, F.lit(1), F.length(text) - 9)).otherwise(text).alias("value")
     )
-    body = [F.col(c) for c in events.MESSAGE_FIELDS if c != "event_ts"]
-    text = F.to_json(F.struct(*body, stamp.alias("event_ts")))
-    return encoded.select(F.when(F.col("cut"), F.substr(text, F.lit(1), F.length(text) - 9)).otherwise(text).alias("value"))
 
 
 @query("quarantine_split", """SELECT CASE WHEN watch_seconds >= 40 THEN 'usable'
     WHEN event_type = 'impression' THEN 'malformed' WHEN event_type = 'click' THEN 'missing region'
-    WHEN event_type = 'complete' THEN 'bad event_ts' ELSE 'usable' END AS problem, count(*) AS n
+    WHEN event_type IN ('complete', 'watch_progress') THEN 'bad event_ts'
+    WHEN event_type = 'watchlist_add' THEN 'missing user_id'
+    WHEN event_type = 'play_start' THEN 'bad completion_pct' ELSE 'usable' END AS problem, count(*) AS n
     FROM inter GROUP BY 1""")
 def _(spark, root):
     decoded = events.decode(damaged_messages(S.interactions(spark, root)))
@@ -216,8 +238,10 @@ def _(spark, root):
 @query("train_publish", "SELECT * FROM neighbors UNION ALL SELECT region, item_id, score, 'trending' FROM trending")
 def _(spark, root):
     path, stamp = fresh_path(spark, "model"), last_event(spark, root)
-    T.publish(trained(spark, root), path, stamp - timedelta(minutes=1))
-    T.publish(trained(spark, root), path, stamp)
+    full = trained(spark, root)
+    earlier = T.TrainedTables(full.neighbors.filter("algorithm = 'content'"), full.trending.filter("score > 5"))
+    T.publish(earlier, path, stamp - timedelta(minutes=1))
+    T.publish(full, path, stamp)
     tables = T.read_published(spark, path)
     return tables.neighbors.unionByName(tables.trending.select(
         F.col("region").alias("source_item_id"), F.col("item_id").alias("neighbor_item_id"), "score",
@@ -330,6 +354,12 @@ def _(spark, root):
     )
 
 
+@query("hash_holdout", """SELECT event_id, CAST(('0x' || substr(md5(user_id), 1, 8)) AS BIGINT)::DOUBLE
+    / 4294967295.0::DOUBLE < 0.2::DOUBLE AS held_out FROM inter""")
+def _(spark, root):
+    return choice.with_holdout(S.interactions(spark, root), "user_id").select("event_id", "held_out")
+
+
 @query("cold_start_scores", "SELECT * FROM cold")
 def _(spark, root):
     pairs = summary(spark, root).select("user_id", "item_id")
@@ -458,9 +488,18 @@ def _(spark, root):
 
 
 def daily_versions(spark, root):
-    """A model version per day of events, as daily training would leave them."""
-    days = S.table(spark, root, "events").groupBy(F.to_date("ts")).agg(F.max("ts").alias("created_at"))
-    return days.select(scoring.model_version_id(F.col("created_at")).alias("version"), "created_at")
+    """The published records of a model version per day of events, as daily training would leave them."""
+
+    def build():
+        path = fresh_path(spark, "daily-models")
+        days = S.table(spark, root, "events").groupBy(F.to_date("ts")).agg(F.max("ts").alias("created_at"))
+        days.select(
+            scoring.model_version_id(F.col("created_at")).alias("version"), F.lit(T.DESCRIPTION).alias("description"),
+            "created_at",
+        ).write.mode("append").parquet(f"{path}/versions")
+        return path
+
+    return T.versions(spark, shared("daily", spark, root, build))
 
 
 @query("latest_version", "SELECT max_by(version, created_at) AS model_version FROM versions")
@@ -574,7 +613,21 @@ def _(spark, root):
 
 @query("recommend_nested")
 def _(spark, root):
-    return P.recommend_nested(serving(spark, root))
+    return P.recommend_nested(serving_published(spark, root))
+
+
+@query("served_documents", """SELECT u.user_id, 'home' AS context,
+    (SELECT 'hybrid-' || strftime(max(ts), '%Y%m%d%H%M%S') FROM events) AS model_version,
+    coalesce((SELECT string_agg(item_id, ',' ORDER BY position) FROM recent r WHERE r.user_id = u.user_id
+        AND position <= 10), '') AS recent_items, coalesce(string_agg(s.item_id || ':' || s.reason, ',' ORDER BY s.position), '')
+    AS recommendations FROM users u LEFT JOIN served s ON s.user_id = u.user_id GROUP BY u.user_id""")
+def _(spark, root):
+    """The nested documents, flattened to strings."""
+    one = F.transform("recommendations", lambda r: F.concat(r["item_id"], F.lit(":"), r["reason"]))
+    return P.recommend_nested(serving_published(spark, root)).select(
+        "user_id", "context", "model_version", F.array_join("recent_items", ",").alias("recent_items"),
+        F.array_join(one, ",").alias("recommendations"),
+    )
 
 
 @query("unknown_users", "SELECT 's' || CAST(s_suppkey AS VARCHAR) AS user_id FROM supplier")
@@ -596,6 +649,13 @@ def _(spark, root):
     return rates.per_window(S.table(spark, root, "events"), "ts")
 
 
+@query("requests_per_minute_by_context", PER_MINUTE.format(ts="ts", by="event_type AS context, ", t="events"))
+def _(spark, root):
+    """The event table read as a serving log, its type as the context of the request."""
+    log = S.table(spark, root, "events").withColumnRenamed("event_type", "context")
+    return rates.per_window(log, "ts", by=("context",))
+
+
 @query("events_per_minute", PER_MINUTE.format(ts="event_ts", by="event_type, ", t="inter"))
 def _(spark, root):
     return rates.per_window(S.interactions(spark, root), "event_ts", by=("event_type",))

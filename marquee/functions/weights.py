@@ -50,6 +50,8 @@ UNLISTED_ITEM_LEVEL = 0
 UNLISTED_USER_LEVEL = 2
 
 WEIGHT_TYPE = "decimal(18,6)"
+TOTAL_TYPE = "decimal(22,6)"
+MOST_PERCENT = 1e15
 
 
 def _lookup(column: Column, table: dict[str, str], other: str) -> Column:
@@ -60,9 +62,15 @@ def _lookup(column: Column, table: dict[str, str], other: str) -> Column:
 
 
 def interaction_weight(event_type: Column, completion_pct: Column) -> Column:
-    """Training weight: base weight of the type plus the completed fraction."""
-    fraction = completion_pct.cast("decimal(12,4)") * F.lit(Decimal("0.01"))
-    return (_lookup(event_type, TRAINING_WEIGHTS, OTHER_EVENT_WEIGHT) + fraction).cast(WEIGHT_TYPE)
+    """Training weight: base weight of the type plus the completed fraction.
+
+    Total for every double: percentages beyond ``MOST_PERCENT`` either way count as that, NaN as 0. The type
+    leaves room for the sum over all events.
+    """
+    limit = F.lit(MOST_PERCENT)
+    bounded = F.when(F.isnan(completion_pct), 0.0).otherwise(F.greatest(F.least(completion_pct, limit), -limit))
+    fraction = bounded.cast("decimal(20,4)") * F.lit(Decimal("0.01"))
+    return (_lookup(event_type, TRAINING_WEIGHTS, OTHER_EVENT_WEIGHT) + fraction).cast(TOTAL_TYPE)
 
 
 def online_increment(event_type: Column) -> Column:

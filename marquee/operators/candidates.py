@@ -16,6 +16,7 @@ SOURCES = ("collaborative", "content", "session", "trending")
 SESSION_LENGTH = 5
 SESSION_DECAY = (1.0, 0.7, 0.7 * 0.7, 0.7 * 0.7 * 0.7, 0.7 * 0.7 * 0.7 * 0.7)
 RECENT_FOR_RANKING = 10
+MOST_REGIONS = 10_000
 
 FACTS = ("title", "genres", "release_year", "maturity_rating", "available_regions", "is_active")
 
@@ -84,9 +85,15 @@ def _from_recent(recent: DataFrame, neighbors: DataFrame, facts: DataFrame) -> D
 
 
 def _from_trending(users: DataFrame, trending: DataFrame, facts: DataFrame) -> DataFrame:
-    """Every user of a region is offered the region's trending titles (at most ten)."""
+    """Every user of a region is offered the region's trending titles (at most ten).
+
+    There is one row per region. Up to ``MOST_REGIONS`` of them, counted here, go to every task, so users stay where
+    they are; more regions are joined by region.
+    """
     one = F.struct("item_id", F.lit("trending").alias("source"), "score", "facts")
     per_region = trending.join(facts, "item_id", "left").groupBy("region").agg(F.collect_list(one).alias("hot"))
+    if trending.select("region").distinct().count() <= MOST_REGIONS:
+        per_region = F.broadcast(per_region)
     return users.select("user_id", "region").join(per_region, "region").select("user_id", F.inline("hot"))
 
 

@@ -25,6 +25,11 @@ def cold_start_scores(pairs: DataFrame, priors: DataFrame, items: DataFrame) ->
     )
 
 
+def with_holdout(rows: DataFrame, *keys: str, share: float = 0.2) -> DataFrame:
+    """Rows with ``held_out``, true for a fixed share of the keys; every row of a key falls on the same side."""
+    return rows.withColumn("held_out", deterministic_score(*[F.col(key) for key in keys]) < F.lit(share))
+
+
 def weighted_choice(weighted: DataFrame, group: str, item: str, weight: str, size: int = 1) -> DataFrame:
     """``size`` draws per group without replacement, each with probability proportional to the weight.
 

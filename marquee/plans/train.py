@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,6 +13,7 @@ from marquee import schema
 from marquee.functions.scoring import model_version_id
 from marquee.operators import content, covisit, trending
 from marquee.plans.recommend import latest_version
+from marquee.session import exists
 
 DESCRIPTION = "co-occurrence + tfidf hybrid"
 
@@ -49,6 +50,10 @@ def publish(tables: TrainedTables, path: str, as_of: datetime) -> str:
     spark = tables.neighbors.sparkSession
     record = version_record(spark, as_of)
     version = record.first()["version"]
+    while exists(spark, f"{path}/model_version={version}"):  # versions have seconds; a set in use is never replaced
+        as_of += timedelta(seconds=1)
+        record = version_record(spark, as_of)
+        version = record.first()["version"]
     for name, table in (("neighbors", tables.neighbors), ("trending", tables.trending)):
         table.withColumn("updated_at", F.current_timestamp()).write.mode("overwrite").parquet(
             f"{path}/model_version={version}/{name}"

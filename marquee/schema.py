@@ -48,6 +48,14 @@ INTERACTIONS = T.StructType([
     T.StructField("event_ts", T.TimestampNTZType()),
 ])
 
+# Facts as the stream stores them; event time is a TIMESTAMP there, as watermarks need it.
+STORED_FACTS = T.StructType([
+    *INTERACTIONS.fields[:-1],
+    T.StructField("event_ts", T.TimestampType()),
+    T.StructField("ingestion_ts", T.TimestampNTZType()),
+    T.StructField("event_date", T.DateType()),
+])
+
 NEIGHBORS = T.StructType([
     T.StructField("source_item_id", T.StringType()),
     T.StructField("neighbor_item_id", T.StringType()),

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_roots: dict[str, str] = {}
 _shipped: set[str] = set()
+_scratch: contextvars.ContextVar[str | None] = contextvars.ContextVar("scratch", default=None)
 
 
 def build_session(app_name: str = "marquee", master: str | None = None, **conf: str) -> SparkSession:
@@ -43,7 +47,55 @@ def workspace(spark: SparkSession) -> str:
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{workspace(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new path below the open scratch folder, or else the working area of this application."""
+    folder = _scratch.get() or f"{workspace(spark)}/{spark.sparkContext.applicationId}"
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession, name: str) -> Iterator[str]:
+    """Intermediate tables that are written inside go to a folder of their own, which is removed at the end.
+
+    For work whose results are written elsewhere before the block ends; what is read lazily later must not
+    depend on it.
+    """
+    folder = fresh_path(spark, name)
+    token = _scratch.set(folder)
+    try:
+        yield folder
+    finally:
+        _scratch.reset(token)
+        remove(spark, folder)
+
+
+def clear_workspace(spark: SparkSession) -> None:
+    """Remove all intermediate tables of this application."""
+    remove(spark, f"{workspace(spark)}/{spark.sparkContext.applicationId}")
+
+
+def _store(spark: SparkSession, path: str):
+    """The file system that holds a path, and the path as it takes it; any store that Spark can reach."""
+    located = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return located.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), located
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    store, located = _store(spark, path)
+    store.delete(located, True)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    store, located = _store(spark, path)
+    return store.exists(located)
+
+
+def children(spark: SparkSession, path: str, key: str) -> list[str]:
+    """Values of the folders ``key=value`` directly below a path, sorted; none if the path is not there."""
+    store, located = _store(spark, path)
+    if not store.exists(located):
+        return []
+    names = [entry.getPath().getName() for entry in store.listStatus(located)]
+    return sorted(name[len(key) + 1:] for name in names if name.startswith(f"{key}="))
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

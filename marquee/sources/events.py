@@ -9,6 +9,8 @@ from pyspark.sql import types as T
 
 from marquee.schema import EVENT_MESSAGE, INTERACTIONS
 
+# Date, time and optional fraction and offset; a date or a time alone is no event time.
+ISO_STAMP = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?(Z|[+-]\d{2}(:?\d{2})?)?$"
 REQUIRED = ("event_id", "user_id", "item_id", "event_type", "region", "device_type", "event_ts")
 MESSAGE_FIELDS = INTERACTIONS.fieldNames()
 
@@ -21,9 +23,11 @@ def encode(events: DataFrame) -> DataFrame:
 
 
 def _number(name: str) -> Column:
-    """A missing, null or empty number is 0; text that is no number gives NULL."""
+    """A missing, null or empty number is 0; text that is no finite number gives NULL."""
     raw = F.trim(F.col(name))
-    return F.when(raw.isNull() | (raw == ""), F.lit(0.0)).otherwise(raw.try_cast("double"))
+    value = raw.try_cast("double")
+    finite = F.when(~F.isnan(value) & (F.abs(value) < F.lit(float("inf"))), value)
+    return F.when(raw.isNull() | (raw == ""), F.lit(0.0)).otherwise(finite)
 
 
 def decode(messages: DataFrame) -> DataFrame:
@@ -43,13 +47,14 @@ def decode(messages: DataFrame) -> DataFrame:
         _number("watch_seconds").try_cast("int").alias("watch_seconds"),
         _number("completion_pct").alias("completion_pct"),
         "region", "device_type",
-        F.try_to_timestamp("event_ts").alias("event_ts"),
+        F.when(F.col("event_ts").rlike(ISO_STAMP), F.try_to_timestamp("event_ts")).alias("event_ts"),
         F.col("_corrupt").isNotNull().alias("corrupt"),
         F.col("event_ts").alias("stamp"),
     )
     problem = F.when(F.col("corrupt") | F.col("value").isNull(), "malformed")
     for name in REQUIRED:
-        problem = problem.when(F.col("stamp" if name == "event_ts" else name).isNull(), f"missing {name}")
+        given = F.col("stamp" if name == "event_ts" else name)
+        problem = problem.when(given.isNull() | (F.trim(given) == ""), f"missing {name}")
     for name in ("event_ts", "watch_seconds", "completion_pct"):
         problem = problem.when(F.col(name).isNull(), f"bad {name}")
     return parsed.withColumn("problem", problem).drop("corrupt", "stamp")
@@ -88,7 +93,10 @@ def unseen(events: DataFrame, facts: DataFrame, same_day: bool = False) -> DataF
 
 
 def append_facts(events: DataFrame, path: str, arrival: str | None = None, same_day: bool = False) -> None:
-    """Batch load into the fact table: insert each event id once, ignore ids already stored."""
+    """Batch load into the fact table: insert each event id once, ignore ids already stored.
+
+    ``ingestion_ts`` is the time of the load, for the analysis of late arrivals and replays.
+    """
     fresh = first_arrivals(events, arrival)
     if arrival:
         fresh = fresh.drop(arrival)
@@ -99,7 +107,7 @@ def append_facts(events: DataFrame, path: str, arrival: str | None = None, same_
     if stored is not None:
         fresh = unseen(fresh, stored, same_day)
     (
-        fresh.withColumn("event_date", F.to_date("event_ts"))
+        fresh.withColumns({"ingestion_ts": F.localtimestamp(), "event_date": F.to_date("event_ts")})
         .hint("rebalance", "event_date")
         .write.mode("append").partitionBy("event_date").parquet(path)
     )

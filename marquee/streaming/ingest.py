@@ -7,13 +7,15 @@ Three queries read the same messages, each with its own checkpoint:
   so a batch costs its own size and not the size of the history. Each batch writes its facts and, from
   these, a small summary per feature.
 
-Every batch writes to a folder named by its id and replaces it when it is run again, so a batch that is
+The ids are kept without end, which is what "forever" costs: about 60 bytes of state per id; a ``horizon`` bounds
+it. Every batch writes to a folder named by its id and replaces it when it is run again, so a batch that is
 repeated after a failure changes nothing. Feature summaries can be merged in any order (newest time, set
 union, sums); a busy user or title is reduced inside each task before anything is shuffled.
 """
 
 from __future__ import annotations
 
+import functools
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +24,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from marquee.operators import features
+from marquee.schema import STORED_FACTS
+from marquee.session import children, exists, materialize, remove, scratch
 from marquee.sources.archive import write_archive
 from marquee.sources.events import decode, quarantined, usable
 
@@ -70,8 +74,8 @@ def deduplicated(events: DataFrame, horizon: str | None = None) -> DataFrame:
 
 
 def batch_features(facts: DataFrame, items: DataFrame) -> dict[str, DataFrame]:
-    """Mergeable summaries of one batch of facts."""
-    summary = features.user_item_summary(facts, items)
+    """Mergeable summaries of one batch of facts; the summary per user and title is computed once."""
+    summary = materialize(features.user_item_summary(facts, items), "summary")
     return {
         "recent": features.recent_items(features.last_seen(summary), RECENT_KEPT).drop("position"),
         "watched": features.watched_items(summary),
@@ -103,22 +107,22 @@ def merge_feature(name: str, parts: DataFrame) -> DataFrame:
 
 def _archive_batch(paths: Paths):
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_archive(batch, f"{paths.archive}/batch_id={batch_id}", mode="overwrite")
+        write_archive(batch, paths.archive, batch_id)
 
     return write
 
 
 def _write_batch(items: DataFrame, paths: Paths):
     def write(batch: DataFrame, batch_id: int) -> None:
-        target = f"{paths.facts}/batch_id={batch_id}"
+        spark, target = batch.sparkSession, f"{paths.facts}/batch_id={batch_id}"
         (
-            batch.withColumn("event_date", F.to_date("event_ts")).hint("rebalance", "event_date")
-            .write.mode("overwrite").partitionBy("event_date").parquet(target)
+            batch.withColumns({"ingestion_ts": F.localtimestamp(), "event_date": F.to_date("event_ts")})
+            .hint("rebalance", "event_date").write.mode("overwrite").partitionBy("event_date").parquet(target)
         )
-        schema = T.StructType([*batch.schema.fields, T.StructField("event_date", T.DateType())])
-        facts = batch.sparkSession.read.schema(schema).parquet(target)
-        for name, part in batch_features(facts, items).items():
-            part.write.mode("overwrite").parquet(f"{paths.feature(name)}/batch_id={batch_id}")
+        facts = spark.read.schema(STORED_FACTS).parquet(target)
+        with scratch(spark, f"batch-{batch_id}"):
+            for name, part in batch_features(facts, items).items():
+                part.write.mode("overwrite").parquet(f"{paths.feature(name)}/batch_id={batch_id}")
 
     return write
 
@@ -161,53 +165,98 @@ def finish(queries: list[StreamingQuery]) -> None:
         query.awaitTermination()
 
 
+def batches_after(spark: SparkSession, folder: str, done: int | None) -> list[int]:
+    """Ids of the batch folders that come after ``done``."""
+    ids = sorted(int(value) for value in children(spark, folder, "batch_id"))
+    return [i for i in ids if done is None or i > done]
+
+
+def _bases(spark: SparkSession, folder: str) -> list[int]:
+    """Compactions that were written completely, oldest first."""
+    found = sorted(int(value) for value in children(spark, f"{folder}-compacted", "upto"))
+    return [i for i in found if exists(spark, f"{folder}-compacted/upto={i}/_SUCCESS")]
+
+
+def _parts(
+    spark: SparkSession, folder: str, bases: list[int], batches: list[int], schema: T.StructType | None = None
+) -> DataFrame:
+    """The given compactions and batches, read by path; nothing else is listed."""
+    paths = [f"{folder}-compacted/upto={i}" for i in bases] + [f"{folder}/batch_id={i}" for i in batches]
+    if not paths:
+        raise ValueError(f"nothing was ingested below {folder}")
+    reader = spark.read.schema(schema) if schema else spark.read
+    parts = [reader.parquet(path) for path in paths]
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
 def read_facts(spark: SparkSession, root: str) -> DataFrame:
     """Stored facts with event time as the batch jobs expect it."""
-    facts = spark.read.parquet(Paths(root).facts)
+    folder = Paths(root).facts
+    bases = _bases(spark, folder)
+    facts = _parts(spark, folder, bases, batches_after(spark, folder, bases[-1] if bases else None), STORED_FACTS)
     return facts.withColumn("event_ts", F.col("event_ts").cast("timestamp_ntz"))
 
 
-def _compacted(spark: SparkSession, root: str, name: str) -> int | None:
-    """Last batch id covered by the newest complete compaction."""
-    marks = f"{Paths(root).feature(name)}-compacted/marks"
-    try:
-        return spark.read.schema("upto long").parquet(marks).agg(F.max("upto")).first()[0]
-    except Exception as error:  # no compaction yet
-        if "PATH_NOT_FOUND" not in str(error):
-            raise
-        return None
+def last_batch(spark: SparkSession, root: str) -> int | None:
+    """Id of the newest batch of facts, None before the first."""
+    folder = Paths(root).facts
+    return max([*_bases(spark, folder), *batches_after(spark, folder, None)], default=None)
+
+
+def _retire(spark: SparkSession, folder: str, done: int | None, older_bases: list[int]) -> None:
+    """Remove what the compaction before the newest one covers; readers that started before the newest one can
+    finish."""
+    for i in batches_after(spark, folder, None):
+        if done is not None and i <= done:
+            remove(spark, f"{folder}/batch_id={i}")
+    for i in older_bases:
+        remove(spark, f"{folder}-compacted/upto={i}")
+
+
+def compact_facts(spark: SparkSession, root: str) -> int | None:
+    """Move the batches since the last compaction into one set of files per day; earlier sets are not rewritten.
+
+    Returns the last batch that is covered.
+    """
+    folder = Paths(root).facts
+    bases = _bases(spark, folder)
+    done = bases[-1] if bases else None
+    fresh = batches_after(spark, folder, done)
+    if not fresh:
+        return done
+    (
+        _parts(spark, folder, [], fresh, STORED_FACTS).hint("rebalance", "event_date")
+        .write.mode("overwrite").partitionBy("event_date").parquet(f"{folder}-compacted/upto={fresh[-1]}")
+    )
+    _retire(spark, folder, done, [])
+    return fresh[-1]
 
 
 def read_feature(spark: SparkSession, root: str, name: str) -> DataFrame:
     """Current state of a feature: newest compaction merged with the batches after it."""
-    parts = spark.read.parquet(Paths(root).feature(name))
-    upto = _compacted(spark, root, name)
-    if upto is not None:
-        later = parts.filter(F.col("batch_id") > upto).drop("batch_id")
-        base = spark.read.schema(later.schema).parquet(f"{Paths(root).feature(name)}-compacted/upto={upto}")
-        parts = later.unionByName(base)
+    folder = Paths(root).feature(name)
+    bases = _bases(spark, folder)[-1:]
+    parts = _parts(spark, folder, bases, batches_after(spark, folder, bases[-1] if bases else None))
     merged = merge_feature(name, parts)
     if "last_ts" in merged.columns:
         merged = merged.withColumn("last_ts", F.col("last_ts").cast("timestamp_ntz"))
     return merged
 
 
-def compact(spark: SparkSession, root: str, name: str) -> int:
-    """Merge all batches of a feature up to now into one table; the mark is written last."""
+def compact(spark: SparkSession, root: str, name: str) -> int | None:
+    """Merge the newest compaction of a feature and the batches after it into a new one.
+
+    It is visible when it is complete. What the previous compaction covers is then removed.
+    """
     folder = Paths(root).feature(name)
-    parts = spark.read.parquet(folder)
-    upto = parts.agg(F.max("batch_id")).first()[0]
-    done = _compacted(spark, root, name)
-    if done is not None and done >= upto:
+    bases = _bases(spark, folder)
+    done = bases[-1] if bases else None
+    fresh = batches_after(spark, folder, done)
+    if not fresh:
         return done
-    covered = parts.filter((F.col("batch_id") <= upto) & (F.col("batch_id") > (-1 if done is None else done)))
-    covered = covered.drop("batch_id")
-    if done is not None:
-        covered = covered.unionByName(spark.read.schema(covered.schema).parquet(f"{folder}-compacted/upto={done}"))
-    merge_feature(name, covered).select(*covered.columns).write.mode("overwrite").parquet(
-        f"{folder}-compacted/upto={upto}"
-    )
-    spark.range(1).select(F.lit(upto).cast("long").alias("upto")).write.mode("append").parquet(
-        f"{folder}-compacted/marks"
+    parts = _parts(spark, folder, bases[-1:], fresh)
+    merge_feature(name, parts).select(*parts.columns).write.mode("overwrite").parquet(
+        f"{folder}-compacted/upto={fresh[-1]}"
     )
-    return upto
+    _retire(spark, folder, done, bases[:-1])
+    return fresh[-1]

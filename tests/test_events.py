@@ -3,6 +3,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from marquee import schema
+from marquee.operators import trending
 from marquee.sources import archive, events
 
 GOOD = '"event_id":"1","user_id":"u","item_id":"m","event_type":"click","region":"UK","device_type":"tv"'
@@ -85,8 +86,55 @@ def test_archive_round_trip_and_pruning(spark, tmp_path):
     back = archive.replay(spark, path, datetime(2026, 1, 2), datetime(2026, 1, 3, 5))
     assert [(r["event_id"], r["hour"]) for r in back.collect()] == [("1", "04")]
     assert archive.replay(spark, path, datetime(2025, 1, 1), datetime(2027, 1, 1)).count() == 3
-    plan = back._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull" in plan or "PartitionFilters: [(concat" in plan
+    assert archive.replay(spark, path, datetime(2025, 1, 1), datetime(2025, 2, 1)).count() == 0
+    assert all("hour=04" in name for name in back.inputFiles())
+
+
+def test_replay_lists_only_the_hours_asked_for(spark, tmp_path, monkeypatch):
+    listed = []
+    path = str(tmp_path / "archive")
+    stamps = [datetime(2026, month, day, hour) for month in (1, 2) for day in (1, 2, 3) for hour in (4, 5)]
+    rows = [(str(n), "u", "{}", stamp) for n, stamp in enumerate(stamps)]
+    df = spark.createDataFrame(rows, "event_id string, user_id string, value string, event_ts timestamp_ntz")
+    for batch in (0, 1, 1):  # a batch that is written again replaces itself
+        archive.write_archive(df, path, batch)
+    assert archive.read_archive(spark, path).count() == 24
+    real = archive.children
+    monkeypatch.setattr(archive, "children", lambda s, p, key: listed.append(p) or real(s, p, key))
+    found = archive.hour_folders(spark, path, datetime(2026, 2, 2, 5), datetime(2026, 2, 3, 5))
+    assert [f.removeprefix(path) for f in found] == [
+        "/year=2026/month=02/day=02/hour=05", "/year=2026/month=02/day=03/hour=04"
+    ]
+    assert not any("month=01" in p or "day=01" in p for p in listed)
+    assert archive.replay(spark, path, datetime(2026, 2, 2, 5), datetime(2026, 2, 3, 5)).count() == 2
+
+
+def test_numbers_and_times_are_strict(spark):
+    time = ',"event_ts":"2026-03-25T08:39:26Z"}'
+    rows = decode(
+        spark,
+        "{" + GOOD + ',"completion_pct":1e12' + time,
+        "{" + GOOD + ',"completion_pct":"NaN"' + time,
+        "{" + GOOD + ',"completion_pct":"Infinity"' + time,
+        "{" + GOOD + ',"event_ts":"12:30"}',
+        "{" + GOOD + ',"event_ts":"2026"}',
+        "{" + GOOD + ',"event_ts":"2026-03-25"}',
+        "{" + GOOD + ',"event_ts":"2026-03-25 08:39"}',
+        "{" + GOOD.replace('"user_id":"u"', '"user_id":" "') + time,
+    )
+    assert [row["problem"] for row in rows] == [
+        None, "bad completion_pct", "bad completion_pct", "bad event_ts", "bad event_ts", "bad event_ts", None, "missing user_id",
+    ]
+
+
+def test_trending_takes_every_finite_percentage(spark):
+    stamp = datetime(2026, 1, 1, 12)
+    values = [1e12, -1e300, 1e300, float("nan"), 50.0, None]
+    rows = [(str(n), "u", f"m{n}", "click", 1, v, "UK", "web", stamp) for n, v in enumerate(values)]
+    df = spark.createDataFrame(rows, schema.INTERACTIONS)
+    got = {r["item_id"]: r["score"] for r in trending.trending_items(df, F.lit(stamp)).collect()}
+    assert got["m0"] == 0.5 + 1e10 and got["m2"] == 0.5 + 1e13 and got["m1"] == 0.5 - 1e13
+    assert got["m3"] == 0.5 and got["m4"] == 1.0
 
 
 def test_flood_of_copies_is_reduced_before_the_shuffle(spark):

@@ -1,5 +1,7 @@
 import random
+import time
 from datetime import datetime, timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,10 +9,11 @@ from pyspark.sql import functions as F
 from marquee import schema
 from marquee.operators import features
 from marquee.plans import train
+from marquee.session import exists, workspace
 from marquee.sources import events
 from marquee.streaming import ingest as I
 from marquee.streaming import rates
-from marquee.streaming.retrain import retrain
+from marquee.streaming.retrain import retrain, train_if_due
 
 START = datetime(2026, 1, 1)
 KINDS = ["impression", "click", "play_start", "watch_progress", "complete", "watchlist_add", "other"]
@@ -91,22 +94,52 @@ def test_features_equal_the_batch_operators(spark, root, facts, items):
     assert sum(consumed.values()) == 600
 
 
-def test_compaction_changes_nothing(spark, root, facts, items):
-    for name in ("recent", "watched", "affinity", "popularity"):
-        upto = I.compact(spark, root, name)
-        assert upto == 2 and I.compact(spark, root, name) == upto
-    assert_features(spark, root, facts, items)
-
-
 def test_a_repeated_batch_changes_nothing(spark, root, facts, items):
     paths = I.Paths(root)
-    batch = spark.read.parquet(f"{paths.facts}/batch_id=1").drop("event_date")
+    batch = spark.read.parquet(f"{paths.facts}/batch_id=1").drop("event_date", "ingestion_ts")
     again = spark.createDataFrame(batch.collect(), batch.schema)
     I._write_batch(items, paths)(again, 1)
     assert_features(spark, root, facts, items)
     assert I.read_facts(spark, root).count() == 600
 
 
+def test_facts_carry_the_time_of_their_load(spark, root):
+    facts = I.read_facts(spark, root)
+    assert facts.filter("ingestion_ts IS NULL").count() == 0 and facts.schema["ingestion_ts"].dataType.simpleString() == "timestamp_ntz"
+
+
+def test_batches_leave_no_intermediate_tables(spark, root):
+    assert not exists(spark, f"{workspace(spark)}/{spark.sparkContext.applicationId}") or not [
+        p for p in Path(workspace(spark), spark.sparkContext.applicationId).iterdir() if p.name.startswith("batch-")
+    ]
+
+
+def test_compaction_changes_nothing_and_retires_what_it_covers(spark, facts, items, tmp_path):
+    source, out = deliver(spark, facts, tmp_path / "in"), str(tmp_path / "out")
+
+    def run():
+        I.finish(I.ingest(spark, I.read_files(spark, source, 2), items, out, trigger={"availableNow": True}))
+
+    run()
+    names = ("recent", "watched", "affinity", "popularity")
+    for name in names:
+        upto = I.compact(spark, out, name)
+        assert upto == 2 and I.compact(spark, out, name) == upto
+    assert I.compact_facts(spark, out) == 2
+    assert_features(spark, out, facts, items)
+    assert I.batches_after(spark, I.Paths(out).feature("recent"), None) == [0, 1, 2]  # kept for running readers
+    (tmp_path / "in" / "more.txt").write_text('{"event_id": "x"}\n')
+    run()
+    for name in names:
+        assert I.compact(spark, out, name) == 3
+        folder = I.Paths(out).feature(name)
+        assert I.batches_after(spark, folder, None) == [3] and I._bases(spark, folder) == [2, 3]
+    assert I.compact_facts(spark, out) == 3
+    assert I.batches_after(spark, I.Paths(out).facts, None) == [3] and I.last_batch(spark, out) == 3
+    assert_features(spark, out, facts, items)
+    assert rows(I.read_facts(spark, out), "event_id") == rows(facts, "event_id")
+
+
 def test_restart_continues_after_new_messages(spark, facts, items, tmp_path):
     first, second = facts.filter("cast(event_id as int) < 300"), facts.filter("cast(event_id as int) >= 250")
     source, out = deliver(spark, first, tmp_path / "in"), str(tmp_path / "out")
@@ -139,22 +172,41 @@ def test_counts_per_minute(spark, facts, tmp_path):
     assert rows(rates.read_counts(spark, out), *columns) == rows(batch, *columns)
 
 
-def test_retraining_publishes_and_survives_a_failed_run(spark, root, items, tmp_path):
+def test_a_failed_training_run_is_tried_again_without_new_facts(spark, root, items, tmp_path):
     model = str(tmp_path / "model")
     assert train.read_published(spark, model).neighbors.count() == 0
 
     def broken():
         raise RuntimeError("catalog is away")
 
-    retrain(spark, broken, root, model, {"availableNow": True}).awaitTermination()
+    with pytest.raises(RuntimeError):
+        train_if_due(spark, broken, root, model)
     assert train.versions(spark, model).count() == 0
-
-    times = iter([datetime(2026, 1, 3, 1), datetime(2026, 1, 3, 2)])
-    other = str(tmp_path / "other")
-    retrain(spark, lambda: items, root, other, {"availableNow": True}, clock=lambda: next(times)).awaitTermination()
-    assert [r["version"] for r in train.versions(spark, other).collect()] == ["hybrid-20260103010000"]
-    published = train.read_published(spark, other)
+    before = set(Path(workspace(spark), spark.sparkContext.applicationId).glob("*"))
+    clock = lambda: datetime(2026, 1, 3, 1)
+    assert train_if_due(spark, lambda: items, root, model, clock) == "hybrid-20260103010000"
+    assert train_if_due(spark, lambda: items, root, model, clock) is None  # no new facts
+    assert set(Path(workspace(spark), spark.sparkContext.applicationId).glob("*")) == before
+    published = train.read_published(spark, model)
     assert {r["algorithm"] for r in published.neighbors.select("algorithm").distinct().collect()} == {
         "collaborative", "content"
     }
     assert published.trending.count() > 0
+    assert train.publish(published, model, clock()) == "hybrid-20260103010001"  # a set in use is not replaced
+
+
+def test_retraining_goes_on_after_a_failure(spark, root, items, tmp_path):
+    model, calls = str(tmp_path / "model"), []
+
+    def catalog():
+        calls.append(1)
+        if len(calls) == 1:
+            raise RuntimeError("catalog is away")
+        return items
+
+    query = retrain(spark, catalog, root, model, {"processingTime": "1 second"}, clock=lambda: datetime(2026, 1, 3, 1))
+    deadline = time.time() + 120
+    while train.versions(spark, model).count() == 0 and time.time() < deadline:
+        time.sleep(1)
+    query.stop()
+    assert len(calls) >= 2 and [r["version"] for r in train.versions(spark, model).collect()] == ["hybrid-20260103010000"]
