@@ -50,7 +50,7 @@ def chunked(docs: DataFrame, key: str = "doc_id", window: int = WINDOW, expected
     have none."""
     marked = (
         docs.filter("text IS NOT NULL")
-        .select(F.col(key).alias("key"), F.md5("text").alias("text_digest"), F.split("text", "\n", -1).alias("lines"))
+        .select(F.col(key).alias("key"), F.xxhash64("text").alias("text_digest"), F.split("text", "\n", -1).alias("lines"))
         .withColumn("facts", F.transform("lines", lambda x: F.struct(_line_hash(x).alias("h"), _is_long(x).alias("long"))))
     )
     hashes, long_at = F.col("facts.h"), lambda i: F.get(F.col("facts.long"), i)
@@ -83,7 +83,7 @@ def repeats(docs: DataFrame, key: str = "doc_id", window: int = WINDOW, expected
     rows = removable(chunked(docs, key, window, expected)).select(
         F.struct(F.col("key").isNull().alias("last"), "key", "text_digest", "at").alias("place"),
         F.size("lines").alias("n_lines"), F.array_join("lines", "\n").alias("chunk"),
-    ).withColumn("digest", F.md5("chunk"))
+    ).withColumn("digest", F.unhex(F.md5("chunk")))
     # Several rows at one place are copies of one document and count once.
     often = (
         rows.groupBy("digest").agg(F.min("place").alias("low"), F.max("place").alias("high"))
@@ -112,7 +112,7 @@ def deduplicated(docs: DataFrame, key: str = "doc_id", window: int = WINDOW, exp
     # The rows travel as one struct, so no column of theirs can clash with those that are added.
     rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"))
     text = F.col("_row")["text"]
-    same = F.col("_row")[key].eqNullSafe(F.col("_key")) & (F.md5(text) == F.col("_digest"))
+    same = F.col("_row")[key].eqNullSafe(F.col("_key")) & (F.xxhash64(text) == F.col("_digest"))
     joined = rows.join(cuts, same, "left").withColumn("_all", F.when(F.col("_cuts").isNotNull(), F.split(text, "\n", -1)))
     after = lambda k: F.when(k == 0, 0).otherwise(F.get("_cuts.at", k - 1) + F.get("_cuts.n_lines", k - 1))
     between = F.transform(
