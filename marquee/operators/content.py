@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from marquee.functions.blocks import MATCHES, matches_across, matches_within
 from marquee.functions.text import corpus_text, tokens
-from marquee.session import materialize, spread
+from marquee.session import materialize
 
 # Vectors and postings per block: two blocks and the array of their dot products fit in a task.
 BLOCK_VECTORS = 2048
@@ -70,13 +70,14 @@ def tfidf(corpus: DataFrame, stop_words: tuple[str, ...] | None = None) -> DataF
 
 
 def _fold_copies(corpus: DataFrame, stop_words: tuple[str, ...] | None) -> tuple[DataFrame, DataFrame]:
-    """Texts with the digest of their token bag, and one numbered row per distinct bag.
+    """Texts with their token bag and its digest, and one numbered row per distinct bag.
 
-    Numbers sort like the smallest member id. Texts without tokens have a NULL digest and no vector.
+    The corpus is read and tokenised here only. Numbers sort like the smallest member id. Texts without tokens
+    have a NULL digest and no vector.
     """
-    bag = tokens(F.col("text"), stop_words)
-    digest = F.when(F.size("bag") > 0, F.sha2(F.concat_ws(" ", F.sort_array("bag")), 256))
-    texts = materialize(corpus.withColumn("bag", bag).select("item_id", digest.alias("digest")), "content-texts")
+    bag = F.sort_array(tokens(F.col("text"), stop_words))
+    digest = F.when(F.size("bag") > 0, F.sha2(F.concat_ws(" ", "bag"), 256))
+    texts = materialize(corpus.select("item_id", bag.alias("bag")).withColumn("digest", digest), "content-texts")
     vectors = (
         texts.filter(F.col("digest").isNotNull())
         .groupBy("digest").agg(F.min("item_id").alias("first_id"), F.count("*").alias("copies"))
@@ -86,15 +87,12 @@ def _fold_copies(corpus: DataFrame, stop_words: tuple[str, ...] | None) -> tuple
     return texts, materialize(vectors, "content-vectors")
 
 
-def _vectors_with_weights(
-    corpus: DataFrame, vectors: DataFrame, stop_words: tuple[str, ...] | None
-) -> DataFrame:
+def _vectors_with_weights(texts: DataFrame, vectors: DataFrame) -> DataFrame:
     """(v, postings): unit weights of each distinct vector as an array of (w, term), heaviest first."""
     chosen = vectors.select(F.col("first_id").alias("item_id"), "v", "copies")
-    counts = materialize(
-        term_counts(corpus.join(chosen, "item_id"), stop_words, keep=("v", "copies")), "content-terms"
-    )
-    n_docs = corpus.agg(F.count("*")).scalar()
+    words = texts.select("item_id", "bag").join(chosen, "item_id").select("v", "copies", F.explode("bag").alias("term"))
+    counts = materialize(words.groupBy("v", "copies", "term").agg(F.count("*").alias("tf")), "content-terms")
+    n_docs = texts.agg(F.count("*")).scalar()
     frequency = counts.groupBy("term").agg(F.sum("copies").alias("df"))
     numbered = materialize(
         frequency.withColumn("t", F.monotonically_increasing_id()).withColumn("idf", idf(F.col("df"), n_docs)),
@@ -114,15 +112,35 @@ def _vectors_with_weights(
     )
 
 
-def _cut_into_blocks(vectors: DataFrame, block_vectors: int) -> tuple[DataFrame, int]:
-    """Vectors with a ``block`` number. Blocks follow the heaviest terms, so likely neighbours share one;
-    the vector number splits a term that is heaviest in too many vectors."""
-    vectors = materialize(vectors, "content-weights")
-    size = vectors.agg(F.count("*").alias("n"), F.sum(F.size("terms")).alias("postings")).first()
-    blocks = max(1, math.ceil(size["n"] / block_vectors), math.ceil((size["postings"] or 0) / BLOCK_POSTINGS))
+def _cut_into_blocks(
+    vectors: DataFrame, block_vectors: int, block_postings: int = BLOCK_POSTINGS
+) -> tuple[DataFrame, int]:
+    """Vectors with a ``block`` number. Blocks follow the heaviest terms, so likely neighbours share one.
+
+    A vector fills a share of a block, by its postings or as one of ``block_vectors``; blocks are cut where the
+    running sum of shares passes a whole number, so none holds more than its bounds and one vector. The sum is
+    added up within ranges of the order first, then over the ranges.
+    """
     order = [F.get("terms", F.lit(0)), F.get("terms", F.lit(1)), F.col("v")]
-    cut = vectors.repartitionByRange(blocks, *order).withColumn("block", F.spark_partition_id())
-    return materialize(cut, "content-blocks"), blocks
+    share = F.greatest(F.lit(1.0 / block_vectors), F.size("terms") / F.lit(float(block_postings)))
+    vectors = materialize(vectors.withColumn("share", share), "content-weights")
+    total = vectors.agg(F.coalesce(F.sum("share"), F.lit(0.0))).first()[0]
+    ranged = materialize(
+        vectors.repartitionByRange(max(1, math.ceil(4 * total)), *order).withColumn("range", F.spark_partition_id()),
+        "content-ranges",
+    )
+    so_far = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = (
+        ranged.groupBy("range").agg(F.sum("share").alias("sum"))
+        .select("range", F.coalesce(F.sum("sum").over(so_far), F.lit(0.0)).alias("before"))
+    )
+    inside = Window.partitionBy("range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    at = F.col("before") + F.coalesce(F.sum("share").over(inside), F.lit(0.0))
+    cut = materialize(
+        ranged.join(ranges, "range").withColumn("block", F.floor(at).cast("int")).drop("range", "share", "before"),
+        "content-blocks",
+    )
+    return cut, (cut.agg(F.max("block")).first()[0] or 0) + 1
 
 
 def _similar_vectors(vectors: DataFrame, top_k: int, block_vectors: int) -> DataFrame:
@@ -169,9 +187,8 @@ def similar_texts(
 ) -> DataFrame:
     """(item_id, matches): per text its best other texts as a sorted array of (neighbor, score) with
     positive score, NULL or empty when there is none."""
-    corpus = spread(corpus)
     texts, vectors = _fold_copies(corpus, stop_words)
-    weights = _vectors_with_weights(corpus, vectors, stop_words)
+    weights = _vectors_with_weights(texts, vectors)
 
     best_first = Window.partitionBy("x").orderBy(F.col("score").desc(), "y")
     best = (

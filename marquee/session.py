@@ -12,6 +12,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+FEW_FILES = 8
 _local_roots: dict[str, str] = {}
 _shipped: set[str] = set()
 _scratch: contextvars.ContextVar[str | None] = contextvars.ContextVar("scratch", default=None)
@@ -109,10 +110,13 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores on an input of few large files; an input with enough splits is left alone."""
-    wanted = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df
+def spread(table: DataFrame) -> DataFrame:
+    """Use all cores on a stored table of few files, as the small ones are; a table of many files is left alone.
+
+    For tables as they are read: it asks for their files and plans nothing.
+    """
+    wanted = table.sparkSession.sparkContext.defaultParallelism
+    return table.repartition(wanted) if len(table.inputFiles()) < min(wanted, FEW_FILES) else table
 
 
 def ship_package(spark: SparkSession) -> None:

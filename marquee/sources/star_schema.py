@@ -94,7 +94,7 @@ def baskets(spark: SparkSession, root: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, root: str) -> DataFrame:
-    return table(spark, root, "documents").select(_padded("d", "doc_id").alias("item_id"), "text")
+    return spread(table(spark, root, "documents")).select(_padded("d", "doc_id").alias("item_id"), "text")
 
 
 def genre_priors(spark: SparkSession, root: str) -> DataFrame:

@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from marquee.functions import blocks
 from marquee.operators import content
@@ -82,3 +83,29 @@ def test_stop_words_and_short_tokens_are_dropped(spark):
     for row in content.term_counts(df).collect():
         found[row["term"]] = row["tf"]
     assert dict(found) == {"été": 1, "x_1": 1}
+
+
+def test_blocks_are_bounded_by_postings_and_vectors(spark):
+    """Short vectors beside long ones: no block exceeds its bounds by more than one vector."""
+    rows = [(v, [v % 7, 100], [0.5, 0.5]) for v in range(400)] + [
+        (400 + v, list(range(200, 300)), [0.1] * 100) for v in range(100)
+    ]
+    vectors = spark.createDataFrame(rows, "v long, terms array<long>, weights array<double>")
+    cut, blocks = content._cut_into_blocks(vectors, 60, 1000)
+    sizes = [len(r["n"]) for r in cut.groupBy("block").agg(F.collect_list("v").alias("n")).collect()]
+    postings = [r["n"] for r in cut.groupBy("block").agg(F.sum(F.size("terms")).alias("n")).collect()]
+    assert sum(sizes) == 500 and max(sizes) <= 61 and max(postings) <= 1100 and len(sizes) <= blocks
+
+
+def test_the_corpus_is_read_once(spark, tmp_path):
+    """A corpus that changes between reads would change its copies."""
+    df = spark.createDataFrame([(f"d{i}", f"word{i % 5} word{i % 3}") for i in range(30)], "item_id string, text string")
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(parts):
+        for part in parts:
+            reads.add(part.num_rows)
+            yield part
+
+    content.similar_texts(df.mapInArrow(counted, df.schema), stop_words=()).collect()
+    assert reads.value == 30
