@@ -2,12 +2,16 @@
 
 Every line is hashed, and a rolling hash over ``WINDOW`` neighbouring line hashes decides whether a chunk starts at a
 line. The decision looks at nothing else, so lines inserted elsewhere in a document move no boundary. A line of more
-than ``LONG_LINE`` words is a passage by itself and always its own chunk. Chunks of several lines, and such long
-lines, that occur more than once in the corpus are removed everywhere but at their first occurrence.
+than ``OWN_LINE`` words is always its own chunk. Chunks that occur more than once in the corpus are compared byte by
+byte with their first occurrence. The chunk at either edge of a shared passage also holds lines of its own document;
+therefore a repeat is extended line by line, as far as the lines around the chunk equal those around its first
+occurrence. Repeats of several lines, and of single lines of more than ``LONG_LINE`` words, are then removed everywhere
+but at their first occurrence; a shorter line that repeats by itself stays.
 
 Plan: DataFrame functions only. First only digests and positions of chunks move, combined before the shuffle, so a
 chunk that a third of all documents share is a row per task. The texts of chunks whose digest repeats are then
-grouped by the text itself, which compares their bytes. Removals are joined to the documents by document.
+grouped by the text itself, which compares their bytes. For the extension the line hashes of the two documents, 64
+bits a line, meet at each repeat. Removals are joined to the documents by document.
 """
 
 from __future__ import annotations
@@ -21,6 +25,9 @@ from marquee.session import materialize
 WINDOW = 2
 EXPECTED_LINES = 2  # a chunk has about so many lines
 LONG_LINE = 50
+OWN_LINE = 20
+SEED_WORDS = 8  # a single line of fewer words is no place to start a comparison from
+REACH = 64  # lines; between two chunks of a passage there are as many single lines with a chance of 2^-64
 # Fixed values of the rolling hash: a prime below 2^31 and the multiplier of a step.
 MODULUS = 2147483647
 STEP = 1000003
@@ -32,11 +39,6 @@ def _line_hash(line: Column) -> Column:
     return F.conv(F.substring(F.md5(line), 1, 8), 16, 10).cast("long") % MODULUS
 
 
-def _is_long(line: Column) -> Column:
-    """More than ``LONG_LINE`` words; shorter lines than that many words could have are not counted."""
-    return (F.length(line) > 2 * LONG_LINE) & (F.regexp_count(line, F.lit(WORD_PATTERN)) > LONG_LINE)
-
-
 def _rolling(hashes: Column, at: Column, window: int) -> Column:
     """Hash of the ``window`` line hashes that end at index ``at``; fewer at the start of a document."""
     first = F.greatest(at - (window - 1), F.lit(0))
@@ -46,43 +48,45 @@ def _rolling(hashes: Column, at: Column, window: int) -> Column:
 
 
 def chunked(docs: DataFrame, key: str = "doc_id", window: int = WINDOW, expected: int = EXPECTED_LINES) -> DataFrame:
-    """(key, text_digest, at, lines): the chunks of every text, ``at`` is the index of their first line. Null texts
-    have none."""
+    """(key, text_digest, at, lines, words): the chunks of every text, ``at`` is the index of their first line and
+    ``words`` the words of the longest. Null texts have none."""
     marked = (
         docs.filter("text IS NOT NULL")
         .select(F.col(key).alias("key"), F.xxhash64("text").alias("text_digest"), F.split("text", "\n", -1).alias("lines"))
-        .withColumn("facts", F.transform("lines", lambda x: F.struct(_line_hash(x).alias("h"), _is_long(x).alias("long"))))
+        .withColumn("facts", F.transform("lines", lambda x: F.struct(_line_hash(x).alias("h"), F.regexp_count(x, F.lit(WORD_PATTERN)).alias("words"))))
     )
-    hashes, long_at = F.col("facts.h"), lambda i: F.get(F.col("facts.long"), i)
+    hashes, own = F.col("facts.h"), lambda i: F.get(F.col("facts.words"), i) > OWN_LINE
     starts = F.filter(
         F.sequence(F.lit(0), F.size("lines") - 1),
-        lambda i: (i == 0) | long_at(i) | long_at(i - 1) | (F.shiftright(_rolling(hashes, i, window), 7) % expected == 0),
-    )
-    cut = marked.select("key", "text_digest", "lines", starts.alias("starts"))
-    chunks = F.transform(
-        "starts",
-        lambda s, k: F.struct(
-            s.alias("at"), F.slice("lines", s + 1, F.coalesce(F.get("starts", k + 1), F.size("lines")) - s).alias("lines")
-        ),
+        lambda i: (i == 0) | own(i) | own(i - 1) | (F.shiftright(_rolling(hashes, i, window), 7) % expected == 0),
     )
+    cut = marked.select("key", "text_digest", "lines", F.col("facts.words").alias("counts"), starts.alias("starts"))
+
+    def chunk(start: Column, number: Column) -> Column:
+        size = F.coalesce(F.get("starts", number + 1), F.size("lines")) - start
+        return F.struct(
+            start.alias("at"), F.slice("lines", start + 1, size).alias("lines"),
+            F.array_max(F.slice("counts", start + 1, size)).alias("words"),
+        )
+
+    chunks = F.transform("starts", chunk)
     return cut.select("key", "text_digest", F.inline(chunks))
 
 
-def removable(chunks: DataFrame) -> DataFrame:
-    """Chunks that may be removed: several lines, or one long line, and not blank throughout."""
-    return chunks.filter(
-        ((F.size("lines") > 1) | _is_long(F.get("lines", F.lit(0)))) & F.exists("lines", lambda x: F.length(F.trim(x)) > 0)
-    )
+def comparable(chunks: DataFrame) -> DataFrame:
+    """Chunks that are compared: several lines with some word, or a single line of more than ``SEED_WORDS``."""
+    return chunks.filter(((F.size("lines") > 1) & (F.col("words") > 0)) | (F.col("words") > SEED_WORDS))
 
 
 def repeats(docs: DataFrame, key: str = "doc_id", window: int = WINDOW, expected: int = EXPECTED_LINES) -> DataFrame:
-    """(key, text_digest, at, n_lines) of every chunk that repeats one at an earlier place.
+    """(place, n_lines, words, first) of every chunk that repeats one at an earlier place, which is ``first``.
 
-    Places are ordered by key, null last, then by the text's digest and the chunk's first line.
+    A place is (last, key, text_digest, at); places are ordered by key, null last, then by the text's digest and
+    the chunk's first line.
     """
-    rows = removable(chunked(docs, key, window, expected)).select(
+    rows = comparable(chunked(docs, key, window, expected)).select(
         F.struct(F.col("key").isNull().alias("last"), "key", "text_digest", "at").alias("place"),
-        F.size("lines").alias("n_lines"), F.array_join("lines", "\n").alias("chunk"),
+        F.size("lines").alias("n_lines"), "words", F.array_join("lines", "\n").alias("chunk"),
     ).withColumn("digest", F.unhex(F.md5("chunk")))
     # Several rows at one place are copies of one document and count once.
     often = (
@@ -91,37 +95,77 @@ def repeats(docs: DataFrame, key: str = "doc_id", window: int = WINDOW, expected
     )
     suspects = materialize(rows.join(often, "digest", "left_semi"), "line-chunks")
     first = suspects.groupBy("digest", "chunk").agg(F.min("place").alias("first"))  # equal bytes, not just digests
-    return suspects.join(first, ["digest", "chunk"]).filter("place > first").select(
-        F.col("place.key").alias("key"), F.col("place.text_digest").alias("text_digest"),
-        F.col("place.at").alias("at"), "n_lines",
-    ).distinct()
+    found = suspects.join(first, ["digest", "chunk"]).filter("place > first")
+    return found.select("place", "n_lines", "words", "first").distinct()
+
+
+def _equal_run(most: Column, differs) -> Column:
+    """How many of the steps 1 to ``most`` pass before the first that differs."""
+    most = F.least(most, F.lit(REACH))
+    steps = F.when(most > 0, F.sequence(F.lit(1), most)).otherwise(F.array().cast("array<int>"))
+    return F.coalesce(F.array_min(F.filter(steps, differs)) - 1, F.greatest(most, F.lit(0)))
+
+
+def extended(found: DataFrame, docs: DataFrame, key: str = "doc_id") -> DataFrame:
+    """(key, text_digest, at, n_lines) of the repeats, with the equal lines before and after them, that are removed:
+    those of several lines, and single lines of more than ``LONG_LINE`` words.
+
+    Only lines of another document extend a repeat. An extension equals lines of an earlier document, so of every
+    line that goes, the earliest equal one stays.
+    """
+    hashes = docs.filter("text IS NOT NULL").select(
+        F.col(key).alias("key"), F.xxhash64("text").alias("text_digest"),
+        F.transform(F.split("text", "\n", -1), lambda x: F.xxhash64(x)).alias("lines"),
+    ).dropDuplicates(["key", "text_digest"])
+
+    def lines_of(side: str) -> DataFrame:
+        return hashes.select(*[F.col(c).alias(f"{side}_{c}") for c in ("key", "text_digest", "lines")])
+
+    def same(side: str, place: str) -> Column:
+        return F.col(f"{place}.key").eqNullSafe(F.col(f"{side}_key")) & (
+            F.col(f"{place}.text_digest") == F.col(f"{side}_text_digest")
+        )
+
+    met = found.join(lines_of("a"), same("a", "place")).join(lines_of("b"), same("b", "first"))
+    at, start, n = F.col("place.at"), F.col("first.at"), F.col("n_lines")
+    apart = ~(F.col("place.key").eqNullSafe(F.col("first.key")) & (F.col("place.text_digest") == F.col("first.text_digest")))
+    before = _equal_run(F.least(at, start), lambda k: F.get("a_lines", at - k) != F.get("b_lines", start - k))
+    after = _equal_run(
+        F.least(F.size("a_lines") - at, F.size("b_lines") - start) - n,
+        lambda k: F.get("a_lines", at + n + k - 1) != F.get("b_lines", start + n + k - 1),
+    )
+    back, on = F.when(apart, before).otherwise(0), F.when(apart, after).otherwise(0)
+    return met.select(
+        F.col("place.key").alias("key"), F.col("place.text_digest").alias("text_digest"), (at - back).alias("at"),
+        (n + back + on).alias("n_lines"), "words",
+    ).filter((F.col("n_lines") > 1) | (F.col("words") > LONG_LINE)).drop("words")
 
 
 def deduplicated(docs: DataFrame, key: str = "doc_id", window: int = WINDOW, expected: int = EXPECTED_LINES) -> DataFrame:
     """The documents with repeated chunks cut out of ``text``, and the number of removed chunks and lines.
 
     Returns the columns of ``docs`` with the new text, ``removed_chunks`` and ``removed_lines``, which replace columns
-    of these names. The lines that stay
-    keep their order. A text of which all is removed is empty. Null and empty texts stay as they are. Rows that
-    share key and text are copies of one document: they are treated alike, and none is a repeat of the other. No
-    rows give no rows.
+    of these names. The lines that stay keep their order. A text of which all is removed is empty. Null and empty
+    texts stay as they are. Rows that share key and text are copies of one document: they are treated alike, and none
+    is a repeat of the other. No rows give no rows.
     """
-    cuts = repeats(docs, key, window, expected).groupBy(F.col("key").alias("_key"), F.col("text_digest").alias("_digest")).agg(
-        F.array_sort(F.collect_list(F.struct("at", "n_lines"))).alias("_cuts"), F.sum("n_lines").alias("_lines")
+    found = materialize(repeats(docs, key, window, expected), "line-repeats")
+    ranges = extended(found, docs, key)
+    cuts = ranges.groupBy(F.col("key").alias("_key"), F.col("text_digest").alias("_digest")).agg(
+        F.collect_list(F.struct("at", "n_lines")).alias("_cuts")
     )
     # The rows travel as one struct, so no column of theirs can clash with those that are added.
     rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"))
     text = F.col("_row")["text"]
     same = F.col("_row")[key].eqNullSafe(F.col("_key")) & (F.xxhash64(text) == F.col("_digest"))
-    joined = rows.join(cuts, same, "left").withColumn("_all", F.when(F.col("_cuts").isNotNull(), F.split(text, "\n", -1)))
-    after = lambda k: F.when(k == 0, 0).otherwise(F.get("_cuts.at", k - 1) + F.get("_cuts.n_lines", k - 1))
-    between = F.transform(
-        F.sequence(F.lit(0), F.size("_cuts")),
-        lambda k: F.slice("_all", after(k) + 1, F.coalesce(F.get("_cuts.at", k), F.size("_all")) - after(k)),
+    gone = F.array_distinct(F.flatten(F.transform("_cuts", lambda c: F.sequence(c["at"], c["at"] + c["n_lines"] - 1))))
+    joined = rows.join(cuts, same, "left").select(
+        "_row", "_cuts", gone.alias("_gone"), F.when(F.col("_cuts").isNotNull(), F.split(text, "\n", -1)).alias("_all")
     )
-    rest = F.when(F.col("_cuts").isNull(), text).otherwise(F.array_join(F.flatten(between), "\n"))
+    stay = F.array_except(F.sequence(F.lit(0), F.size("_all") - 1), F.col("_gone"))
+    rest = F.when(F.col("_cuts").isNull(), text).otherwise(F.array_join(F.transform(stay, lambda i: F.get("_all", i)), "\n"))
+    count = lambda column: F.when(F.col(column).isNull(), 0).otherwise(F.size(column)).cast("long")
     return joined.select(
         *[(rest if c == "text" else F.col("_row")[c]).alias(c) for c in docs.columns if c not in COUNTS],
-        F.when(F.col("_cuts").isNull(), 0).otherwise(F.size("_cuts")).cast("long").alias(COUNTS[0]),
-        F.coalesce("_lines", F.lit(0)).cast("long").alias(COUNTS[1]),
+        count("_cuts").alias(COUNTS[0]), count("_gone").alias(COUNTS[1]),
     )

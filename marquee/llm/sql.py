@@ -61,22 +61,31 @@ SELECT doc_id, source, size, source_size, target, epochs, size * (epochs + CASE
     AND before + size / 2.0::DOUBLE <= target - (epochs * source_size)::DOUBLE THEN 1 ELSE 0 END) AS taken FROM placed"""
 
 _P, _M = line_chunks.STEP, line_chunks.MODULUS
-_LONG = f"len(regexp_extract_all({{}}, '[^\\x20\\x09-\\x0D]+')) > {line_chunks.LONG_LINE}"
 
 LINE_CHUNKS = f"""WITH split AS (SELECT doc_id, md5(text) AS td, string_split(text, chr(10)) AS lines FROM documents
     WHERE text IS NOT NULL),
 facts AS (SELECT *, list_transform(lines, lambda x: CAST('0x' || substr(md5(x), 1, 8) AS BIGINT) % {_M}) AS h,
-    list_transform(lines, lambda x: {_LONG.format("x")}) AS long FROM split),
-cut AS (SELECT *, list_filter(range(0, len(lines)), lambda i: i = 0 OR long[i + 1] OR long[i]
+    list_transform(lines, lambda x: len(regexp_extract_all(x, '[^\\x20\\x09-\\x0D]+'))) AS words FROM split),
+cut AS (SELECT *, list_filter(range(0, len(lines)), lambda i: i = 0 OR words[i + 1] > {line_chunks.OWN_LINE} OR words[i] > {line_chunks.OWN_LINE}
     OR (((h[i] * {_P} + h[i + 1]) % {_M}) >> 7) % {line_chunks.EXPECTED_LINES} = 0) AS starts FROM facts),
-chunks AS (SELECT doc_id, td, starts[k] AS pos, lines[starts[k] + 1:coalesce(starts[k + 1], len(lines))] AS part
+chunks AS (SELECT doc_id, td, starts[k] AS pos, lines[starts[k] + 1:coalesce(starts[k + 1], len(lines))] AS part,
+    list_max(words[starts[k] + 1:coalesce(starts[k + 1], len(lines))]) AS words
     FROM cut, unnest(range(1, len(starts) + 1)) u(k)),
-repeats AS (SELECT doc_id, td, pos, len(part) AS n FROM chunks
-    WHERE (len(part) > 1 OR {_LONG.format("part[1]")}) AND len(list_filter(part, lambda x: trim(x) <> '')) > 0
-    QUALIFY dense_rank() OVER (PARTITION BY array_to_string(part, chr(10)) ORDER BY doc_id NULLS LAST, td, pos) > 1),
-kept AS (SELECT c.doc_id, c.td, array_to_string(flatten(list(part ORDER BY pos) FILTER (r.pos IS NULL)), chr(10)) AS text,
-    count(r.pos) AS removed_chunks, coalesce(sum(r.n), 0)::BIGINT AS removed_lines
-    FROM chunks c LEFT JOIN repeats r USING (doc_id, td, pos) GROUP BY c.doc_id, c.td)
-SELECT d.doc_id, d.lang, d.source, d.n_chars, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(k.text, '') END AS text,
+placed AS (SELECT doc_id, td, pos, words, len(part) AS n, first_value((doc_id, td, pos)) OVER w AS f, dense_rank() OVER w AS nth
+    FROM chunks WHERE (len(part) > 1 AND words > 0) OR words > {line_chunks.SEED_WORDS}
+    WINDOW w AS (PARTITION BY array_to_string(part, chr(10)) ORDER BY doc_id NULLS LAST, td, pos)),
+met AS (SELECT p.doc_id, p.td, pos, n, words, f[3] AS fpos, a.lines AS a, b.lines AS b, p.doc_id = f[1] AND p.td = f[2] AS own FROM placed p
+    JOIN split a ON a.doc_id = p.doc_id AND a.td = p.td JOIN split b ON b.doc_id = f[1] AND b.td = f[2] WHERE nth > 1),
+reach AS (SELECT *, CASE WHEN own THEN 0 ELSE least(pos, fpos, {line_chunks.REACH}) END AS low,
+    CASE WHEN own THEN 0 ELSE least(len(a) - pos - n, len(b) - fpos - n, {line_chunks.REACH}) END AS high FROM met),
+cuts AS (SELECT doc_id, td, pos, n, words,
+    coalesce(list_min(list_filter(range(1, low + 1), lambda k: a[pos - k + 1] <> b[fpos - k + 1])) - 1, low) AS back,
+    coalesce(list_min(list_filter(range(1, high + 1), lambda k: a[pos + n + k] <> b[fpos + n + k])) - 1, high) AS onward FROM reach),
+gone AS (SELECT doc_id, td, count(*) AS removed_chunks, list_distinct(flatten(list(range(pos - back, pos + n + onward)))) AS gone
+    FROM cuts WHERE n + back + onward > 1 OR words > {line_chunks.LONG_LINE} GROUP BY doc_id, td),
+kept AS (SELECT g.doc_id, g.td, removed_chunks, len(gone) AS removed_lines, array_to_string(list_transform(
+    list_filter(range(0, len(lines)), lambda i: NOT list_contains(gone, i)), lambda i: lines[i + 1]), chr(10)) AS text
+    FROM gone g JOIN split s ON s.doc_id = g.doc_id AND s.td = g.td)
+SELECT d.doc_id, d.lang, d.source, d.n_chars, CASE WHEN k.doc_id IS NULL THEN d.text ELSE k.text END AS text,
     coalesce(removed_chunks, 0) AS removed_chunks, coalesce(removed_lines, 0) AS removed_lines
     FROM documents d LEFT JOIN kept k ON k.doc_id = d.doc_id AND k.td = md5(d.text)"""

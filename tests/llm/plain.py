@@ -69,7 +69,7 @@ def fingerprint_groups(rows):
 def line_chunks(text):
     lines = text.split("\n")
     h = [int(hashlib.md5(x.encode()).hexdigest()[:8], 16) % 2147483647 for x in lines]
-    long = [len(words(x)) > 50 for x in lines]
+    long = [len(words(x)) > 20 for x in lines]
     starts = [
         i for i in range(len(lines))
         if i == 0 or long[i] or long[i - 1] or ((h[i - 1] * 1000003 + h[i]) % 2147483647 >> 7) % 2 == 0
@@ -79,21 +79,27 @@ def line_chunks(text):
 
 def without_repeats(rows):
     """{doc_id: text} of (doc_id, text) with distinct ids."""
-    seen, out = set(), {}
-    for key, text in sorted(rows):
-        if text is None:
-            out[key] = None
-            continue
-        rest = []
-        for _, lines in line_chunks(text):
-            body = "\n".join(lines)
-            if (len(lines) > 1 or len(words(lines[0])) > 50) and any(x.strip(" ") for x in lines):
-                if body in seen:
-                    continue
-                seen.add(body)
-            rest.extend(lines)
-        out[key] = "\n".join(rest)
-    return out
+    first, seeds = {}, []
+    lines = {key: text.split("\n") for key, text in rows if text is not None}
+    for key in sorted(lines):
+        for at, part in line_chunks("\n".join(lines[key])):
+            most = max(len(words(x)) for x in part)
+            if (len(part) > 1 and most) or most > 8:
+                where = first.setdefault("\n".join(part), (key, at))
+                if where != (key, at):
+                    seeds.append((key, at, len(part), *where))
+    gone = {key: set() for key in lines}
+    for key, at, n, other, start in seeds:
+        a, b, low, high = lines[key], lines[other], 0, n
+        if key != other:
+            while at - low > 0 and start - low > 0 and a[at - low - 1] == b[start - low - 1]:
+                low += 1
+            while at + high < len(a) and start + high < len(b) and a[at + high] == b[start + high]:
+                high += 1
+        if low + high > 1 or len(words(a[at])) > 50:
+            gone[key].update(range(at - low, at + high))
+    out = {key: None for key, _ in rows}
+    return out | {key: "\n".join(x for i, x in enumerate(lines[key]) if i not in gone[key]) for key in lines}
 
 
 def targets(sizes):

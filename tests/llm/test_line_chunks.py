@@ -36,6 +36,21 @@ def test_long_repeated_lines_go_wherever_they_stand(spark):
     assert passage in got[0] and all(got[i] == f"own line {i}\nanother line {i}" for i in range(1, 20))
 
 
+def test_whole_passages_go_and_stay_once(spark):
+    """Passages of several lines between own lines: every copy goes whole, each passage stays somewhere."""
+    rng = random.Random(8)
+    line = lambda n: " ".join("".join(rng.choice("abcdefgh") for _ in range(4)) for _ in range(n))
+    passages = [[line(rng.randrange(8, 30)) for _ in range(rng.randrange(4, 9))] for _ in range(10)]
+    rows = []
+    for i in range(120):
+        rows.append((i, "\n".join([line(5), line(6), *passages[i % 10], line(7), line(4)]), None, None, 0, 0))
+    got = {r.doc_id: r.text.split("\n") for r in line_chunks.deduplicated(spark.createDataFrame(rows, SCHEMA)).collect()}
+    left = sum(x in p for i, lines in got.items() for x in lines for p in [passages[i % 10]])
+    assert left <= 1.3 * sum(map(len, passages))
+    assert all(any(x in lines for lines in got.values()) for p in passages for x in p)
+    assert all(set(rows[i][1].split("\n")) - set(passages[i % 10]) <= set(lines) for i, lines in got.items())
+
+
 def test_boundaries_resist_shifts():
     rng = random.Random(2)
     lines = [" ".join(rng.choice("abcdefgh") * 3 for _ in range(6)) for _ in range(200)]
