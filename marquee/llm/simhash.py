@@ -10,6 +10,10 @@ by four bytes, contain every pair that shares five. A list with more than ``LONG
 of near copies leaves, is intersected again: what is left of the fingerprint is cut into eight parts, of which five
 must be equal, and so on, until the lists are short or hold at most the 256 values of the last eight bits.
 
+For the wider similarity of the pipeline, 0.8 of the five-word shingles, texts get a fingerprint of 64 positional bytes
+over word pairs; the same index holds triples of them, and the tally and the verification use measured bounds instead
+of guaranteed ones, since no bound on differing bytes is guaranteed there.
+
 Plan: fingerprints in Arrow batches; equal ones fold to one node before anything is paired, so exact copies cost
 nothing. Lists are counted before they are joined, and only lists with two or more members are.
 """
@@ -35,6 +39,12 @@ MOST_BITS = 3
 PARTS = 8
 LEAST_SHARED = PARTS - MOST_BITS
 LONGEST = 256
+# For similar texts: bits, shared bytes and differing bits of wide fingerprints over word pairs. Of texts with a
+# similarity of 0.8 nearly all share 18 of the 64 positional bytes and differ in 56 bits at most.
+WIDE_WORDS = 2
+WIDE_PARTS = 8
+WIDE_LEAST_SHARED = 18
+WIDE_MOST_BITS = 56
 BLOCK_BYTES = 1 << 20  # a text is shingled in blocks of about this size
 
 _FOLD = bytes.maketrans(UPPER.encode(), LOWER.encode())
@@ -54,44 +64,78 @@ def _blocks(raw: bytes, width: int):
         at = end
 
 
-def fingerprint(text: str | None, width: int = SHINGLE_WORDS) -> int:
-    """Majority of every bit over the hashes of all shingles, repeats included, as a signed 64-bit number.
+def _tally(hashes: np.ndarray) -> np.ndarray:
+    """Ones per bit of big-endian 64-bit hashes; added in bytes first, which 255 rows cannot overflow."""
+    bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1)
+    full = len(bits) // 255 * 255
+    ones = bits[full:].sum(0, dtype=np.int64)
+    if full:
+        ones += bits[:full].reshape(-1, 255, BITS).sum(1, dtype=np.uint8).sum(0, dtype=np.int64)
+    return ones
 
-    A text with fewer words than a shingle is one shingle; without words the fingerprint is zero.
-    """
+
+def _hashes(text: str | None, width: int):
+    """Hashes of all shingles of a text, repeats included, block by block. A text with fewer words than a shingle is
+    one shingle; without words there is none."""
     raw = (text or "").encode("utf-8", "surrogatepass")
-    ones, n, few = np.zeros(BITS, dtype=np.int64), 0, []
+    digest, any_, few = xxhash.xxh64_digest, False, []
     for words in _blocks(raw, width):
         if len(words) < width:
             few = words
             continue
-        few = []
-        digest = xxhash.xxh64_digest
-        hashes = b"".join([digest(b" ".join(s), HASH_SEED) for s in zip(*(words[i:] for i in range(width)), strict=False)])
-        count = len(hashes) // 8
-        ones += np.unpackbits(np.frombuffer(hashes, np.uint8).reshape(count, 8), axis=1).sum(0, dtype=np.int64)
-        n += count
+        any_ = True
+        shingles = zip(*(words[i:] for i in range(width)), strict=False)
+        yield np.frombuffer(b"".join([digest(b" ".join(s), HASH_SEED) for s in shingles]), ">u8")
+    if few and not any_:
+        yield np.frombuffer(digest(b" ".join(few), HASH_SEED), ">u8")
+
+
+def fingerprint(text: str | None, width: int = SHINGLE_WORDS) -> int:
+    """Majority of every bit over the hashes of all shingles as a signed 64-bit number; zero without words."""
+    ones, n = np.zeros(BITS, dtype=np.int64), 0
+    for hashes in _hashes(text, width):
+        ones += _tally(hashes)
+        n += len(hashes)
+    return int(np.packbits(2 * ones > n).view(">i8")[0]) if n else 0
+
+
+def _rehashed(hashes: np.ndarray, part: int) -> np.ndarray:
+    """Another hash of the same shingles, for the further parts of a wide fingerprint."""
+    x = hashes.astype(np.uint64) + np.uint64(part * 0x9E3779B97F4A7C15 & (1 << 64) - 1)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return (x ^ (x >> np.uint64(31))).astype(">u8")
+
+
+def wide_fingerprint(text: str | None, width: int = WIDE_WORDS, parts: int = WIDE_PARTS) -> list[int]:
+    """A fingerprint of ``parts`` times 64 bits, each part over another hash of the shingles."""
+    ones, n = np.zeros((parts, BITS), dtype=np.int64), 0
+    for hashes in _hashes(text, width):
+        for part in range(parts):
+            ones[part] += _tally(_rehashed(hashes, part))
+        n += len(hashes)
     if not n:
-        if not few:
-            return 0
-        ones, n = np.unpackbits(np.frombuffer(xxhash.xxh64_digest(b" ".join(few), HASH_SEED), np.uint8)).astype(np.int64), 1
-    return int(np.packbits(2 * ones > n).view(">i8")[0])
+        return [0] * parts
+    return np.packbits(2 * ones > n, axis=1).view(">i8").ravel().tolist()
 
 
-def fingerprints(docs: DataFrame, key: str = "doc_id", width: int = SHINGLE_WORDS) -> DataFrame:
-    """(key, fp) of every row; null texts count as empty."""
-    schema = pa.schema([("key", pa.int64()), ("fp", pa.int64())])
+def fingerprints(docs: DataFrame, key: str = "doc_id", width: int = SHINGLE_WORDS, wide: bool = False) -> DataFrame:
+    """(key, fp) of every row, with ``wide`` also the wide fingerprint; null texts count as empty."""
+    schema = pa.schema([("key", pa.int64()), ("fp", pa.int64()), *([("wide", pa.list_(pa.int64()))] if wide else [])])
 
     def run(parts):
         def rows():
             for part in parts:
                 for one, text in zip(part.column(0).to_pylist(), part.column(1), strict=True):
-                    yield one, fingerprint(text.as_py(), width)
+                    text = text.as_py()
+                    yield (one, fingerprint(text, width), *([wide_fingerprint(text)] if wide else []))
 
         yield from batches(schema, rows())
 
     small_batches(docs)
-    return docs.select(F.col(key).cast("long"), "text").mapInArrow(run, "key bigint, fp bigint")
+    return docs.select(F.col(key).cast("long"), "text").mapInArrow(
+        run, "key bigint, fp bigint" + (", wide array<bigint>" if wide else "")
+    )
 
 
 def quadruples() -> list[tuple[int, ...]]:
@@ -184,11 +228,77 @@ def near_duplicates(
     return prints.join(of_print, "fp").select(F.col("key").alias(key), "fp", "component_id")
 
 
+def _triples(parts: int = WIDE_PARTS) -> list[tuple[int, int, int]]:
+    """Triples of byte positions that key the lists of wide fingerprints: every position is in two of them."""
+    positions = range(8 * parts)
+    rounds = [list(positions), sorted(positions, key=lambda p: (p * 37 % (8 * parts), p))]
+    return [tuple(r[i:i + 3]) for r in rounds for i in range(0, len(r) - 2, 3)]
+
+
+def _byte(array: str, position: int) -> str:
+    return f"(shiftrightunsigned({array}[{position // 8}], {8 * (position % 8)}) & 255L)"
+
+
+def similar_links(nodes: DataFrame, most: int = WIDE_MOST_BITS, least_shared: int = WIDE_LEAST_SHARED) -> DataFrame:
+    """Links (u, v) of similar wide fingerprints, from (node, wide).
+
+    A list joins the fingerprints that agree in three positional bytes. Its members are compared with one of them,
+    another one in every list, so a list costs its length; near copies share many lists. For every pair the shared
+    positional bytes are tallied, pairs with fewer than similar texts have are dropped, the others verified.
+    """
+    keys = [
+        f"{n}L << 24 | {_byte('wide', a)} << 16 | {_byte('wide', b)} << 8 | {_byte('wide', c)}"
+        for n, (a, b, c) in enumerate(_triples())
+    ]
+    entries = nodes.select("node", F.explode(F.array(*map(F.expr, keys))).alias("list"))
+    leaders = (
+        entries.groupBy("list").agg(F.count("*").alias("n"), F.expr("min_by(node, xxhash64(node, list))").alias("leader"))
+        .filter("n > 1").drop("n")
+    )
+    pairs = (
+        entries.join(leaders, "list").filter("node <> leader")
+        .select(F.least("node", "leader").alias("u"), F.greatest("node", "leader").alias("v")).distinct()
+    )
+    of = lambda name: nodes.select(F.col("node").alias(name), F.col("wide").alias(f"{name}_wide"))
+    met = pairs.join(of("u"), "u").join(of("v"), "v")
+    differ = [f"(u_wide[{i}] ^ v_wide[{i}])" for i in range(WIDE_PARTS)]
+    shared = " + ".join(
+        f"int((shiftrightunsigned({x}, {8 * i}) & 255L) = 0)" for x in differ for i in range(8)
+    )
+    flips = " + ".join(f"bit_count({x})" for x in differ)
+    return met.filter(F.expr(f"{shared} >= {least_shared}") & F.expr(f"{flips} <= {most}")).select("u", "v")
+
+
+def similar_groups(docs: DataFrame, key: str = "doc_id", longest: int = LONGEST) -> DataFrame:
+    """(key, group) of every row: texts that share about 0.8 of their five-word shingles or more, or whose narrow
+    fingerprints differ in at most three bits, and what these links connect.
+
+    Three bits of 64 find texts that are all but equal. For the similarity a wide fingerprint is compared: texts with a
+    similarity of 0.8 differ in about a tenth of 512 bits over word pairs (measured in README). The group is its
+    smallest key, null only without any; empty and null texts form one group.
+    """
+    prints = materialize(fingerprints(docs, key, wide=True), "wide-fingerprints")
+    nodes = materialize(
+        prints.groupBy("fp", "wide").agg(F.min("key").alias("low")).withColumn("node", F.monotonically_increasing_id()),
+        "wide-nodes",
+    )
+    of_print = materialize(nodes.groupBy("fp").agg(F.min("node").alias("node")), "print-nodes")
+    close = links(of_print.select("fp"), longest)
+    name = lambda side: of_print.select(F.col("fp").alias(side), F.col("node").alias(f"{side}_node"))
+    narrow = close.join(name("u"), "u").join(name("v"), "v").select(F.col("u_node").alias("u"), F.col("v_node").alias("v"))
+    equal = nodes.select("fp", F.col("node").alias("v")).join(of_print, "fp").filter("v <> node").select(F.col("node").alias("u"), "v")
+    roots = components(similar_links(nodes.select("node", "wide")).unionByName(narrow).unionByName(equal))
+    grouped = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    lowest = grouped.groupBy("root").agg(F.min("low").alias("group"))
+    of_node = grouped.join(lowest, "root").select("fp", "wide", "group")
+    return prints.join(of_node, ["fp", "wide"]).select(F.col("key").alias(key), "group")
+
+
 def representatives(docs: DataFrame, key: str = "doc_id", **options) -> DataFrame:
-    """One document of each group, the one with the smallest key, with the columns of ``docs``.
+    """One document of each similar group, the one with the smallest key, with the columns of ``docs``.
 
     Rows that share a key count as one document, and so do rows without a key.
     """
-    groups = near_duplicates(docs.select(key, "text"), key, **options)
-    kept = groups.filter(F.col(key).eqNullSafe(F.col("component_id"))).select(F.col(key).alias("_kept")).distinct()
+    groups = similar_groups(docs.select(key, "text"), key, **options)
+    kept = groups.filter(F.col(key).eqNullSafe(F.col("group"))).select(F.col(key).alias("_kept")).distinct()
     return docs.join(kept, docs[key].eqNullSafe(kept["_kept"]), "left_semi").dropDuplicates([key])

@@ -56,6 +56,38 @@ def groups(nodes, pairs):
     return {n: find(n) for n in nodes}
 
 
+def wide_fingerprint(text, parts=8):
+    w = words((text or "").translate(FOLD))
+    if not w:
+        return 0
+    shingles = [" ".join(w[i:i + 2]) for i in range(len(w) - 1)] or [w[0]]
+    value, mask = 0, (1 << 64) - 1
+    for part in range(parts):
+        hashes = []
+        for s in shingles:
+            x = xxhash.xxh64_intdigest(s.encode(), 42) + part * 0x9E3779B97F4A7C15 & mask
+            x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 & mask
+            x = (x ^ x >> 27) * 0x94D049BB133111EB & mask
+            hashes.append(x ^ x >> 31)
+        value |= sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes)) << 64 * part
+    return value
+
+
+def similar_groups(rows):
+    """{doc_id: smallest doc_id of the group} by comparing all pairs of (doc_id, text)."""
+    prints = {i: (fingerprint(t), wide_fingerprint(t)) for i, t in rows}
+    pairs = [
+        (a, b) for a, b in itertools.combinations(prints, 2)
+        if near(prints[a][0], prints[b][0]) or (prints[a][1] ^ prints[b][1]).bit_count() <= 56
+    ]
+    return groups(list(prints), pairs)
+
+
+def five_word_similarity(a, b):
+    x, y = ({tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))} for w in (words(t.translate(FOLD)) for t in (a, b)))
+    return len(x & y) / len(x | y)
+
+
 def near(a, b):
     return ((a ^ b) & (1 << 64) - 1).bit_count() <= 3
 

@@ -81,7 +81,7 @@ def test_pipeline_equals_plain_stages(spark):
     docs = [r for r in table if r.doc_id in sound and judged[r.doc_id].anomaly < limit]
 
     texts = plain.without_repeats([(r.doc_id, r.text) for r in docs])
-    groups = plain.fingerprint_groups(list(texts.items()))
+    groups = plain.similar_groups(list(texts.items()))
     left = [r for r in docs if groups[r.doc_id] == r.doc_id]
     bad = {i for i in {i for i, _ in labels} if min(q for j, q in labels if j == i) == 0}
     times = plain.mixed([(r.doc_id, r.source, len(plain.words(texts[r.doc_id])), 0.25 if r.doc_id in bad else 1.0) for r in left])

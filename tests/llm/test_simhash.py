@@ -71,9 +71,35 @@ def test_groups_equal_brute_force(spark):
     docs = spark.createDataFrame([(i, t, 1, 2) for i, t in rows], "doc_id long, text string, fp int, root int")
     got = {r.doc_id: r.component_id for r in simhash.near_duplicates(docs).collect()}
     assert got == plain.fingerprint_groups(rows)
+    similar = plain.similar_groups(rows)
+    assert {r.doc_id: r["group"] for r in simhash.similar_groups(docs).collect()} == similar
     kept = simhash.representatives(docs)
     assert kept.columns == docs.columns
-    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(got.values()))
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(similar.values()))
+
+
+def test_wide_fingerprints_equal_plain():
+    for text in ["One two three two", "word", "", None, " ".join(f"w{i % 83}" for i in range(2000))]:
+        value = plain.wide_fingerprint(text)
+        assert simhash.wide_fingerprint(text) == [simhash._signed(value >> 64 * i & (1 << 64) - 1) for i in range(8)]
+
+
+def test_similar_texts_are_found_and_others_left(spark):
+    """Texts with every sixtieth word changed share more than 0.8 of their five-word shingles."""
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randrange(2, 8)))
+    rows, pairs = [], []
+    for n in range(150):
+        w = [rng.choice(["the", "of", "and"]) if rng.random() < 0.4 else word() for _ in range(rng.randrange(120, 600))]
+        rows.append((2 * n, " ".join(w)))
+        changed = [word() if i % 60 == 7 else x for i, x in enumerate(w)]
+        rows.append((2 * n + 1, " ".join(changed)))
+        pairs.append(plain.five_word_similarity(rows[-1][1], rows[-2][1]))
+    docs = spark.createDataFrame([(i, t, 0, 0) for i, t in rows], "doc_id long, text string, node int, wide int")
+    group = {r.doc_id: r["group"] for r in simhash.similar_groups(docs).collect()}
+    close = [n for n in range(150) if pairs[n] >= 0.8]
+    assert len(close) > 75 and sum(group[2 * n + 1] == 2 * n for n in close) >= 0.95 * len(close)
+    assert all(group[i] // 2 == i // 2 for i in group)  # nothing joins unrelated texts
 
 
 def test_odd_rows(spark):
