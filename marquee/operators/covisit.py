@@ -18,9 +18,6 @@ from marquee.functions.weights import is_engagement
 from marquee.session import materialize
 
 PAIR_LIMIT = 500
-LARGE_USER_SPLITS = 32
-# Up to this many titles a row of two numbers per title is broadcast (16 MB); beyond it the sort does all.
-FLOOR_ITEMS = 1_000_000
 
 
 def engaged_events(events: DataFrame) -> DataFrame:
@@ -79,13 +76,16 @@ def _classes(visits: DataFrame) -> DataFrame:
     return marks.join(names, key).select("item", "users", "class")
 
 
-def _overlaps(members: DataFrame, splits: int) -> DataFrame:
-    """How many large users two classes share. The pairs of one user are spread over ``splits`` tasks."""
-    left = members.select(
-        "user_id", F.col("class").alias("class_a"), F.pmod(F.xxhash64("class"), F.lit(splits)).alias("split")
+def _overlaps(members: DataFrame, per_split: int) -> DataFrame:
+    """How many large users two classes share. A user's classes are split into parts of about ``per_split``, which
+    meet all of them in different tasks, so a task grows with the user's size and not with its square."""
+    parts = members.groupBy("user_id").agg(F.ceil(F.count("*") / F.lit(per_split)).cast("int").alias("parts"))
+    split = members.join(parts, "user_id")
+    left = split.select(
+        "user_id", F.col("class").alias("class_a"), F.pmod(F.xxhash64("class"), "parts").cast("int").alias("split")
     )
-    right = members.select(
-        "user_id", F.col("class").alias("class_b"), F.explode(F.sequence(F.lit(0), F.lit(splits - 1))).alias("split")
+    right = split.select(
+        "user_id", F.col("class").alias("class_b"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("split")
     )
     return left.join(right, ["user_id", "split"]).groupBy("class_a", "class_b").agg(F.count("*").alias("overlap"))
 
@@ -117,7 +117,8 @@ def _above_floor(edges: DataFrame, top_k: int) -> DataFrame:
     """Drop edges that cannot be among the ``top_k`` of their title, before anything is sorted.
 
     The floor of a title is the largest power of two that at least ``top_k`` of its edges reach. It is
-    found by counting, and with one (number, floor) row per title it is small enough to broadcast.
+    found by counting and has one (number, floor) row per title. Spark sends the floors to every task if they
+    are small; else edges are placed by title, where the ranking needs them anyway.
     """
     steps = [2.0**-i for i in range(-4, 28)]
     reached = [F.sum((_rank() >= step).cast("int")).alias(f"reach_{i}") for i, step in enumerate(steps)]
@@ -126,7 +127,7 @@ def _above_floor(edges: DataFrame, top_k: int) -> DataFrame:
         floor = F.when(F.col(f"reach_{i}") >= top_k, F.lit(steps[i])).otherwise(floor)
     floors = edges.groupBy("a").agg(*reached).select("a", floor.alias("floor"))
     floors = materialize(floors, "covisit-floors")
-    return edges.join(F.broadcast(floors), "a").filter(_rank() >= F.col("floor")).drop("floor")
+    return edges.join(floors, "a").filter(_rank() >= F.col("floor")).drop("floor")
 
 
 def covisit_edges(visits: DataFrame, top_k: int = 8, pair_limit: int = PAIR_LIMIT) -> DataFrame:
@@ -148,7 +149,7 @@ def covisit_edges(visits: DataFrame, top_k: int = 8, pair_limit: int = PAIR_LIMI
         large_visits = materialize(numbered.join(large, "user_id", "left_semi"), "covisit-large-visits")
         classes = materialize(_classes(large_visits), "covisit-classes")
         members = large_visits.join(classes.filter("item = class").select("item", "class"), "item")
-        overlaps = materialize(_overlaps(members, LARGE_USER_SPLITS), "covisit-overlaps")
+        overlaps = materialize(_overlaps(members, pair_limit), "covisit-overlaps")
         small = numbered.join(large, "user_id", "left_anti").join(classes.select("item", "class"), "item", "left")
         names = ("users", "class")
         both = _mirror(_small_user_pairs(small, names), names).unionByName(
@@ -160,9 +161,7 @@ def covisit_edges(visits: DataFrame, top_k: int = 8, pair_limit: int = PAIR_LIMI
         edges = merged.join(overlaps, ["class_a", "class_b"], "left").select("a", "b", shared, "users_a", "users_b")
         edges = materialize(edges, "covisit-edges")
 
-    edges = edges.select("a", "b", "shared", "users_a", "users_b")
-    if numbers.count() <= FLOOR_ITEMS:
-        edges = _above_floor(edges, top_k)
+    edges = _above_floor(edges.select("a", "b", "shared", "users_a", "users_b"), top_k)
     window = Window.partitionBy("a").orderBy(_rank().desc(), "b")
     best = edges.withColumn("n", F.row_number().over(window)).filter(F.col("n") <= top_k)
     sources = numbers.select(F.col("item").alias("a"), F.col("item_id").alias("source_item_id"))
