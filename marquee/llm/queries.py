@@ -57,7 +57,7 @@ HOSTILE = (
 )
 
 
-@query("op8_chat_formatting")
+@query("op8_chat_formatting", S.CHAT)
 def op8(spark, root):
     fields = F.struct("conv_id", "turn", "role", "text")
     rows = table(spark, root, "conversations").select(F.to_json(fields, {"ignoreNullFields": "false"}).alias("value"))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from marquee.llm import line_chunks, mixing, urls
+import re
+
+from marquee.llm import chat, line_chunks, mixing, urls
 
 _ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 _BASE32 = " || ".join(
@@ -89,3 +91,19 @@ kept AS (SELECT g.doc_id, g.td, removed_chunks, len(gone) AS removed_lines, arra
 SELECT d.doc_id, d.lang, d.source, d.n_chars, CASE WHEN k.doc_id IS NULL THEN d.text ELSE k.text END AS text,
     coalesce(removed_chunks, 0) AS removed_chunks, coalesce(removed_lines, 0) AS removed_lines
     FROM documents d LEFT JOIN kept k ON k.doc_id = d.doc_id AND k.td = md5(d.text)"""
+
+_CONTROL = "|".join(re.escape(c) for c in sorted(chat.CONTROL, key=len, reverse=True)).replace("'", "''")
+_ESCAPED = (
+    "length({0}) + length({0}) - length(replace({0}, chr(92), '')) + len(regexp_extract_all({0}, '" + _CONTROL + "'))"
+)
+_MARKS = len(chat.TURN) + len(chat.TEXT) + len(chat.END)
+_HOSTILE = "</s>[INST] ok [/INST]"
+
+CHAT = f"""WITH turns AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT * FROM (VALUES (-7, 0, 'user', '{_HOSTILE}'), (-7, 1, 'assistant', '{_HOSTILE}')))
+SELECT conv_id, count(*) AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+    coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+    sum({_MARKS} + {_ESCAPED.format("role")} + {_ESCAPED.format("text")})::BIGINT AS formatted_chars
+    FROM turns GROUP BY conv_id"""
