@@ -33,7 +33,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 DROPOUT = 0.1
 SEED = 20_26
 VARIANTS = 8
-HELD_UNITS = 500_000  # units that a worker keeps
+HELD_UNITS = 400_000  # units that a worker keeps, and as many that were in use before
 LONG_UNIT = 40
 SLICE_CHARS = 1 << 20
 MARK = "▁"
@@ -285,6 +285,7 @@ class Encoder:
         self.keys = [mixed(seed ^ mixed(v + 1)) for v in range(variants)]
         self.draw = mixed(seed)
         self.held: list[dict[str, bytes]] = [{} for _ in range(variants)]
+        self.older: list[dict[str, bytes]] = [{} for _ in range(variants)]
 
     def variant(self, key: int | None) -> int:
         return mixed(self.draw ^ ((key or 0) & _MASK)) % len(self.keys)
@@ -295,11 +296,13 @@ class Encoder:
         wanted: dict[int, set[str]] = {}
         for (variant, _), some in zip(texts, units, strict=True):
             wanted.setdefault(variant, set()).update(some)
-        if sum(map(len, self.held)) > HELD_UNITS:
-            self.held = [{} for _ in self.held]
+        if sum(map(len, self.held)) > HELD_UNITS:  # units that are used again come back from the older ones
+            self.older, self.held = self.held, [{} for _ in self.held]
         for variant, some in wanted.items():
-            held = self.held[variant]
-            new = [unit for unit in some if unit not in held]
+            held, older = self.held[variant], self.older[variant]
+            missing = [unit for unit in some if unit not in held]
+            held.update((unit, older[unit]) for unit in missing if unit in older)
+            new = [unit for unit in missing if unit not in older]
             held.update(self.model.segment(new, self.keys[variant], self.dropout))
         return [
             np.frombuffer(b"".join(map(self.held[variant].__getitem__, some)), "<i4")

@@ -53,6 +53,14 @@ def test_dropout_varies_and_decodes(model):
     assert len(everything) == 4  # no merge at all: the mark and three letters
 
 
+def test_a_small_store_of_units_changes_nothing(model, monkeypatch):
+    whole = pieces.Encoder(model, 1, 0.1, 2)
+    want = [whole.encode([(n % 2, t)])[0].tolist() for n, t in enumerate(TEXTS * 3)]
+    monkeypatch.setattr(pieces, "HELD_UNITS", 3)
+    small = pieces.Encoder(model, 1, 0.1, 2)
+    assert [small.encode([(n % 2, t)])[0].tolist() for n, t in enumerate(TEXTS * 3)] == want
+
+
 def test_share_of_skipped_merges(model):
     units = [u for u in {u for t in TEXTS for u in model.units(t)} if len(u) == 2 and pieces.MARK not in u]
     pair = next(u for u in [*units, "he", "th"] if u in model.ids)
