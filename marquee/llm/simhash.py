@@ -12,7 +12,8 @@ must be equal, and so on, until the lists are short or hold at most the 256 valu
 
 For the wider similarity of the pipeline, 0.8 of the five-word shingles, texts get a fingerprint of 64 positional bytes
 over word pairs; the same index holds triples of them, and the tally and the verification use measured bounds instead
-of guaranteed ones, since no bound on differing bytes is guaranteed there.
+of guaranteed ones, since no bound on differing bytes is guaranteed there. All pairs of a list are compared: first with
+one member each, which makes components of large groups, then those of different components.
 
 Plan: fingerprints in Arrow batches; equal ones fold to one node before anything is paired, so exact copies cost
 nothing. Lists are counted before they are joined, and only lists with two or more members are.
@@ -25,7 +26,7 @@ import itertools
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marquee.llm.components import components
@@ -45,6 +46,8 @@ WIDE_WORDS = 2
 WIDE_PARTS = 8
 WIDE_LEAST_SHARED = 18
 WIDE_MOST_BITS = 56
+# Odd numbers that shuffle the positions before they are cut into triples; a text is in 21 lists for each.
+ROUNDS = (1, 37, 11, 23)
 BLOCK_BYTES = 1 << 20  # a text is shingled in blocks of about this size
 
 _FOLD = bytes.maketrans(UPPER.encode(), LOWER.encode())
@@ -229,9 +232,9 @@ def near_duplicates(
 
 
 def _triples(parts: int = WIDE_PARTS) -> list[tuple[int, int, int]]:
-    """Triples of byte positions that key the lists of wide fingerprints: every position is in two of them."""
+    """Triples of byte positions that key the lists of wide fingerprints: ``ROUNDS`` times all positions but one."""
     positions = range(8 * parts)
-    rounds = [list(positions), sorted(positions, key=lambda p: (p * 37 % (8 * parts), p))]
+    rounds = [sorted(positions, key=lambda p: (p * odd % (8 * parts), p)) for odd in ROUNDS]
     return [tuple(r[i:i + 3]) for r in rounds for i in range(0, len(r) - 2, 3)]
 
 
@@ -239,18 +242,33 @@ def _byte(array: str, position: int) -> str:
     return f"(shiftrightunsigned({array}[{position // 8}], {8 * (position % 8)}) & 255L)"
 
 
-def similar_links(nodes: DataFrame, most: int = WIDE_MOST_BITS, least_shared: int = WIDE_LEAST_SHARED) -> DataFrame:
-    """Links (u, v) of similar wide fingerprints, from (node, wide).
-
-    A list joins the fingerprints that agree in three positional bytes. Its members are compared with one of them,
-    another one in every list, so a list costs its length; near copies share many lists. For every pair the shared
-    positional bytes are tallied, pairs with fewer than similar texts have are dropped, the others verified.
-    """
+def _index(nodes: DataFrame, *more: str) -> DataFrame:
+    """(list, node, ...): the lists of wide fingerprints, by the value of each of the triples."""
     keys = [
         f"{n}L << 24 | {_byte('wide', a)} << 16 | {_byte('wide', b)} << 8 | {_byte('wide', c)}"
         for n, (a, b, c) in enumerate(_triples())
     ]
-    entries = nodes.select("node", F.explode(F.array(*map(F.expr, keys))).alias("list"))
+    return nodes.select(F.explode(F.array(*map(F.expr, keys))).alias("list"), "node", *more)
+
+
+def _similar(most: int, least_shared: int) -> Column:
+    """Whether ``u_wide`` and ``v_wide`` differ in few bits and share enough positional bytes."""
+    differ = [f"(u_wide[{i}] ^ v_wide[{i}])" for i in range(WIDE_PARTS)]
+    shared = " + ".join(
+        f"int((shiftrightunsigned({x}, {8 * i}) & 255L) = 0)" for x in differ for i in range(8)
+    )
+    flips = " + ".join(f"bit_count({x})" for x in differ)
+    return F.expr(f"{flips} <= {most}") & F.expr(f"{shared} >= {least_shared}")
+
+
+def leader_links(nodes: DataFrame, most: int = WIDE_MOST_BITS, least_shared: int = WIDE_LEAST_SHARED) -> DataFrame:
+    """Links (u, v) of similar wide fingerprints with one member of each of their lists, from (node, wide).
+
+    A list joins the fingerprints that agree in three positional bytes. Its members are compared with one of them,
+    another one in every list, so a list costs its length; large groups of near copies, which share many lists, become
+    one component by this alone. The other pairs of a list are left to ``crossing_links``.
+    """
+    entries = _index(nodes)
     leaders = (
         entries.groupBy("list").agg(F.count("*").alias("n"), F.expr("min_by(node, xxhash64(node, list))").alias("leader"))
         .filter("n > 1").drop("n")
@@ -260,13 +278,47 @@ def similar_links(nodes: DataFrame, most: int = WIDE_MOST_BITS, least_shared: in
         .select(F.least("node", "leader").alias("u"), F.greatest("node", "leader").alias("v")).distinct()
     )
     of = lambda name: nodes.select(F.col("node").alias(name), F.col("wide").alias(f"{name}_wide"))
-    met = pairs.join(of("u"), "u").join(of("v"), "v")
-    differ = [f"(u_wide[{i}] ^ v_wide[{i}])" for i in range(WIDE_PARTS)]
-    shared = " + ".join(
-        f"int((shiftrightunsigned({x}, {8 * i}) & 255L) = 0)" for x in differ for i in range(8)
+    return pairs.join(of("u"), "u").join(of("v"), "v").filter(_similar(most, least_shared)).select("u", "v")
+
+
+def crossing_links(
+    nodes: DataFrame, longest: int = LONGEST, most: int = WIDE_MOST_BITS, least_shared: int = WIDE_LEAST_SHARED
+) -> DataFrame:
+    """Links (u, v) between components of all similar fingerprints that share a list, from (node, wide, root).
+
+    All pairs of a list are compared but those within one component, which need no further link; a list of one component
+    is not joined, nor is one of two members, which ``leader_links`` compared. A list of more than ``longest`` members
+    is cut into blocks, and every two blocks meet in a group of their own. Returns the roots of each link's ends.
+    """
+    crossing = (
+        _index(nodes, "root").groupBy("list")
+        .agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high"))
+        .filter("n > 2 AND low < high").select("list", F.ceil(F.col("n") / longest).alias("blocks"))
     )
-    flips = " + ".join(f"bit_count({x})" for x in differ)
-    return met.filter(F.expr(f"{shared} >= {least_shared}") & F.expr(f"{flips} <= {most}")).select("u", "v")
+    members = (
+        _index(nodes).join(crossing, "list").withColumn("block", F.expr("pmod(xxhash64(node, list), blocks)"))
+        .join(nodes, "node")
+    )
+    side = lambda name: [F.col(c).alias(f"{name}_{c}") for c in ("node", "root", "wide")]
+    left = members.select("list", F.col("block").alias("x"), F.expr("explode(sequence(block, blocks - 1))").alias("y"), *side("u"))
+    right = members.select("list", F.expr("explode(sequence(0L, block))").alias("x"), F.col("block").alias("y"), *side("v"))
+    other = F.expr("u_root <> v_root AND (x < y OR u_node < v_node)")
+    met = left.withColumnsRenamed({c: f"u_{c}" for c in ("list", "x", "y")}).join(
+        right, F.expr("u_list = list AND u_x = x AND u_y = y") & other & _similar(most, least_shared)
+    )
+    return met.select(F.least("u_root", "v_root").alias("u"), F.greatest("u_root", "v_root").alias("v")).distinct()
+
+
+def similar_components(nodes: DataFrame, known: DataFrame | None = None, longest: int = LONGEST) -> DataFrame:
+    """(node, wide, root) of every (node, wide): components of all similar pairs that share a list, and of the links
+    ``known`` (u, v)."""
+    first = leader_links(nodes)
+    found = components(first.unionByName(known) if known else first)
+    rooted = materialize(
+        nodes.join(found, "node", "left").select("node", "wide", F.coalesce("root", "node").alias("root")), "rooted-nodes"
+    )
+    joined = components(crossing_links(rooted, longest)).select(F.col("node").alias("root"), F.col("root").alias("above"))
+    return rooted.join(joined, "root", "left").select("node", "wide", F.coalesce("above", "root").alias("root"))
 
 
 def similar_groups(docs: DataFrame, key: str = "doc_id", longest: int = LONGEST) -> DataFrame:
@@ -287,8 +339,8 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", longest: int = LONGEST)
     name = lambda side: of_print.select(F.col("fp").alias(side), F.col("node").alias(f"{side}_node"))
     narrow = close.join(name("u"), "u").join(name("v"), "v").select(F.col("u_node").alias("u"), F.col("v_node").alias("v"))
     equal = nodes.select("fp", F.col("node").alias("v")).join(of_print, "fp").filter("v <> node").select(F.col("node").alias("u"), "v")
-    roots = components(similar_links(nodes.select("node", "wide")).unionByName(narrow).unionByName(equal))
-    grouped = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    roots = similar_components(nodes.select("node", "wide"), narrow.unionByName(equal), longest).select("node", "root")
+    grouped = nodes.join(roots, "node")
     lowest = grouped.groupBy("root").agg(F.min("low").alias("group"))
     of_node = grouped.join(lowest, "root").select("fp", "wide", "group")
     return prints.join(of_node, ["fp", "wide"]).select(F.col("key").alias(key), "group")

@@ -102,6 +102,30 @@ def test_similar_texts_are_found_and_others_left(spark):
     assert all(group[i] // 2 == i // 2 for i in group)  # nothing joins unrelated texts
 
 
+@pytest.mark.parametrize("longest", [256, 16])
+def test_all_pairs_of_a_long_list_are_met(spark, longest):
+    """Fingerprints that agree in one triple, as shared boilerplate makes them: a pair has only that list in common."""
+    rng = random.Random(4)
+    in_list = simhash._triples()[0]
+    loose = [p for p in range(64) if p not in in_list]
+    free = set(rng.sample([p for p in loose if p % 3 == 0], 16))  # bytes that a pair shares besides
+    rows, node = [], 0
+    for _ in range(90):
+        one = [0 if p in in_list else rng.randrange(256) for p in range(64)]
+        two = [b if p in in_list or p in free else b ^ 1 for p, b in enumerate(one)]
+        for byte in (one, two):
+            whole = sum(b << 8 * p for p, b in enumerate(byte))
+            rows.append((node, [simhash._signed(whole >> 64 * i & (1 << 64) - 1) for i in range(8)]))
+            node += 1
+    bits = [sum((x & (1 << 64) - 1) << 64 * i for i, x in enumerate(wide)) for _, wide in rows]
+    want = plain.groups(range(node), [(a, b) for a, b in itertools.combinations(range(node), 2) if (bits[a] ^ bits[b]).bit_count() <= 56])
+    nodes = spark.createDataFrame(rows, "node long, wide array<long>")
+    assert simhash.leader_links(nodes).count() < 10  # one member of the list alone is not enough
+    got = simhash.similar_components(nodes, longest=longest)
+    assert {r.node: r.root for r in got.collect()} == want
+    assert all(want[n] == n // 2 * 2 for n in want)
+
+
 def test_odd_rows(spark):
     docs = spark.createDataFrame([(None, "a b c"), (2, "a b c"), (2, "a b c"), (None, "lonely"), (9, "x" * 200_000)], "doc_id long, text string")
     got = sorted(((r.doc_id, r.component_id) for r in simhash.near_duplicates(docs).collect()), key=repr)
