@@ -11,16 +11,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee.llm import line_chunks, mixing, pieces, quality, simhash
+from marquee.llm.text import text_digest
 from marquee.session import materialize, prepare
 from marquee.sources.star_schema import table
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep. Rows that share an id are one document and go if one of them fails."""
+    """Documents that the quality rules keep. Every text is judged by itself, also those that share an id or have none."""
     prepare(spark)
-    judged = quality.judge(docs, table(spark, sf_dir, "labels"))
-    rejected = judged.filter("NOT kept").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(rejected, docs["doc_id"].eqNullSafe(rejected["_id"]), "left_anti")
+    judged = quality.judge(docs, table(spark, sf_dir, "labels"), digests=True)
+    rejected = judged.filter("NOT kept").select(F.col("doc_id").alias("_id"), F.col("text_digest").alias("_digest")).distinct()
+    same = docs["doc_id"].eqNullSafe(rejected["_id"]) & (text_digest(docs["text"]) == rejected["_digest"])
+    return docs.join(rejected, same, "left_anti")
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

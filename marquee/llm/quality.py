@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.text import batches, sampled, small_batches
+from marquee.llm.text import batches, sampled, small_batches, text_digest
 from marquee.session import materialize
 
 WINDOW = 8
@@ -45,10 +45,11 @@ FEATURES = ("symbol_share", "symbol_words", "capitals", "shouts", "digits", "stu
 STATISTICS = pa.schema([
     ("doc_id", pa.int64()), ("n_words", pa.int64()), ("word_chars", pa.int64()), ("n_symbols", pa.int64()),
     ("n_dup_lines", pa.int64()), ("n_repeat_words", pa.int64()), *[(name, pa.float64()) for name in FEATURES],
+    ("text_digest", pa.binary()),
 ])
 STATISTICS_DDL = (
     "doc_id bigint, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, "
-    + ", ".join(f"{name} double" for name in FEATURES)
+    + ", ".join(f"{name} double" for name in FEATURES) + ", text_digest binary"
 )
 _SYMBOL = re.compile(rb"[#*$%&|<>]")
 _DIGITS = bytes(range(48, 58))
@@ -122,13 +123,14 @@ def statistics(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     def run(parts):
         def rows():
             for part in parts:
-                for key, text in zip(part.column(0).to_pylist(), part.column(1), strict=True):
-                    yield key, *statistics_of(text.as_py())
+                keys, digests = part.column(0).to_pylist(), part.column(2).to_pylist()
+                for key, text, digest in zip(keys, part.column(1), digests, strict=True):
+                    yield key, *statistics_of(text.as_py()), digest
 
         yield from batches(STATISTICS, rows())
 
     small_batches(docs)
-    return docs.select(F.col(key).cast("long").alias("doc_id"), "text").mapInArrow(run, STATISTICS_DDL)
+    return docs.select(F.col(key).cast("long").alias("doc_id"), "text", text_digest(F.col("text"))).mapInArrow(run, STATISTICS_DDL)
 
 
 def _expected_path(n: np.ndarray | int) -> np.ndarray:
@@ -244,8 +246,11 @@ def calibrated_threshold(labelled: DataFrame) -> float:
     return (first + last) / 2 / SCORE_STEPS
 
 
-def judge(docs: DataFrame, labels: DataFrame, key: str = "doc_id", sample_rows: int = SAMPLE_ROWS) -> DataFrame:
-    """Statistics, ``base_failed``, ``anomaly`` and ``kept`` of every document.
+def judge(
+    docs: DataFrame, labels: DataFrame, key: str = "doc_id", sample_rows: int = SAMPLE_ROWS, digests: bool = False
+) -> DataFrame:
+    """Statistics, ``base_failed``, ``anomaly`` and ``kept`` of every document, with ``digests`` also ``text_digest``,
+    which tells the texts of one key apart.
 
     ``labels`` has (doc_id, quality), 1 good and 0 bad; several labels of a document count as its lowest, null
     ones are ignored. The forest is grown on at most ``sample_rows`` labelled texts that pass the base rules; where
@@ -253,6 +258,7 @@ def judge(docs: DataFrame, labels: DataFrame, key: str = "doc_id", sample_rows:
     words and fail the base. Repeated rows are judged alike; no documents give no rows.
     """
     stats = materialize(statistics(docs, key), "quality-statistics")
+    named = [*STATISTICS.names[:6], *(["text_digest"] if digests else [])]
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
     known = labels.filter("quality IS NOT NULL").groupBy(F.col("doc_id").alias("doc_id")).agg(F.min("quality").alias("quality"))
     labelled = stats.filter(~failed).join(known, "doc_id")
@@ -260,9 +266,9 @@ def judge(docs: DataFrame, labels: DataFrame, key: str = "doc_id", sample_rows:
     if not len(rows):
         rows = _sample(stats, sample_rows)
     if not len(rows):
-        return stats.select(*STATISTICS.names[:6], failed.alias("base_failed"), F.lit(None).cast("double").alias("anomaly"), (~failed).alias("kept"))
+        return stats.select(*named, failed.alias("base_failed"), F.lit(None).cast("double").alias("anomaly"), (~failed).alias("kept"))
     forest = fit_forest(rows)
     threshold = calibrated_threshold(scored(stats.filter(~failed), forest).select("doc_id", "anomaly").join(known, "doc_id"))
     return scored(stats, forest).select(
-        *STATISTICS.names[:6], failed.alias("base_failed"), "anomaly", (~failed & (F.col("anomaly") < threshold)).alias("kept")
+        *named, failed.alias("base_failed"), "anomaly", (~failed & (F.col("anomaly") < threshold)).alias("kept")
     )

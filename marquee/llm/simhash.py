@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marquee.llm.components import components
-from marquee.llm.text import LOWER, UPPER, batches, small_batches
+from marquee.llm.text import LOWER, UPPER, batches, small_batches, text_digest
 from marquee.session import materialize
 
 SHINGLE_WORDS = 3
@@ -123,21 +123,23 @@ def wide_fingerprint(text: str | None, width: int = WIDE_WORDS, parts: int = WID
 
 
 def fingerprints(docs: DataFrame, key: str = "doc_id", width: int = SHINGLE_WORDS, wide: bool = False) -> DataFrame:
-    """(key, fp) of every row, with ``wide`` also the wide fingerprint; null texts count as empty."""
-    schema = pa.schema([("key", pa.int64()), ("fp", pa.int64()), *([("wide", pa.list_(pa.int64()))] if wide else [])])
+    """(key, fp) of every row, with ``wide`` also the wide fingerprint and the text's digest; null texts count as empty."""
+    more = [("wide", pa.list_(pa.int64())), ("digest", pa.binary())] if wide else []
+    schema = pa.schema([("key", pa.int64()), ("fp", pa.int64()), *more])
 
     def run(parts):
         def rows():
             for part in parts:
-                for one, text in zip(part.column(0).to_pylist(), part.column(1), strict=True):
+                digests = part.column(2).to_pylist() if wide else [None] * len(part)
+                for one, text, digest in zip(part.column(0).to_pylist(), part.column(1), digests, strict=True):
                     text = text.as_py()
-                    yield (one, fingerprint(text, width), *([wide_fingerprint(text)] if wide else []))
+                    yield (one, fingerprint(text, width), *([wide_fingerprint(text), digest] if wide else []))
 
         yield from batches(schema, rows())
 
     small_batches(docs)
-    return docs.select(F.col(key).cast("long"), "text").mapInArrow(
-        run, "key bigint, fp bigint" + (", wide array<bigint>" if wide else "")
+    return docs.select(F.col(key).cast("long"), "text", *([text_digest(F.col("text"))] if wide else [])).mapInArrow(
+        run, "key bigint, fp bigint" + (", wide array<bigint>, digest binary" if wide else "")
     )
 
 
@@ -321,17 +323,12 @@ def similar_components(nodes: DataFrame, known: DataFrame | None = None, longest
     return rooted.join(joined, "root", "left").select("node", "wide", F.coalesce("above", "root").alias("root"))
 
 
-def similar_groups(docs: DataFrame, key: str = "doc_id", longest: int = LONGEST) -> DataFrame:
-    """(key, group) of every row: texts that share about 0.8 of their five-word shingles or more, or whose narrow
-    fingerprints differ in at most three bits, and what these links connect.
-
-    Three bits of 64 find texts that are all but equal. For the similarity a wide fingerprint is compared: texts with a
-    similarity of 0.8 differ in about a tenth of 512 bits over word pairs (measured in README). The group is its
-    smallest key, null only without any; empty and null texts form one group.
-    """
-    prints = materialize(fingerprints(docs, key, wide=True), "wide-fingerprints")
+def _similar_nodes(prints: DataFrame, longest: int) -> DataFrame:
+    """(fp, wide, low, root) of the distinct fingerprints; ``low`` is the first (last, key, digest) of their rows, null
+    keys last."""
     nodes = materialize(
-        prints.groupBy("fp", "wide").agg(F.min("key").alias("low")).withColumn("node", F.monotonically_increasing_id()),
+        prints.groupBy("fp", "wide").agg(F.min(F.struct(F.col("key").isNull().alias("last"), "key", "digest")).alias("low"))
+        .withColumn("node", F.monotonically_increasing_id()),
         "wide-nodes",
     )
     of_print = materialize(nodes.groupBy("fp").agg(F.min("node").alias("node")), "print-nodes")
@@ -340,17 +337,35 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", longest: int = LONGEST)
     narrow = close.join(name("u"), "u").join(name("v"), "v").select(F.col("u_node").alias("u"), F.col("v_node").alias("v"))
     equal = nodes.select("fp", F.col("node").alias("v")).join(of_print, "fp").filter("v <> node").select(F.col("node").alias("u"), "v")
     roots = similar_components(nodes.select("node", "wide"), narrow.unionByName(equal), longest).select("node", "root")
-    grouped = nodes.join(roots, "node")
-    lowest = grouped.groupBy("root").agg(F.min("low").alias("group"))
+    return nodes.join(roots, "node").select("fp", "wide", "low", "root")
+
+
+def similar_groups(docs: DataFrame, key: str = "doc_id", longest: int = LONGEST) -> DataFrame:
+    """(key, group) of every row: texts that share about 0.8 of their five-word shingles or more, or whose narrow
+    fingerprints differ in at most three bits, and what these links connect.
+
+    Three bits of 64 find texts that are all but equal. For the similarity a wide fingerprint is compared: texts with a
+    similarity of 0.8 differ in about a tenth of 512 bits over word pairs (measured in README). The group is its
+    smallest key, null only without any; empty and null texts form one group.
+    """
+    prints = materialize(fingerprints(docs, key, wide=True), "wide-fingerprints")
+    grouped = _similar_nodes(prints, longest)
+    lowest = grouped.groupBy("root").agg(F.min("low")["key"].alias("group"))
     of_node = grouped.join(lowest, "root").select("fp", "wide", "group")
     return prints.join(of_node, ["fp", "wide"]).select(F.col("key").alias(key), "group")
 
 
-def representatives(docs: DataFrame, key: str = "doc_id", **options) -> DataFrame:
-    """One document of each similar group, the one with the smallest key, with the columns of ``docs``.
+def representatives(docs: DataFrame, key: str = "doc_id", longest: int = LONGEST) -> DataFrame:
+    """One row of each group of ``similar_groups``, with the columns of ``docs``.
 
-    Rows that share a key count as one document, and so do rows without a key.
+    It is the row with the smallest key, one without a key only if the group has no other, and of those the one with
+    the smallest digest of its text. Keys need not be unique: texts are grouped by themselves, whatever their key. Of
+    rows that share key and text the one with the smallest hash of all columns stays.
     """
-    groups = similar_groups(docs.select(key, "text"), key, **options)
-    kept = groups.filter(F.col(key).eqNullSafe(F.col("group"))).select(F.col(key).alias("_kept")).distinct()
-    return docs.join(kept, docs[key].eqNullSafe(kept["_kept"]), "left_semi").dropDuplicates([key])
+    prints = materialize(fingerprints(docs, key, wide=True), "wide-fingerprints")
+    lowest = _similar_nodes(prints, longest).groupBy("root").agg(F.min("low").alias("low"))
+    kept = lowest.select(F.col("low.key").alias("_kept"), F.col("low.digest").alias("_digest"))
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"), text_digest(docs["text"]).alias("_text"))
+    chosen = rows.join(kept, F.col("_row")[key].eqNullSafe(F.col("_kept")) & (F.col("_text") == F.col("_digest")))
+    one = chosen.groupBy("_kept", "_digest").agg(F.min_by("_row", F.xxhash64("_row")).alias("_row"))
+    return one.select("_row.*")

@@ -28,6 +28,11 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD_PATTERN)), F.lit(0)).cast("long")
 
 
+def text_digest(text: Column) -> Column:
+    """16 bytes that tell texts apart; a null text counts as empty."""
+    return F.unhex(F.md5(F.coalesce(text, F.lit(""))))
+
+
 def small_batches(df: DataFrame) -> None:
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 

@@ -1,6 +1,7 @@
 """Registered queries against their SQL, and the pipeline against plain versions of its stages."""
 
 import math
+import random
 from collections import Counter
 
 import duckdb
@@ -104,6 +105,33 @@ def test_stages_keep_the_columns_of_documents(spark):
         assert stage(spark, docs, ROOT).columns == docs.columns
 
 
+def _prose(rng, words=80):
+    return " ".join("".join(rng.choice("abcdefghij") for _ in range(rng.randrange(2, 8))) for _ in range(words))
+
+
+def test_texts_of_null_and_repeated_ids_are_decided_one_by_one(spark):
+    rng = random.Random(6)
+    docs = spark.read.parquet(f"{ROOT}/documents.parquet")
+    sound = [_prose(rng) for _ in range(6)]
+    rows = [(None, t) for t in sound[:3]] + [(10**6, t) for t in sound[3:]] + [(None, "too short"), (10**6, None), (10**6, "a " * 40)]
+    odd = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], docs.schema)
+    kept = corpus_pipeline.quality_rules(spark, docs.unionByName(odd), ROOT).filter("doc_id IS NULL OR doc_id = 1000000")
+    assert sorted(r.text for r in kept.collect()) == sorted(sound)
+
+
+def test_one_row_of_each_group_stays_whatever_its_id(spark):
+    rng = random.Random(7)
+    docs = spark.read.parquet(f"{ROOT}/documents.parquet")
+    texts = [_prose(rng) for _ in range(6)]
+    rows = [(None, texts[0]), (None, texts[1]), (None, texts[1]), (5, texts[2]), (5, texts[3]), (5, texts[3]), (4, texts[4])]
+    rows += [(5, texts[4].upper()), (None, texts[4]), (9, texts[5]), (8, texts[5]), (9, texts[5])]
+    odd = spark.createDataFrame([(i, t, "en", "s", n) for n, (i, t) in enumerate(rows)], docs.schema)
+    want = sorted([(None, texts[0]), (None, texts[1]), (5, texts[2]), (5, texts[3]), (4, texts[4]), (8, texts[5])], key=repr)
+    for parts in (1, 5):
+        got = corpus_pipeline.near_dedup(spark, odd.repartition(parts), ROOT).collect()
+        assert sorted(((r.doc_id, r.text) for r in got), key=repr) == want
+
+
 def test_pipeline_on_odd_and_empty_tables(spark, tmp_path):
     docs = spark.read.parquet(f"{ROOT}/documents.parquet")
     labels = spark.read.parquet(f"{ROOT}/labels.parquet")
