@@ -99,10 +99,12 @@ def fingerprint(paths: frozenset[str] | set[str]) -> str:
 
 
 class Layouts:
-    """Mappings by the fingerprint of their paths; further fields of a record are ignored."""
+    """Mappings by the fingerprint of their paths; further fields of a record are ignored, also those that other mappings
+    know: of the mappings whose paths a record has, the one with the most counts, the earlier of equals."""
 
     def __init__(self, mappings: tuple[Mapping, ...] = MAPPINGS) -> None:
         self.by_print = {fingerprint(m.paths()): m for m in mappings}
+        self.by_size = sorted(mappings, key=lambda m: -len(m.paths()))
         self.known = frozenset().union(*(m.paths() for m in mappings))
 
     def select(self, record: dict) -> tuple[str, Mapping | None]:
@@ -110,8 +112,12 @@ class Layouts:
         paths = field_paths(record) & self.known
         mark = fingerprint(paths)
         if mark not in self.by_print:
+            for mapping in self.by_size:
+                if mapping.paths() <= paths:
+                    return fingerprint(mapping.paths()), mapping
             for own, mapping in self.by_print.items():
-                if mapping.turns and not record.get(mapping.turns) and {mapping.key, mapping.turns} == paths - {mapping.turns + "[]"}:
+                empty = mapping.turns and record.get(mapping.turns) in (None, [])
+                if empty and {mapping.key, mapping.turns} <= paths:
                     return own, mapping
         return mark, self.by_print.get(mark)
 
@@ -180,6 +186,31 @@ def canonical_turns(records: DataFrame, mappings: tuple[Mapping, ...] = MAPPINGS
     return records.select(F.col("value").cast("string").alias("value")).mapInArrow(run, CANONICAL_DDL)
 
 
+def unmapped(records: DataFrame, mappings: tuple[Mapping, ...] = MAPPINGS) -> DataFrame:
+    """(value, layout) of the records that ``canonical_turns`` finds no mapping for, whole, with its ``layout``: what
+    ``format_turns`` leaves out is to be written beside the formatted conversations."""
+    schema = pa.schema([("value", pa.string()), ("layout", pa.string())])
+
+    def run(parts):
+        layouts = Layouts(mappings)
+
+        def rows():
+            for part in parts:
+                for value in part.column(0).to_pylist():
+                    try:
+                        record = json.loads(value) if value is not None else None
+                    except ValueError:
+                        record = None
+                    mark, mapping = layouts.select(record) if isinstance(record, dict) else ("malformed", None)
+                    if mapping is None:
+                        yield value, mark
+
+        yield from batches(schema, rows(), weigh=lambda row: len(row[0] or ""))
+
+    small_batches(records)
+    return records.select(F.col("value").cast("string").alias("value")).mapInArrow(run, "value string, layout string")
+
+
 def escaped(text: str) -> str:
     return _CONTROL.sub(lambda m: m.group()[0] + "\\" + m.group()[1:], text.replace("\\", "\\\\"))
 
@@ -214,7 +245,7 @@ def _format(parts):
 
 
 def format_turns(turns: DataFrame) -> DataFrame:
-    """The formatted conversations, a row per turn: concatenated in order of ``part`` they are the training text.
+    """The formatted conversations, a row per turn (records without a mapping are in ``unmapped``): concatenated in order of ``part`` they are the training text.
 
     ``loss_start`` and ``loss_end`` are code points within the row that the loss covers, the assistant's text;
     null for the other roles. Rows of a conversation are in order within one partition. Turns with equal numbers

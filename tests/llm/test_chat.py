@@ -56,6 +56,30 @@ def test_unknown_records_are_reported(spark):
     assert sorted(r.layout for r in got)[-3:] == ["malformed"] * 3 and len(got) == 4 and all(r.turn is None for r in got)
 
 
+MIXED = [
+    ("messages", record(conv_id=1, prompt="p", messages=[{"role": "human", "content": "q"}, {"role": "gpt", "content": "a"}])),
+    ("messages", record(conv_id=1, system="s", messages=[{"role": "human", "content": "q"}, {"role": "gpt", "content": "a"}])),
+    ("instruction only", record(conv_id=1, instruction="q", output="a", response="x", turn=4)),
+    ("prompt", record(conv_id=1, prompt="q", completion="a", messages=[])),
+]
+
+
+def test_fields_of_other_layouts_hide_no_conversation(spark):
+    for name, value in MIXED:
+        records = spark.createDataFrame([(value,)], "value string")
+        got = chat.canonical_turns(records)
+        assert [tuple(r) for r in got.collect()] == [(1, 0, "user", "q", name), (1, 1, "assistant", "a", name)]
+        assert chat.format_turns(got).count() == 2 and chat.unmapped(records).count() == 0
+
+
+def test_unmapped_records_are_returned_whole(spark):
+    lost = [(record(conv_id=1, stuff="x"),), ("not json",), (None,), (record(conv_id=2, messages=0),)]
+    rows = [*lost, *((v,) for _, v in MIXED), (record(conv_id=5, system="s", messages=[]),)]
+    got = chat.unmapped(spark.createDataFrame(rows, "value string")).collect()
+    assert sorted(((r.value,) for r in got), key=repr) == sorted(lost, key=repr)
+    assert sum(r.layout == "malformed" for r in got) == 2
+
+
 def digests(rows):
     """{conv_id: expected columns} from (conv_id, turn, role, text)."""
     out = {}
