@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from marquee.llm import ann, chat, line_chunks, mixing, pieces, quality, simhash, suffix_tree, urls, warc
+from marquee.llm import ann, chat, fill_middle, line_chunks, mixing, pieces, quality, simhash, suffix_tree, urls, warc
 from marquee.llm import sql as S
 from marquee.session import prepare
 from marquee.sources.star_schema import table
@@ -96,6 +96,15 @@ def op7(spark, root):
     return line_chunks.deduplicated(table(spark, root, "documents"))
 
 
+@query("op12_fill_middle", S.FILL_MIDDLE)
+def op12(spark, root):
+    made = fill_middle.restored(fill_middle.transformed(table(spark, root, "documents")))
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+        F.sha2("restored", 256).alias("restored_sha256"),
+    )
+
+
 @query("pipeline")
 def pipeline(spark, root):
     return corpus_pipeline.run(spark, root)

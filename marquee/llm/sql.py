@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from marquee.llm import chat, line_chunks, mixing, urls
+from marquee.llm import chat, fill_middle, line_chunks, mixing, urls
 
 _ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 _BASE32 = " || ".join(
@@ -107,3 +107,19 @@ SELECT conv_id, count(*) AS n_turns,
     sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
     sum({_MARKS} + {_ESCAPED.format("role")} + {_ESCAPED.format("text")})::BIGINT AS formatted_chars
     FROM turns GROUP BY conv_id"""
+
+_P, _S, _M = fill_middle.PREFIX, fill_middle.SUFFIX, fill_middle.MIDDLE
+_DRAWS = ", ".join(f"CAST('0x' || substr(h, {1 + 8 * i}, 8) AS BIGINT) AS h{i + 1}" for i in range(4))
+
+FILL_MIDDLE = f"""WITH texts AS (SELECT doc_id, coalesce(text, '') AS text, sha256('{fill_middle.SEED}:' || doc_id) AS h FROM documents),
+cut AS (SELECT *, regexp_extract_all(text, '[^\\n]*\\n|[^\\n]+') AS units, {_DRAWS} FROM texts),
+points AS (SELECT *, len(units) AS n, least(h1 % (len(units) + 1), h2 % (len(units) + 1)) AS low,
+    greatest(h1 % (len(units) + 1), h2 % (len(units) + 1)) AS high, CASE WHEN text = '' OR contains(text, '{_P}')
+    OR contains(text, '{_S}') OR contains(text, '{_M}') OR h3 % 100 >= {fill_middle.RATE} THEN 'plain'
+    WHEN h4 % 100 < {fill_middle.SPM_RATE} THEN 'spm' ELSE 'psm' END AS form FROM cut),
+pieces AS (SELECT *, array_to_string(units[1:low], '') AS p, array_to_string(units[low + 1:high], '') AS m,
+    array_to_string(units[high + 1:], '') AS s FROM points)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+    CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars, sha256(CASE form WHEN 'plain' THEN text
+    WHEN 'psm' THEN '{_P}' || p || '{_S}' || s || '{_M}' || m ELSE '{_S}' || s || '{_P}' || p || '{_M}' || m END) AS output_sha256,
+    sha256(text) AS restored_sha256 FROM pieces"""
