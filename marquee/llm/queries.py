@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from marquee.llm import ann, chat, fill_middle, line_chunks, mixing, pieces, quality, simhash, suffix_tree, urls, warc
+from marquee.llm import ann, chat, fill_middle, line_chunks, mixing, multi_index, pieces, quality, simhash, suffix_tree, urls, warc
 from marquee.llm import sql as S
 from marquee.session import prepare
 from marquee.sources.star_schema import table
@@ -96,6 +96,12 @@ def op7(spark, root):
     return line_chunks.deduplicated(table(spark, root, "documents"))
 
 
+@query("op11_hard_negatives", S.HARD_NEGATIVES)
+def op11(spark, root):
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return multi_index.hard_negatives(table(spark, root, "embeddings").withColumn("label", moved))
+
+
 @query("op12_fill_middle", S.FILL_MIDDLE)
 def op12(spark, root):
     made = fill_middle.restored(fill_middle.transformed(table(spark, root, "documents")))

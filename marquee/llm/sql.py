@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from marquee.llm import chat, fill_middle, line_chunks, mixing, urls
+from marquee.llm import chat, fill_middle, line_chunks, mixing, multi_index, urls
 
 _ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 _BASE32 = " || ".join(
@@ -123,3 +123,18 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_c
     CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars, sha256(CASE form WHEN 'plain' THEN text
     WHEN 'psm' THEN '{_P}' || p || '{_S}' || s || '{_M}' || m ELSE '{_S}' || s || '{_P}' || p || '{_M}' || m END) AS output_sha256,
     sha256(text) AS restored_sha256 FROM pieces"""
+
+_I = multi_index
+
+HARD_NEGATIVES = f"""WITH v AS (SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor({_I.SCALE} * x::DOUBLE)) AS e FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL
+    AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (SELECT a.id AS anchor, b.id AS id, a.label = b.label AS same, list_inner_product(a.e, b.e)::BIGINT AS score
+    FROM v a JOIN v b ON a.id % {_I.EVERY} = 0 AND a.id <> b.id AND len(a.e) = len(b.e)),
+positives AS (SELECT anchor, id, score FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, id) <= {_I.POSITIVES}),
+met AS (SELECT p.anchor AS anchor_id, p.id AS positive_id, CAST(row_number() OVER (PARTITION BY p.anchor, p.id
+    ORDER BY n.score DESC, n.id) AS INTEGER) AS rank, n.id AS negative_id, p.score AS positive_score, n.score AS negative_score
+    FROM positives p JOIN scored n ON n.anchor = p.anchor AND NOT n.same
+    AND {_I.LEAST_PERCENT} * p.score <= 100 * n.score AND 100 * n.score <= {_I.MOST_PERCENT} * p.score)
+SELECT * FROM met WHERE rank <= {_I.NEGATIVES}"""
