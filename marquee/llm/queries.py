@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from marquee.llm import ann, chat, fill_middle, line_chunks, mixing, multi_index, pieces, quality, simhash, suffix_tree, urls, warc
+from marquee.llm import ann, chat, fill_middle, line_chunks, mixing, multi_index, pieces, private_spans, quality, simhash, suffix_tree, urls, warc
 from marquee.llm import sql as S
 from marquee.session import prepare
 from marquee.sources.star_schema import table
@@ -111,6 +111,17 @@ def op12(spark, root):
     )
 
 
+@query("op13_private_spans")
+def op13(spark, root):
+    docs = table(spark, root, "documents")
+    found = private_spans.find(docs, private_spans.fit(docs))
+    counts = [private_spans.counted(F.col("base"), kind).alias(f"n_{kind}") for kind in private_spans.KINDS]
+    return found.select(
+        "doc_id", *counts, F.sha2(private_spans.listed(F.col("base")), 256).alias("base_sha256"),
+        private_spans.listed(private_spans.together(F.col("base"), F.col("added"))).alias("spans"),
+    )
+
+
 @query("pipeline")
 def pipeline(spark, root):
     return corpus_pipeline.run(spark, root)

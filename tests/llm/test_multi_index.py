@@ -41,10 +41,10 @@ def found(spark, rows, parts=3, **options):
     return sorted(tuple(r) for r in multi_index.hard_negatives(table, **options).collect())
 
 
-def clustered(rng, n, dims=8, groups=6):
+def clustered(rng, n, dims=8, groups=6, noise=0.3):
     centres = rng.standard_normal((groups, dims))
     at = rng.integers(0, groups, n)
-    vectors = centres[at] + 0.3 * rng.standard_normal((n, dims))
+    vectors = centres[at] + noise * rng.standard_normal((n, dims))
     return [(int(i), int(at[i] % 4), [float(x) for x in vectors[i]]) for i in range(n)]
 
 
@@ -105,10 +105,10 @@ def test_cells_are_visited_in_falling_order_and_bounds_hold():
 
 
 def test_a_search_stops_early_on_clustered_vectors(spark):
-    rows = spark.createDataFrame(clustered(np.random.default_rng(7), 3000, groups=40), ROWS)
+    rows = spark.createDataFrame(clustered(np.random.default_rng(7), 3000, groups=40, noise=0.05), ROWS)
     known = multi_index.usable(rows, "vec_id", "label", "embedding")
     vectors = multi_index.materialize(multi_index.folded(known, 6), "t")
-    books = multi_index.fit(vectors, entries=12)
+    books = multi_index.fit(vectors, entries=24)
     cells = multi_index.materialize(multi_index.assigned(vectors, books), "t")
     books = multi_index.measured(cells, books)
     need = vectors.withColumn("need", F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x) * 0.8)
