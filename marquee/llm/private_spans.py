@@ -39,9 +39,11 @@ KINDS = ("email", "ip", "card", "phone")
 MOST_CHARS = 128
 MOST_GROUPS = 12
 SAMPLE_TEXTS = 4000
-SAMPLE_PIECES = 4000
+SAMPLE_PIECES = 2000
 AROUND = 40  # characters kept on either side of a place in a training piece
-MOST_PIECE = 400  # longer pieces are not used for training
+MOST_PIECE = 400  # longer pieces are not used for training,
+MOST_CANDIDATES = 128  # nor are those with more candidates
+MOST_SCORE = 30.0  # of a candidate while training, so that sums stay finite
 EPOCHS = 120
 RATE = 0.5
 DECAY = 1e-3
@@ -304,33 +306,29 @@ class Model:
         return spans[::-1]
 
 
-def _log_sum(values: np.ndarray) -> float:
-    top = values.max(initial=-np.inf)
-    return top if top == -np.inf else top + math.log(np.exp(values - top).sum())
-
-
-def marginals(starts: np.ndarray, ends: np.ndarray, kinds: np.ndarray, scores: np.ndarray, touching: np.ndarray):
-    """(log of the sum over all segmentations, probability of each candidate, expected counts of touching kinds)."""
-    n = len(starts)
-    alpha, beta = np.empty(n), np.empty(n)
-    order = np.argsort(starts, kind="stable")
-    for i in order:
-        apart, touch = ends < starts[i], ends == starts[i]
-        before = np.concatenate([[0.0], alpha[apart], alpha[touch] + touching[kinds[touch], kinds[i]]])
-        alpha[i] = scores[i] + _log_sum(before)
-    for i in order[::-1]:
-        apart, touch = starts > ends[i], starts == ends[i]
-        after = np.concatenate([
-            [0.0], beta[apart] + scores[apart], beta[touch] + scores[touch] + touching[kinds[i], kinds[touch]],
-        ])
-        beta[i] = _log_sum(after)
-    total = _log_sum(np.concatenate([[0.0], alpha]))
+def marginals(starts: np.ndarray, ends: np.ndarray, kinds: np.ndarray, scores: np.ndarray, touching: np.ndarray, times=1.0):
+    """(log of the sum over all segmentations, probability of each candidate, expected counts of touching kinds).
+
+    Leading dimensions are pieces; ``times`` weighs them in the counts. Forward sums satisfy a = e (1 + M a) and backward
+    sums b = 1 + M' (e b), with e the exponents of the scores and M the weights of what may come before what, so both
+    are linear systems. A candidate that only fills a row has score minus infinity.
+    """
+    own = np.exp(np.minimum(scores, MOST_SCORE))
+    before = ends[..., None, :] < starts[..., :, None]
+    touch = ends[..., None, :] == starts[..., :, None]
+    factor = np.exp(touching[kinds[..., None, :], kinds[..., :, None]])
+    moves = before + touch * factor
+    unit = np.eye(starts.shape[-1])
+    alpha = np.linalg.solve(unit - own[..., :, None] * moves, own[..., None])[..., 0]
+    beta = np.linalg.solve(unit - np.swapaxes(moves, -1, -2) * own[..., None, :], np.ones_like(own)[..., None])[..., 0]
+    total = 1 + alpha.sum(-1)
+    share = touch * factor * alpha[..., None, :] * (own * beta)[..., :, None] / total[..., None, None]
     pairs = np.zeros_like(touching)
-    for i in range(n):
-        for j in np.flatnonzero(starts == ends[i]):
-            value = alpha[i] + touching[kinds[i], kinds[j]] + scores[j] + beta[j] - total
-            pairs[kinds[i], kinds[j]] += math.exp(value)
-    return total, np.exp(alpha + beta - total), pairs
+    which = np.nonzero(touch)
+    every = np.broadcast_to(kinds, starts.shape)
+    last, first = every[(*which[:-2], which[-1])], every[which[:-1]]
+    np.add.at(pairs, (last, first), share[which] * np.broadcast_to(np.asarray(times)[..., None, None], share.shape)[which])
+    return np.log(total), alpha * beta / total[..., None], pairs
 
 
 @dataclass
@@ -350,7 +348,7 @@ def _pieces(examples: Iterable[tuple[str, list[Span]]]) -> list[Piece]:
         found = list(candidates(text))
         wanted = {(KINDS.index(kind), start, end) for kind, start, end in spans}
         right = [(k, s, e) in wanted for s, e, k, _ in found]
-        if sum(right) != len(wanted) or not found:
+        if sum(right) != len(wanted) or not found or len(found) > MOST_CANDIDATES:
             continue
         places = sorted({p for s, e, *_ in found for p in (s, e)})
         sign = tuple((bisect.bisect(places, s), bisect.bisect(places, e), k, tuple(f)) for s, e, k, f in found), tuple(right)
@@ -359,30 +357,45 @@ def _pieces(examples: Iterable[tuple[str, list[Span]]]) -> list[Piece]:
     return [Piece(*kept[sign], times) for sign, times in sorted(seen.items())]
 
 
+def _stacked(pieces: list[Piece], number: dict[str, int]) -> Iterator[tuple]:
+    """Pieces with about equally many candidates as arrays, filled up with candidates that cannot be chosen."""
+    by_width: dict[int, list[Piece]] = {}
+    for piece in pieces:
+        by_width.setdefault(1 << (len(piece.found) - 1).bit_length(), []).append(piece)
+    for width, alike in by_width.items():
+        starts, ends = np.full((len(alike), width), -1), np.full((len(alike), width), -2)
+        kinds, right = np.zeros((len(alike), width), int), np.zeros((len(alike), width))
+        rows, columns = [], []
+        for n, piece in enumerate(alike):
+            for i, (start, end, kind, features) in enumerate(piece.found):
+                starts[n, i], ends[n, i], kinds[n, i], right[n, i] = start, end, kind, piece.right[i]
+                rows += [n * width + i] * len(features)
+                columns += [number[f"{KINDS[kind]}: {name}"] for name in features]
+        real = starts >= 0
+        # A very common piece does not drown the others.
+        times = 1 + np.log([piece.times for piece in alike])
+        yield np.array(rows), np.array(columns), starts, np.where(real, ends, 1 << 40), kinds, right, real, times
+
+
 def train(examples: Iterable[tuple[str, list[Span]]], epochs: int = EPOCHS) -> Model:
     """Weights of the largest likelihood with a small penalty, by adaptive steps along the whole gradient."""
     pieces = _pieces(examples)
     names = sorted({f"{KINDS[k]}: {name}" for p in pieces for _, _, k, features in p.found for name in features})
-    number = {name: i for i, name in enumerate(names)}
-    prepared = []
-    for p in pieces:
-        rows = np.repeat(np.arange(len(p.found)), [len(f) for *_, f in p.found])
-        columns = np.array([number[f"{KINDS[k]}: {name}"] for _, _, k, features in p.found for name in features])
-        starts, ends, kinds = (np.array([c[i] for c in p.found]) for i in range(3))
-        weight = 1 + math.log(p.times)  # a very common piece does not drown the others
-        prepared.append((rows, columns, starts, ends, kinds, p.right, weight))
+    stacks = list(_stacked(pieces, {name: i for i, name in enumerate(names)}))
     weights, touching = np.zeros(len(names)), np.zeros((len(KINDS), len(KINDS)))
     steps, touching_steps = np.full(len(names), 1e-6), np.full_like(touching, 1e-6)
+    observed = np.zeros_like(touching)
+    for _, _, starts, ends, kinds, right, _, times in stacks:
+        for n, i, j in zip(*np.nonzero((ends[:, :, None] == starts[:, None, :]) & (right[:, :, None] * right[:, None, :] > 0)), strict=True):
+            observed[kinds[n, i], kinds[n, j]] += times[n]
     for _ in range(epochs):
-        gradient, touching_gradient = -DECAY * weights, -DECAY * touching
-        for rows, columns, starts, ends, kinds, right, weight in prepared:
-            scores = np.bincount(rows, weights[columns], len(starts))
-            _, chance, pairs = marginals(starts, ends, kinds, scores, touching)
-            np.add.at(gradient, columns, weight * (right - chance)[rows])
-            for i in np.flatnonzero(right):
-                for j in np.flatnonzero((starts == ends[i]) & (right > 0)):
-                    touching_gradient[kinds[i], kinds[j]] += weight
-            touching_gradient -= weight * pairs
+        gradient, touching_gradient = -DECAY * weights, observed - DECAY * touching
+        for rows, columns, starts, ends, kinds, right, real, times in stacks:
+            scores = np.where(real, np.bincount(rows, weights[columns], starts.size).reshape(starts.shape), -np.inf)
+            _, chance, pairs = marginals(starts, ends, kinds, scores, touching, times)
+            missing = (times[:, None] * (right - chance)).ravel()
+            gradient += np.bincount(columns, missing[rows], len(names))
+            touching_gradient -= pairs
         steps += gradient**2
         touching_steps += touching_gradient**2
         weights += RATE * gradient / np.sqrt(steps)
