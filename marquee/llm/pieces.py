@@ -2,14 +2,16 @@
 
 A unit (a run of spaces with the word after it) starts as characters. The agenda holds the candidate merges, the
 best piece first and the leftmost of equals; each is looked up once, and with probability ``dropout`` it is skipped.
-The choice is a keyed hash of the seed, the unit, the place where the piece would start and the piece, so a run can be
-repeated exactly and no random state is shared. With dropout 0 the result is the model's own segmentation.
+The choice is a keyed hash of the seed, the document, its copy, the number of the unit in the document, the place where
+the piece would start and the piece, so a run can be repeated exactly, no random state is shared, and every occurrence
+of a word is cut by itself. With dropout 0 the result is the model's own segmentation.
 
-Documents draw one of ``VARIANTS`` keys, so the same word is cut differently in different documents, and the units
-that a worker has cut under a key can be kept. New units are cut many at a time: all of one length advance together,
-each by its own best merge; long units go through a heap.
+Most occurrences skip no merge that counts. A worker keeps, for every unit it has met, the merges of its run without
+dropout and the pieces these leave: the hashes of those merges are computed for all occurrences at once, and where none
+is skipped the kept pieces stand. The other occurrences run the agenda, many at a time: all of one length advance
+together, each by its own best merge; long units go through a heap.
 
-Decoding joins the bytes of the pieces. A space is written with the model's mark; a mark that is itself in a text, and
+Decoding gathers the bytes of the pieces. A space is written with the model's mark; a mark that is itself in a text, and
 every character without a piece, is written as byte pieces, so every text comes back exactly.
 
 Plan: one pass over the texts in the tasks that read them, no shuffle. The model file travels as a broadcast of its
@@ -32,9 +34,8 @@ from marquee.llm.text import small_batches
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 DROPOUT = 0.1
 SEED = 20_26
-VARIANTS = 8
-HELD_UNITS = 500_000  # units that a worker keeps
-LONG_UNIT = 40
+HELD_BYTES = 96 << 20  # of the units, merges and pieces that a worker keeps
+LONG_UNIT = 40  # longer units are neither kept nor cut together
 SLICE_CHARS = 1 << 20
 MARK = "▁"
 
@@ -78,6 +79,10 @@ class PieceModel:
             bytes([int(p[3:-1], 16)]) if model.is_byte(i) else b"" if special[i] else p.replace(MARK, " ").encode()
             for i, p in enumerate(self.pieces)
         ]
+        self.piece_bytes = np.frombuffer(b"".join(self.table), np.uint8)
+        self.piece_size = np.array([len(piece) for piece in self.table], np.int64)
+        self.piece_start = np.cumsum(self.piece_size) - self.piece_size
+        self.byte_id = np.array(self.byte_ids, np.int32)
         self.symbols = np.arange(_CHARS, _CHARS + 0x110000, dtype=np.int64)
         for piece, i in self.ids.items():
             if len(piece) == 1:
@@ -126,24 +131,25 @@ class PieceModel:
             found.extend([""] if part is None else self.unit.findall(part))
         return found
 
-    def _packed(self, symbols: list[int]) -> bytes:
-        out = []
-        for s in symbols:
-            if s < _CHARS:
-                out.append(s)
-            else:
-                out.extend(self.byte_ids[b] for b in chr(s - _CHARS).encode("utf-8", "surrogatepass"))
-        return np.array(out, "<i4").tobytes()
-
-    def agenda(self, unit: str, key: int, dropout: float) -> bytes:
-        """One unit through a heap of candidate merges, as packed ids."""
+    def _expanded(self, symbols: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of runs of symbols and their new sizes; characters without a piece become the pieces of their bytes."""
+        rest = np.flatnonzero(symbols >= _CHARS)
+        if not len(rest):
+            return symbols.astype(np.int32), sizes
+        raw = [chr(c - _CHARS).encode("utf-8", "surrogatepass") for c in symbols[rest].tolist()]
+        width = np.ones(len(symbols), np.int64)
+        width[rest] = [len(one) for one in raw]
+        ids = np.repeat(symbols, width)
+        ids[np.repeat(symbols >= _CHARS, width)] = self.byte_id[np.frombuffer(b"".join(raw), np.uint8)]
+        ends = np.r_[0, np.cumsum(width)][np.r_[0, np.cumsum(sizes)]]
+        return ids.astype(np.int32), np.diff(ends)
+
+    def agenda(self, unit: str, seed: int, dropout: float) -> list[int]:
+        """One unit through a heap of candidate merges, as ids."""
         if not unit:
-            return np.array([self.byte_ids[b] for b in MARK.encode()], "<i4").tobytes()
+            return [self.byte_ids[b] for b in MARK.encode()]
         limit = int(dropout * 2.0 ** 53)
         symbols = [int(self.symbols[ord(c)]) for c in unit]
-        seed = key
-        for c in unit:
-            seed = mixed(seed ^ ord(c))
         n = len(symbols)
         right, left, place = list(range(1, n + 1)), list(range(-1, n - 1)), list(range(n))
         heap: list[tuple] = []
@@ -171,7 +177,8 @@ class PieceModel:
             if left[i] >= 0:
                 offer(left[i])
             offer(i)
-        return self._packed([s for s in symbols if s >= 0])
+        kept = np.array([s for s in symbols if s >= 0], np.int64)
+        return self._expanded(kept, np.array([len(kept)]))[0].tolist()
 
     def _index(self, merges: dict[int, int]) -> None:
         """An open table of the merges, an eighth full, for lookups of whole arrays."""
@@ -204,27 +211,23 @@ class PieceModel:
             piece[found[chance < np.uint64(limit)]] = self.size
         return piece
 
-    def _same_length(self, units: list[str], key: int, dropout: float) -> list[bytes]:
-        """Units of one length, all at once: in every round each unit makes its best merge or is finished."""
+    def _same_length(self, units: list[str], seed: np.ndarray, dropout: float, trace: list | None = None):
+        """(symbols, sizes) of units of one length, all at once: in every round each unit makes its best merge or is
+        finished. ``trace`` is given (unit numbers, place and piece of the merge) of every round."""
         width, limit = len(units[0]), int(dropout * 2.0 ** 53)
         points = np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), "<u4").reshape(-1, width)
         symbols = self.symbols[points]
-        seed = np.full(len(units), key, np.uint64)
-        for k in range(width):
-            seed = _mixed_array(seed ^ points[:, k].astype(np.uint64))
         place = np.broadcast_to(np.arange(width, dtype=np.int8), symbols.shape).copy()
-        rows, out = np.arange(len(units)), [b""] * len(units)
+        rows = np.arange(len(units))
+        out, sizes = np.zeros((len(units), width), np.int64), np.zeros(len(units), np.int64)
 
         def finish(which: np.ndarray) -> None:
-            done = symbols[which]
-            plain = (done < _CHARS).all(1).tolist()
-            step, whole = done.shape[1] * 4, done.astype("<i4").tobytes()
-            for n, row in enumerate(rows[which].tolist()):
-                out[row] = whole[n * step:(n + 1) * step] if plain[n] else self._packed(done[n].tolist())
+            out[rows[which], :symbols.shape[1]] = symbols[which]
+            sizes[rows[which]] = symbols.shape[1]
 
         if width == 1:
             finish(rows)
-            return out
+            return out, sizes
         piece = self._candidates(
             symbols[:, :-1].ravel(), symbols[:, 1:].ravel(), place[:, :-1].ravel(), np.repeat(seed, width - 1), limit
         ).reshape(-1, width - 1)
@@ -240,7 +243,9 @@ class PieceModel:
                 piece, best, new = piece[open_], best[open_], new[open_]
                 every = np.arange(len(rows))
             if not len(rows):
-                return out
+                return out, sizes
+            if trace is not None:
+                trace.append((rows, place[every, best].astype(np.uint64) << np.uint64(32) | new.astype(np.uint64)))
             n, width = symbols.shape
             keep = np.ones((n, width), bool)
             keep[every, best + 1] = False
@@ -248,7 +253,7 @@ class PieceModel:
             symbols[every, best] = new
             if width == 2:
                 finish(every)
-                return out
+                return out, sizes
             keep = np.ones((n, width - 1), bool)
             keep[every, best] = False
             piece = piece[keep].reshape(n, width - 2)
@@ -259,63 +264,150 @@ class PieceModel:
                     symbols[some, at], symbols[some, at + 1], place[some, at], seed[some], limit
                 )
 
-    def segment(self, units: list[str], key: int, dropout: float) -> dict[str, bytes]:
-        """Packed ids of distinct units."""
+    def segment(self, units: list[str], seeds: np.ndarray, dropout: float) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, sizes) of units one after another, each under its own seed."""
+        lengths = np.fromiter(map(len, units), np.int64, len(units))
+        order = np.argsort(lengths, kind="stable")
+        parts, sizes = [], np.zeros(len(units), np.int64)
+        for some in np.split(order, np.flatnonzero(np.diff(lengths[order])) + 1) if len(units) else ():
+            length = lengths[some[0]]
+            if length == 0 or length > LONG_UNIT:
+                found = [self.agenda(units[i], int(seeds[i]), dropout) for i in some.tolist()]
+                sizes[some] = [len(one) for one in found]
+                parts += [np.array(one, np.int32) for one in found]
+            else:
+                symbols, kept = self._same_length([units[i] for i in some.tolist()], seeds[some], dropout)
+                ids, sizes[some] = self._expanded(symbols[np.arange(symbols.shape[1]) < kept[:, None]], kept)
+                parts.append(ids)
+        # Parts stand in order of length; the gather puts them back in the order asked.
+        ids = np.concatenate(parts) if parts else np.zeros(0, np.int32)
+        starts = np.zeros(len(units), np.int64)
+        starts[order] = np.cumsum(sizes[order]) - sizes[order]
+        return ids[ranges(starts, sizes)], sizes
+
+    def decode_all(self, ids: np.ndarray) -> bytes:
+        """The bytes of pieces one after another."""
+        return self.piece_bytes[ranges(self.piece_start[ids], self.piece_size[ids])].tobytes()
+
+    def decode(self, ids) -> str:
+        """The text of the ids of one document."""
+        return self.decode_all(np.asarray(ids, np.int64)).decode("utf-8", "surrogatepass")[1:]
+
+
+def ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers of the ranges (start, size), one range after another."""
+    ends = np.cumsum(sizes)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - ends + sizes, sizes)
+
+
+class _Grown:
+    """An array that is added to."""
+
+    def __init__(self, kind) -> None:
+        self.values, self.used = np.zeros(1024, kind), 0
+
+    def add(self, more: np.ndarray) -> None:
+        if self.used + len(more) > len(self.values):
+            grown = np.zeros(max(2 * len(self.values), self.used + len(more)), self.values.dtype)
+            grown[:self.used] = self.values[:self.used]
+            self.values = grown
+        self.values[self.used:self.used + len(more)] = more
+        self.used += len(more)
+
+
+class Store:
+    """Units with their runs without dropout: the merges made and the pieces left."""
+
+    def __init__(self, model: PieceModel) -> None:
+        self.model = model
+        self.numbers: dict[str, int] = {}
+        self.chars = 0
+        self.merges, self.ids = _Grown(np.uint64), _Grown(np.int32)
+        self.merge_start, self.merge_count, self.id_start, self.id_count = (_Grown(np.int64) for _ in range(4))
+
+    def size(self) -> int:
+        """Bytes held, about: a unit's string and its place in the dictionary, its numbers, its merges and pieces."""
+        return 150 * len(self.numbers) + 4 * self.chars + 8 * self.merges.used + 4 * self.ids.used
+
+    def add(self, units: list[str]) -> None:
         by_length: dict[int, list[str]] = {}
         for unit in units:
             by_length.setdefault(len(unit), []).append(unit)
-        found: dict[str, bytes] = {}
         for length, some in by_length.items():
-            if length == 0 or length > LONG_UNIT:
-                found.update((unit, self.agenda(unit, key, dropout)) for unit in some)
+            trace: list[tuple] = []
+            if length:
+                symbols, kept = self.model._same_length(some, np.zeros(len(some), np.uint64), 0.0, trace)
+                ids, sizes = self.model._expanded(symbols[np.arange(symbols.shape[1]) < kept[:, None]], kept)
             else:
-                found.update(zip(some, self._same_length(some, key, dropout), strict=True))
-        return found
-
-    def decode(self, ids) -> str:
-        table = self.table
-        return b"".join([table[i] for i in ids]).decode("utf-8", "surrogatepass")[1:]
+                ids = np.array(self.model.agenda("", 0, 0.0), np.int32)
+                sizes = np.array([len(ids)])
+            rows = np.concatenate([r for r, _ in trace]) if trace else np.zeros(0, np.int64)
+            made = np.concatenate([m for _, m in trace]) if trace else np.zeros(0, np.uint64)
+            count = np.bincount(rows, minlength=len(some))
+            self.merge_start.add(self.merges.used + np.cumsum(count) - count)
+            self.merge_count.add(count)
+            self.merges.add(made[np.argsort(rows, kind="stable")])
+            self.id_start.add(self.ids.used + np.cumsum(sizes) - sizes)
+            self.id_count.add(sizes)
+            self.ids.add(ids)
+            self.numbers.update(zip(some, range(len(self.numbers), len(self.numbers) + len(some)), strict=True))
+            self.chars += length * len(some)
 
 
 class Encoder:
-    """Encodes documents with the units that were cut before kept, per key and up to a bound."""
+    """Encodes documents; the units met before are kept up to a bound."""
 
-    def __init__(self, model: PieceModel, seed: int, dropout: float, variants: int) -> None:
-        self.model, self.dropout = model, dropout
-        self.keys = [mixed(seed ^ mixed(v + 1)) for v in range(variants)]
-        self.draw = mixed(seed)
-        self.held: list[dict[str, bytes]] = [{} for _ in range(variants)]
+    def __init__(self, model: PieceModel, seed: int, dropout: float) -> None:
+        self.model, self.seed, self.dropout = model, mixed(seed & _MASK), dropout
+        self.store = Store(model)
 
-    def variant(self, key: int | None) -> int:
-        return mixed(self.draw ^ ((key or 0) & _MASK)) % len(self.keys)
+    def document_key(self, key: int | None, copy: int = 0) -> int:
+        """What the choices in a document depend on; documents without a key share one."""
+        return mixed(self.seed ^ mixed((key or 0) & _MASK) ^ mixed(mixed(copy & _MASK)))
 
     def encode(self, texts: list[tuple[int, str]]) -> list[np.ndarray]:
-        """Ids of (variant, text) pairs."""
-        units = [self.model.units(text) for _, text in texts]
-        wanted: dict[int, set[str]] = {}
-        for (variant, _), some in zip(texts, units, strict=True):
-            wanted.setdefault(variant, set()).update(some)
-        if sum(map(len, self.held)) > HELD_UNITS:
-            self.held = [{} for _ in self.held]
-        for variant, some in wanted.items():
-            held = self.held[variant]
-            new = [unit for unit in some if unit not in held]
-            held.update(self.model.segment(new, self.keys[variant], self.dropout))
-        return [
-            np.frombuffer(b"".join(map(self.held[variant].__getitem__, some)), "<i4")
-            for (variant, _), some in zip(texts, units, strict=True)
-        ]
+        """Ids of (document key, text) pairs."""
+        ids, sizes = self.encode_all([key for key, _ in texts], [text for _, text in texts])
+        return np.split(ids, np.cumsum(sizes)[:-1]) if texts else []
+
+    def encode_all(self, keys: list[int], texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, sizes) of documents one after another."""
+        found = [self.model.units(text) for text in texts]
+        units = [unit for some in found for unit in some]
+        counts = np.fromiter(map(len, found), np.int64, len(found))
+        nth = np.arange(len(units)) - np.repeat(np.cumsum(counts) - counts, counts)
+        seeds = _mixed_array(np.repeat(np.array(keys, np.uint64), counts) ^ _mixed_array(nth.astype(np.uint64)))
+        if self.store.size() > HELD_BYTES:
+            self.store = Store(self.model)
+        store = self.store
+        store.add([unit for unit in dict.fromkeys(units) if unit not in store.numbers and len(unit) <= LONG_UNIT])
+        number = np.fromiter((store.numbers.get(unit, -1) for unit in units), np.int64, len(units))
+        again = number < 0  # long units
+        kept = np.flatnonzero(~again)
+        merges = store.merge_count.values[number[kept]]
+        made = store.merges.values[ranges(store.merge_start.values[number[kept]], merges)]
+        chance = _mixed_array(np.repeat(seeds[kept], merges) ^ made) >> np.uint64(11)
+        skipped = chance < np.uint64(int(self.dropout * 2.0 ** 53))
+        again[np.repeat(kept, merges)[skipped]] = True
+        redo = np.flatnonzero(again)
+        new_ids, new_sizes = self.model.segment([units[i] for i in redo.tolist()], seeds[redo], self.dropout)
+        # All pieces lie in one pool: those kept, then the new ones; each occurrence takes its range of it.
+        starts, sizes = store.id_start.values[number], store.id_count.values[number]
+        starts[redo], sizes[redo] = store.ids.used + np.cumsum(new_sizes) - new_sizes, new_sizes
+        pool = np.concatenate([store.ids.values[:store.ids.used], new_ids])
+        of_text = np.r_[0, np.cumsum(sizes)][np.r_[0, np.cumsum(counts)]]
+        return pool[ranges(starts, sizes)], np.diff(of_text)
 
 
 _encoders: dict[tuple, Encoder] = {}
 
 
-def _encoder(raw: bytes, seed: int, dropout: float, variants: int) -> Encoder:
+def _encoder(raw: bytes, seed: int, dropout: float) -> Encoder:
     """One encoder per worker process and setting; tasks that follow reuse it."""
-    key = (hash(raw), seed, dropout, variants)
+    key = (hash(raw), seed, dropout)
     if key not in _encoders:
         _encoders.clear()
-        _encoders[key] = Encoder(PieceModel(raw), seed, dropout, variants)
+        _encoders[key] = Encoder(PieceModel(raw), seed, dropout)
     return _encoders[key]
 
 
@@ -326,43 +418,49 @@ GROUP_CHARS = 1 << 21  # characters that are encoded together
 
 
 def encoded(
-    docs: DataFrame, key: str = "doc_id", model: str = MODEL, dropout: float = DROPOUT, seed: int = SEED,
-    variants: int = VARIANTS,
+    docs: DataFrame, key: str = "doc_id", model: str = MODEL, dropout: float = DROPOUT, seed: int = SEED, copies: bool = False,
 ) -> DataFrame:
     """(key, n_tokens, tokens, lossless) of every row; ``lossless`` says that the decoded tokens are the text.
 
-    Whole texts are encoded. Null and empty texts have no tokens (null is read as empty). Repeated keys draw the same
-    variant, so repeated rows give equal tokens; rows without a key draw that of key 0. Other columns are ignored;
-    no rows give no rows.
+    Whole texts are encoded. Null and empty texts have no tokens (null is read as empty). Repeated rows give equal tokens;
+    with ``copies`` they are cut anew each time, told apart by their place in the table, which must be a stored one.
+    Rows without a key share the choices of key 0. Other columns are ignored; no rows give no rows.
     """
     shared = docs.sparkSession.sparkContext.broadcast(Path(model).read_bytes())
 
     def run(parts):
-        encoder = _encoder(shared.value, seed, dropout, variants)
-
-        def batch(keys, texts):
-            ids = encoder.encode([(encoder.variant(k), t) for k, t in zip(keys, texts, strict=True)])
-            same = [encoder.model.decode(i.tolist()) == t for i, t in zip(ids, texts, strict=True)]
-            sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-            tokens = pa.ListArray.from_arrays(
-                pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32)), pa.array(np.concatenate(ids) if ids else [], pa.int32())
-            )
-            return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(sizes), tokens, pa.array(same)], schema=ENCODED)
+        encoder = _encoder(shared.value, seed, dropout)
+        model = encoder.model
+
+        def batch(keys, copy, texts):
+            ids, sizes = encoder.encode_all([encoder.document_key(k, c) for k, c in zip(keys, copy, strict=True)], texts)
+            ends = np.cumsum(sizes)
+            raw = model.decode_all(ids)
+            at = np.r_[0, np.cumsum(model.piece_size[ids])][np.r_[0, ends]].tolist()
+            # A text that is not empty starts with one more space.
+            same = [
+                raw[low:high] == (b" " + text.encode("utf-8", "surrogatepass") if text else b"")
+                for low, high, text in zip(at[:-1], at[1:], texts, strict=True)
+            ]
+            tokens = pa.ListArray.from_arrays(pa.array(np.r_[0, ends].astype(np.int32)), pa.array(ids, pa.int32()))
+            return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(sizes), tokens, pa.array(same, pa.bool_())], schema=ENCODED)
 
         for part in parts:
-            keys, texts, held = [], [], 0
-            for k, text in zip(part.column(0).to_pylist(), part.column(1), strict=True):
+            held: list[tuple] = []
+            chars = 0
+            for k, copy, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), part.column(2), strict=True):
                 text = text.as_py() or ""
-                keys.append(k), texts.append(text)
-                held += len(text)
-                if held >= GROUP_CHARS:
-                    yield batch(keys, texts)
-                    keys, texts, held = [], [], 0
-            if keys:
-                yield batch(keys, texts)
+                held.append((k, copy, text))
+                chars += len(text)
+                if chars >= GROUP_CHARS:
+                    yield batch(*map(list, zip(*held, strict=True)))
+                    held, chars = [], 0
+            if held:
+                yield batch(*map(list, zip(*held, strict=True)))
 
     small_batches(docs)
-    rows = docs.select(F.col(key).cast("long"), "text").mapInArrow(
+    copy = F.monotonically_increasing_id() if copies else F.lit(0).cast("long")
+    rows = docs.select(F.col(key).cast("long"), copy.alias("copy"), F.col("text")).mapInArrow(
         run, "key bigint, n_tokens bigint, tokens array<int>, lossless boolean"
     )
     return rows.withColumnRenamed("key", key)
@@ -375,7 +473,7 @@ def decoded(tokens: DataFrame, model: str = MODEL) -> DataFrame:
     schema = tokens.select(*names).schema.add("text", "string")
 
     def run(parts):
-        reader = _encoder(shared.value, SEED, DROPOUT, VARIANTS).model
+        reader = _encoder(shared.value, SEED, DROPOUT).model
         for part in parts:
             texts = pa.array([None if t is None else reader.decode(t) for t in part.column("tokens").to_pylist()], pa.string())
             yield pa.RecordBatch.from_arrays([*[part.column(n) for n in names], texts], names=[*names, "text"])

@@ -216,3 +216,70 @@ def cosine_nearest(ids, matrix, every, k):
         order = [j for j in np.lexsort((ids, -score)) if j != i][:k]
         found[int(ids[i])] = [(int(ids[j]), float(score[j])) for j in order]
     return found
+
+
+class PieceAgenda:
+    """Merge-dropout one merge at a time, with the library's vocabulary and nothing of the operator's."""
+
+    def __init__(self, raw):
+        from sentencepiece import SentencePieceProcessor
+
+        self.library = lib = SentencePieceProcessor(model_proto=raw)
+        normal = [i for i in range(lib.get_piece_size()) if not (lib.is_control(i) or lib.is_unknown(i) or lib.is_byte(i))]
+        self.ids = {lib.id_to_piece(i): i for i in normal}
+        self.bytes = {int(lib.id_to_piece(i)[3:-1], 16): i for i in range(lib.get_piece_size()) if lib.is_byte(i)}
+        inside = {c for piece in self.ids if len(piece) > 1 for c in piece}
+        self.alone = {c for c in "\n\t\r" if c not in inside}
+
+    @staticmethod
+    def number(x):
+        top = 2**64
+        x = (x + 0x9E3779B97F4A7C15) % top
+        x = ((x ^ (x // 2**30)) * 0xBF58476D1CE4E5B9) % top
+        x = ((x ^ (x // 2**27)) * 0x94D049BB133111EB) % top
+        return x ^ (x // 2**31)
+
+    def units(self, text):
+        out = []
+        for n, part in enumerate(text.split("\u2581")):
+            if n:
+                out.append(None)  # a literal mark
+            held = ""
+            for c in ("\u2581" if n == 0 else "") + part.replace(" ", "\u2581"):
+                if c in self.alone:
+                    out += [held, c] if held else [c]
+                    held = ""
+                elif c == "\u2581" and held and held[-1] != "\u2581":
+                    out.append(held)
+                    held = c
+                else:
+                    held += c
+            if held:
+                out.append(held)
+        return out
+
+    def encode(self, text, key, dropout):
+        out = []
+        for nth, unit in enumerate(self.units(text) if text else ()):
+            if unit is None:
+                out += [self.bytes[b] for b in "\u2581".encode()]
+                continue
+            seed = self.number(key ^ self.number(nth))
+            parts, at = list(unit), list(range(len(unit)))
+            while True:
+                best = None
+                for i in range(len(parts) - 1):
+                    piece = self.ids.get(parts[i] + parts[i + 1])
+                    if piece is None or self.number(seed ^ (at[i] * 2**32 + piece)) // 2**11 < int(dropout * 2.0**53):
+                        continue
+                    score = self.library.get_score(piece)
+                    if best is None or score > best[0]:
+                        best = score, i
+                if best is None:
+                    break
+                i = best[1]
+                parts[i:i + 2] = [parts[i] + parts[i + 1]]
+                del at[i + 1]
+            for part in parts:
+                out += [self.ids[part]] if part in self.ids else [self.bytes[b] for b in part.encode("utf-8", "surrogatepass")]
+        return out
