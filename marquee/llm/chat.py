@@ -151,12 +151,62 @@ CANONICAL = pa.schema([
 CANONICAL_DDL = "conv_id bigint, turn bigint, role string, text string, layout string"
 
 
+_WHOLE = re.compile(r"\s*[+-]?[0-9]{1,19}\s*")
+_SURROGATE = re.compile("[\ud800-\udfff]")
+#: Why a record is left out, besides the fingerprint of a layout without a mapping.
+MALFORMED, TOO_DEEP, NO_TURNS = "malformed", "nested too deep", "no turns"
+BAD_KEY, BAD_TURN, BAD_TEXT = "no whole conv_id", "no whole turn", "lone surrogate"
+
+
+def _whole(value: object) -> int | None:
+    """A 64-bit integer from a number or text that is one; ValueError for anything else, null stays null."""
+    if value is None:
+        return None
+    if isinstance(value, str) and _WHOLE.fullmatch(value) or isinstance(value, float) and value.is_integer():
+        value = int(value)
+    if not isinstance(value, int) or isinstance(value, bool) or not -(1 << 63) <= value < 1 << 63:
+        raise ValueError(value)
+    return value
+
+
+def _read(value: str | None, layouts: Layouts) -> tuple[str, list[tuple] | None]:
+    """(layout, turns) of a record, or (reason, None) for one that is left out."""
+    try:
+        record = json.loads(value) if value is not None else None
+        if not isinstance(record, dict):
+            return MALFORMED, None
+        mark, mapping = layouts.select(record)
+    except RecursionError:
+        return TOO_DEEP, None
+    except ValueError:
+        return MALFORMED, None
+    if mapping is None:
+        return mark, None
+    try:
+        key = _whole(record.get(mapping.key))
+    except ValueError:
+        return BAD_KEY, None
+    turns = []
+    for turn, role, text in turns_of(record, mapping):
+        try:
+            turn = _whole(turn)
+        except ValueError:
+            return BAD_TURN, None
+        if _SURROGATE.search(role) or _SURROGATE.search(text):
+            return BAD_TEXT, None
+        turns.append((key, turn, role, text, mapping.name))
+    return (mapping.name, turns) if turns else (NO_TURNS, None)
+
+
 def canonical_turns(records: DataFrame, mappings: tuple[Mapping, ...] = MAPPINGS) -> DataFrame:
     """(conv_id, turn, role, text, layout) from records, JSON objects in the column ``value``.
 
-    Null texts and roles are empty strings. A layout without a mapping, or a value that is no JSON object, gives
-    one row with null turn, role and text and its fingerprint (or ``malformed``) as the layout, so nothing is
-    lost silently. Other columns are ignored; no records give no turns.
+    Null texts and roles are empty strings. ``conv_id`` and ``turn`` are 64-bit integers: whole numbers and texts that are
+    one are read as such, null stays null. A record that gives no turns is one row with null turn, role and text and the
+    reason as the layout, so nothing is lost silently: the fingerprint of a layout without a mapping, ``malformed`` for
+    what is no JSON object, ``nested too deep``, ``no whole conv_id`` or ``no whole turn``, ``lone surrogate`` for half a
+    character in a role or text, ``no turns`` for an empty conversation. Other columns are ignored; no records give no
+    turns.
     """
 
     def run(parts):
@@ -164,21 +214,9 @@ def canonical_turns(records: DataFrame, mappings: tuple[Mapping, ...] = MAPPINGS
 
         def rows():
             for part in parts:
-                for value in part.column(0).to_pylist():
-                    try:
-                        record = json.loads(value) if value is not None else None
-                    except ValueError:
-                        record = None
-                    if not isinstance(record, dict):
-                        yield None, None, None, None, "malformed"
-                        continue
-                    mark, mapping = layouts.select(record)
-                    if mapping is None:
-                        yield None, None, None, None, mark
-                        continue
-                    key = record.get(mapping.key)
-                    for turn, role, text in turns_of(record, mapping):
-                        yield key, turn, role, text, mapping.name
+                for value in part.column(0):
+                    layout, turns = _read(value.as_py(), layouts)
+                    yield from turns if turns is not None else [(None, None, None, None, layout)]
 
         yield from batches(CANONICAL, rows(), weigh=lambda row: len(row[3] or ""))
 
@@ -187,8 +225,8 @@ def canonical_turns(records: DataFrame, mappings: tuple[Mapping, ...] = MAPPINGS
 
 
 def unmapped(records: DataFrame, mappings: tuple[Mapping, ...] = MAPPINGS) -> DataFrame:
-    """(value, layout) of the records that ``canonical_turns`` finds no mapping for, whole, with its ``layout``: what
-    ``format_turns`` leaves out is to be written beside the formatted conversations."""
+    """(value, layout) of the records that ``canonical_turns`` leaves out, whole, with the reason as ``layout``: they are to
+    be written beside the formatted conversations."""
     schema = pa.schema([("value", pa.string()), ("layout", pa.string())])
 
     def run(parts):
@@ -196,14 +234,11 @@ def unmapped(records: DataFrame, mappings: tuple[Mapping, ...] = MAPPINGS) -> Da
 
         def rows():
             for part in parts:
-                for value in part.column(0).to_pylist():
-                    try:
-                        record = json.loads(value) if value is not None else None
-                    except ValueError:
-                        record = None
-                    mark, mapping = layouts.select(record) if isinstance(record, dict) else ("malformed", None)
-                    if mapping is None:
-                        yield value, mark
+                for value in part.column(0):
+                    value = value.as_py()
+                    layout, turns = _read(value, layouts)
+                    if turns is None:
+                        yield value, layout
 
         yield from batches(schema, rows(), weigh=lambda row: len(row[0] or ""))
 

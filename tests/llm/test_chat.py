@@ -53,7 +53,7 @@ def test_fingerprints_ignore_order_and_extra_fields():
 def test_unknown_records_are_reported(spark):
     rows = [("not json",), (None,), ("[1]",), (record(conv_id=1, stuff="x"),), (record(conv_id=5, messages=[]),)]
     got = chat.canonical_turns(spark.createDataFrame(rows, "value string")).collect()
-    assert sorted(r.layout for r in got)[-3:] == ["malformed"] * 3 and len(got) == 4 and all(r.turn is None for r in got)
+    assert sorted(r.layout for r in got)[1:] == ["malformed"] * 3 + [chat.NO_TURNS] and len(got) == 5 and all(r.turn is None for r in got)
 
 
 MIXED = [
@@ -73,8 +73,8 @@ def test_fields_of_other_layouts_hide_no_conversation(spark):
 
 
 def test_unmapped_records_are_returned_whole(spark):
-    lost = [(record(conv_id=1, stuff="x"),), ("not json",), (None,), (record(conv_id=2, messages=0),)]
-    rows = [*lost, *((v,) for _, v in MIXED), (record(conv_id=5, system="s", messages=[]),)]
+    lost = [(record(conv_id=1, stuff="x"),), ("not json",), (None,), (record(conv_id=2, messages=0),), (record(conv_id=5, system="s", messages=[]),)]
+    rows = [*lost, *((v,) for _, v in MIXED)]
     got = chat.unmapped(spark.createDataFrame(rows, "value string")).collect()
     assert sorted(((r.value,) for r in got), key=repr) == sorted(lost, key=repr)
     assert sum(r.layout == "malformed" for r in got) == 2
@@ -120,3 +120,23 @@ def test_registered_query(spark):
 def test_empty_table(spark):
     empty = spark.createDataFrame([], "value string")
     assert chat.read_back(chat.format_turns(chat.canonical_turns(empty))).count() == 0
+
+
+def test_records_that_cannot_be_used_are_kept_with_their_reason(spark):
+    turn = '{"conv_id": %s, "turn": %s, "role": "user", "text": "%s"}'
+    bad = {
+        turn % ('"x7"', 0, "a"): chat.BAD_KEY, turn % (1.5, 0, "a"): chat.BAD_KEY, turn % (1 << 63, 0, "a"): chat.BAD_KEY,
+        turn % ("true", 0, "a"): chat.BAD_KEY, turn % ("[1]", 0, "a"): chat.BAD_KEY, turn % (1, '"first"', "a"): chat.BAD_TURN,
+        turn % (1, 0.5, "a"): chat.BAD_TURN, turn % (1, 0, "a\\ud800b"): chat.BAD_TEXT,
+        '{"conv_id": 1, "messages": []}': chat.NO_TURNS, '{"conv_id": 1, "messages": null}': chat.NO_TURNS,
+        "[" * 100_000: chat.TOO_DEEP, '{"conv_id": 1, "messages": ' + "[" * 400_000 + "]" * 400_000 + "}": chat.TOO_DEEP, "[1]": chat.MALFORMED,
+    }
+    good = {turn % ('"7"', '" 2 "', "a"): (7, 2), turn % ("8.0", 1, "b"): (8, 1), turn % ("null", "null", "c"): (None, None)}
+    records = spark.createDataFrame([(v,) for v in [*bad, *good]], "value string")
+    left = {r.value: r.layout for r in chat.unmapped(records).collect()}
+    assert left.keys() == bad.keys()
+    assert {v[:60]: r for v, r in left.items() if r != bad[v]} == {}
+    turns = chat.canonical_turns(records)
+    assert sorted(((r.conv_id, r.turn) for r in turns.filter("role IS NOT NULL").collect()), key=repr) == sorted(good.values(), key=repr)
+    assert sorted(r.layout for r in turns.filter("role IS NULL").collect()) == sorted(bad.values())
+    assert chat.read_back(chat.format_turns(turns)).count() == 3
