@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marquee.llm.text import word_count
+from marquee.llm.text import text_digest, word_count
 from marquee.session import materialize
 
 CYCLE = (5, 2, 1)
@@ -25,11 +25,12 @@ DIGITS = 13  # hexadecimal digits of a digest that make the random number, 52 bi
 
 
 def sized_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Documents with ``size`` in words and ``quality``: a quarter for those that are labelled bad, else 1."""
+    """Documents with ``size`` in words, ``quality``, a quarter for those that are labelled bad, else 1, and the ``digest``
+    of the text, which tells documents without an id apart."""
     bad = labels.groupBy(F.col("doc_id").alias("_id")).agg(F.min("quality").alias("_label")).filter("_label = 0")
-    sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"))
+    sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), text_digest(F.col("text")).alias("digest"))
     return sized.join(bad, F.col("doc_id") == F.col("_id"), "left").select(
-        "doc_id", "source", "size", F.when(F.col("_label") == 0, 0.25).otherwise(1.0).alias("quality")
+        "doc_id", "source", "size", F.when(F.col("_label") == 0, 0.25).otherwise(1.0).alias("quality"), "digest"
     )
 
 
@@ -62,14 +63,15 @@ def source_targets(sizes: DataFrame, cycle: tuple[int, ...] = CYCLE, most: int =
     )
 
 
-def _uniform(key: Column, seed: str) -> Column:
-    """A number in (0, 1] that depends on the document and the seed alone."""
-    digest = F.md5(F.concat(F.lit(seed + "|"), F.coalesce(key.cast("string"), F.lit("null"))))
+def _uniform(key: Column, seed: str, otherwise: Column) -> Column:
+    """A number in (0, 1] that depends on the document and the seed alone; ``otherwise`` stands for a null key."""
+    digest = F.md5(F.concat(F.lit(seed + "|"), F.coalesce(key.cast("string"), otherwise)))
     return (F.conv(F.substring(digest, 1, DIGITS), 16, 10).cast("double") + 1.0) / (2.0 ** (4 * DIGITS) + 1.0)
 
 
 def mix(
-    docs: DataFrame, key: str = "doc_id", cycle: tuple[int, ...] = CYCLE, most: int = MOST_EPOCHS, seed: str = SEED
+    docs: DataFrame, key: str = "doc_id", cycle: tuple[int, ...] = CYCLE, most: int = MOST_EPOCHS, seed: str = SEED,
+    carried: tuple[str, ...] = (),
 ) -> DataFrame:
     """Per document of (key, source, size, quality): the words the mix takes of it.
 
@@ -80,13 +82,16 @@ def mix(
 
     Null sources form one source, ordered last. A null ``quality`` counts as 1, one that is not positive as the
     smallest weight. Null sizes are 0; documents without words are never taken. Repeated keys draw the same
-    number; ties go by size. No rows in give no rows out.
+    number; ties go by size. A document without a key draws by its ``digest``, if there is such a column, so documents
+    without keys spread over all ranges. Columns named in ``carried`` are returned as well. No rows in give no rows out.
     """
+    digest = F.hex(F.col("digest").cast("binary")) if "digest" in docs.columns else F.lit("null")
     quality = F.greatest(F.coalesce(F.col("quality").cast("double"), F.lit(1.0)), F.lit(1e-6))
     rows = materialize(
         docs.select(
             F.col(key).alias("key"), "source", F.coalesce(F.col("size").cast("long"), F.lit(0)).alias("size"),
-            (-F.ln(_uniform(F.col(key), seed)) / quality).alias("draw"),
+            (-F.ln(_uniform(F.col(key), seed, F.coalesce(digest, F.lit("null")))) / quality).alias("draw"),
+            *[F.col(name).alias(f"carried_{i}") for i, name in enumerate(carried)],
         ), "mix-sizes",
     )
     totals = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
@@ -113,17 +118,36 @@ def mix(
     return (
         placed.join(ranges, ["source_no", "bucket"])
         .withColumn("taken", F.col("size") * (F.col("epochs") + sampled.cast("long")))
-        .select(F.col("key").alias(key), "source", "size", "source_size", "target", "epochs", "taken")
+        .select(
+            F.col("key").alias(key), "source", "size", "source_size", "target", "epochs", "taken",
+            *[F.col(f"carried_{i}").alias(name) for i, name in enumerate(carried)],
+        )
     )
 
 
-def repeated(docs: DataFrame, mixed: DataFrame, key: str = "doc_id") -> DataFrame:
-    """The mixed corpus: every document as often as the mix takes it, the columns of ``docs`` unchanged."""
-    times = mixed.filter("taken > 0").groupBy(F.col(key).alias("_key")).agg(
-        F.max(F.expr("cast(taken / size as int)")).alias("_times")
-    )
-    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"))
-    each = rows.join(times, F.col("_row")[key].eqNullSafe(F.col("_key"))).select(
-        "_row", F.explode(F.sequence(F.lit(1), F.col("_times")))
+def repeated(docs: DataFrame, mixed: DataFrame, key: str = "doc_id", digest: Column | None = None) -> DataFrame:
+    """The mixed corpus: every document as often as the mix takes it, the columns of ``docs`` unchanged.
+
+    Documents are found again by key and source, and with ``digest``, a column over ``docs``, by that of the carried
+    column ``digest`` too. Keys may be null or repeat. Of n rows that agree in all of these the mix takes some number of
+    copies in all; each gives an equal share of them, and those with the smaller hashes one more of what is left.
+    """
+    names = [key, "source", *(["digest"] if digest is not None else [])]
+    groups = mixed.groupBy(*[F.col(name).alias(f"_k{i}") for i, name in enumerate(names)]).agg(
+        F.count("*").alias("_rows"), F.sum(F.when(F.col("taken") > 0, F.expr("taken div size")).otherwise(0)).alias("_copies")
+    ).filter("_copies > 0")
+    row = F.struct(*[docs[c] for c in docs.columns])
+    marks = [docs[key], docs["source"], *([digest] if digest is not None else [])]
+    rows = docs.select(row.alias("_row"), *[mark.alias(f"_m{i}") for i, mark in enumerate(marks)])
+    same = F.lit(True)
+    for i in range(len(marks)):
+        same = same & F.col(f"_m{i}").eqNullSafe(F.col(f"_k{i}"))
+    found = rows.join(groups, same)
+    share = F.expr("cast(_copies div _rows as int)")
+    order = Window.partitionBy(*[f"_k{i}" for i in range(len(marks))]).orderBy(F.xxhash64("_row"))
+    even = found.filter("_copies % _rows = 0").select("_row", share.alias("_times"))
+    uneven = found.filter("_copies % _rows <> 0").withColumn("_n", F.row_number().over(order)).select(
+        "_row", (share + F.expr("int(_n <= _copies % _rows)")).alias("_times")
     )
+    each = even.unionByName(uneven).filter("_times > 0").select("_row", F.explode(F.sequence(F.lit(1), F.col("_times"))))
     return each.select("_row.*")

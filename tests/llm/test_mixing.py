@@ -73,3 +73,27 @@ def test_repeated_documents_keep_their_columns(spark):
 def test_plan_has_no_python(spark):
     plan = mixing.mix(frame(spark, _rows(10)).select("doc_id", "source", "size", "quality"))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_null_and_repeated_ids_are_emitted_as_often_as_taken(spark):
+    """The words of the mixed corpus are the words taken, whatever the ids."""
+    rows = [(None, "a", f"{'x ' * (1 + i % 7)}{i}") for i in range(60)] + [(7, "b", f"{'y ' * (1 + i % 5)}{i}") for i in range(30)]
+    rows += [(None, "b", "same text here")] * 9 + [(i, "c", "z " * (1 + i % 9)) for i in range(100, 300)] + [(None, None, None), (8, "a", "")]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string").repartition(5)
+    labels = spark.createDataFrame([], "doc_id long, quality int")
+    mixed = mixing.mix(mixing.sized_documents(docs, labels), carried=("digest",))
+    taken = mixed.groupBy("source").agg(F.sum("taken").alias("n"), F.first("target").alias("target")).collect()
+    out = mixing.repeated(docs, mixed, digest=F.unhex(F.md5(F.coalesce(docs["text"], F.lit("")))))
+    assert out.columns == docs.columns
+    words = {r.source: r.n for r in out.groupBy("source").agg(F.sum(F.size(F.split(F.trim("text"), " +"))).alias("n")).collect()}
+    assert words == {r.source: r.n for r in taken if r.n}
+    assert all(abs(r.n - r.target) <= 5 for r in taken if r.source in ("a", "b", "c"))
+    most = out.groupBy("doc_id", "text").count().join(docs.groupBy("doc_id", "text").agg(F.count("*").alias("rows")), ["doc_id", "text"])
+    assert most.filter("count > 3 * rows").count() == 0
+
+
+def test_documents_without_ids_draw_apart(spark):
+    docs = spark.createDataFrame([(None, "a", f"word {i}") for i in range(500)] + [(1, "b", "x " * 5000)], "doc_id long, source string, text string")
+    sized = mixing.sized_documents(docs, spark.createDataFrame([], "doc_id long, quality int"))
+    draws = sized.select(mixing._uniform(F.col("doc_id"), "s", F.hex("digest")).alias("u")).distinct().count()
+    assert draws == 501
