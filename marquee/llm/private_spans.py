@@ -9,7 +9,7 @@ Segmentations are linked from their last segment, so the memory of a long text i
 that are still open.
 
 The field is trained here by maximum likelihood (forward-backward over the same candidates). Its data are pieces of at
-most ``SAMPLE_PIECES`` places in at most ``SAMPLE_TEXTS`` texts of the table and a few written sentences: what the base
+most ``SAMPLE_PIECES`` places in about ``SAMPLE_TEXTS`` texts of the table and a few written sentences: what the base
 patterns find there is right, other candidates are wrong, and each piece is written in further ways that the patterns do
 not know (``name at host dot org``, national numbers, other separators), and in ways that make it wrong (broken check
 digit, part above 255).
@@ -34,6 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marquee.llm.text import batches, sampled
+from marquee.session import materialize
 
 KINDS = ("email", "ip", "card", "phone")
 MOST_CHARS = 128
@@ -526,8 +527,11 @@ def places(text: str) -> Iterator[str]:
 
 
 def fit(docs: DataFrame, text: str = "text", texts: int = SAMPLE_TEXTS, pieces: int = SAMPLE_PIECES) -> Model:
-    """A field trained on at most ``pieces`` places of at most ``texts`` texts, those with the smallest hash."""
+    """A field trained on at most ``pieces`` places, those with the smallest hash, of about ``texts`` texts: the share of
+    them whose hash is small. Texts do not leave their tasks."""
     with_places = docs.select(F.col(text).alias("text")).filter(F.col("text").rlike("[0-9@]"))
+    share = min(1.0, texts / max(1, with_places.count()))
+    few = with_places.filter(F.pmod(F.xxhash64("text"), F.lit(1 << 40)) < int(share * (1 << 40)))
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("piece", pa.string())])
@@ -535,7 +539,7 @@ def fit(docs: DataFrame, text: str = "text", texts: int = SAMPLE_TEXTS, pieces:
             found = ((p,) for value in part["text"].to_pylist() for p in places(value) if len(p) <= MOST_PIECE)
             yield from batches(schema, found)
 
-    chosen = sampled(with_places, "text", texts).mapInArrow(run, "piece string").distinct()
+    chosen = materialize(few.mapInArrow(run, "piece string").distinct(), "private-pieces")
     return train(examples(row["piece"] for row in sampled(chosen, "piece", pieces).collect()))
 
 
