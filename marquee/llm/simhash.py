@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marquee.llm.components import components
-from marquee.llm.text import LOWER, UPPER, batches, small_batches, text_digest
+from marquee.llm.text import LOWER, UPPER, batches, small_batches, small_broadcasts, text_digest
 from marquee.session import materialize
 
 SHINGLE_WORDS = 3
@@ -240,27 +240,26 @@ def _triples(parts: int = WIDE_PARTS) -> list[tuple[int, int, int]]:
     return [tuple(r[i:i + 3]) for r in rounds for i in range(0, len(r) - 2, 3)]
 
 
-def _byte(array: str, position: int) -> str:
-    return f"(shiftrightunsigned({array}[{position // 8}], {8 * (position % 8)}) & 255L)"
-
-
 def _index(nodes: DataFrame, *more: str) -> DataFrame:
     """(list, node, ...): the lists of wide fingerprints, by the value of each of the triples."""
-    keys = [
-        f"{n}L << 24 | {_byte('wide', a)} << 16 | {_byte('wide', b)} << 8 | {_byte('wide', c)}"
-        for n, (a, b, c) in enumerate(_triples())
-    ]
-    return nodes.select(F.explode(F.array(*map(F.expr, keys))).alias("list"), "node", *more)
+    triples = F.array(*[F.struct(*[F.lit(x) for x in (n, *triple)]) for n, triple in enumerate(_triples())])
+    byte = "(shiftrightunsigned(wide[cast({0} / 8 as int)], 8 * ({0} % 8)) & 255L)"
+    key = " | ".join(["bigint(t.col1) << 24", *(f"{byte.format(f't.col{i}')} << {8 * (4 - i)}" for i in (2, 3, 4))])
+    return nodes.select("node", "wide", *more, triples.alias("triples")).select(F.explode(F.expr(f"transform(triples, t -> {key})")).alias("list"), "node", *more)
 
 
 def _similar(most: int, least_shared: int) -> Column:
-    """Whether ``u_wide`` and ``v_wide`` differ in few bits and share enough positional bytes."""
-    differ = [f"(u_wide[{i}] ^ v_wide[{i}])" for i in range(WIDE_PARTS)]
-    shared = " + ".join(
-        f"int((shiftrightunsigned({x}, {8 * i}) & 255L) = 0)" for x in differ for i in range(8)
-    )
-    flips = " + ".join(f"bit_count({x})" for x in differ)
-    return F.expr(f"{flips} <= {most}") & F.expr(f"{shared} >= {least_shared}")
+    """Whether ``u_wide`` and ``v_wide`` differ in few bits and share enough positional bytes.
+
+    Shifts gather every byte's bits in its lowest one, so the ones that are left count the bytes that differ.
+    """
+    flips = " + ".join(f"bit_count(u_wide[{i}] ^ v_wide[{i}])" for i in range(WIDE_PARTS))
+    gathered = "zip_with(u_wide, v_wide, (x, y) -> x ^ y)"
+    for step in (4, 2, 1):
+        gathered = f"transform({gathered}, d -> d | shiftrightunsigned(d, {step}))"
+    lowest = int("01" * 8, 16)
+    differing = f"aggregate({gathered}, 0, (n, d) -> n + bit_count(d & {lowest}L))"
+    return F.expr(f"{flips} <= {most}") & F.expr(f"{8 * WIDE_PARTS} - {differing} >= {least_shared}")
 
 
 def leader_links(nodes: DataFrame, most: int = WIDE_MOST_BITS, least_shared: int = WIDE_LEAST_SHARED) -> DataFrame:
@@ -326,6 +325,11 @@ def similar_components(nodes: DataFrame, known: DataFrame | None = None, longest
 def _similar_nodes(prints: DataFrame, longest: int) -> DataFrame:
     """(fp, wide, low, root) of the distinct fingerprints; ``low`` is the first (last, key, digest) of their rows, null
     keys last."""
+    with small_broadcasts(prints.sparkSession):
+        return _rooted_prints(prints, longest)
+
+
+def _rooted_prints(prints: DataFrame, longest: int) -> DataFrame:
     nodes = materialize(
         prints.groupBy("fp", "wide").agg(F.min(F.struct(F.col("key").isNull().alias("last"), "key", "digest")).alias("low"))
         .withColumn("node", F.monotonically_increasing_id()),
@@ -337,7 +341,7 @@ def _similar_nodes(prints: DataFrame, longest: int) -> DataFrame:
     narrow = close.join(name("u"), "u").join(name("v"), "v").select(F.col("u_node").alias("u"), F.col("v_node").alias("v"))
     equal = nodes.select("fp", F.col("node").alias("v")).join(of_print, "fp").filter("v <> node").select(F.col("node").alias("u"), "v")
     roots = similar_components(nodes.select("node", "wide"), narrow.unionByName(equal), longest).select("node", "root")
-    return nodes.join(roots, "node").select("fp", "wide", "low", "root")
+    return materialize(nodes.join(roots, "node").select("fp", "wide", "low", "root"), "rooted-prints")
 
 
 def similar_groups(docs: DataFrame, key: str = "doc_id", longest: int = LONGEST) -> DataFrame:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Fixed value: a word is a run of characters other than space, tab, line feed, vertical tab, form feed and
@@ -33,6 +34,27 @@ def text_digest(text: Column) -> Column:
     return F.unhex(F.md5(F.coalesce(text, F.lit(""))))
 
 
+@contextlib.contextmanager
+def small_broadcasts(spark: SparkSession, most: str = "1MB") -> Iterator[None]:
+    """Joins planned inside send at most ``most`` of a table to every task; larger ones are merged.
+
+    For steps of many rounds, each of which would build its broadcasts in the driver. The session's settings come back
+    at the end, so what is read lazily later is planned by them.
+    """
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    before = {name: spark.conf.get(name, None) for name in names}
+    try:
+        for name in names:
+            spark.conf.set(name, most)
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
 def small_batches(df: DataFrame) -> None:
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
