@@ -40,16 +40,16 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them."""
+    """Documents as often as the mix takes them. Ids may be null or repeat: documents are told apart by their texts too."""
     prepare(spark)
-    mixed = mixing.mix(mixing.sized_documents(docs, table(spark, sf_dir, "labels")))
-    return mixing.repeated(docs, mixed)
+    mixed = mixing.mix(mixing.sized_documents(docs, table(spark, sf_dir, "labels")), carried=("digest",))
+    return mixing.repeated(docs, mixed, digest=text_digest(docs["text"]))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token sequences of every copy."""
+    """Token sequences of every copy; the copies of a text are cut anew."""
     prepare(spark)
-    return pieces.encoded(docs)
+    return pieces.encoded(docs, copies=True)
 
 
 STAGES = [
