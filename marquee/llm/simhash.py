@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marquee.llm.components import components
-from marquee.llm.text import LOWER, UPPER, batches, small_batches, small_broadcasts, text_digest
+from marquee.llm.text import LOWER, UPPER, batches, merge_joins, small_batches, text_digest
 from marquee.session import materialize
 
 SHINGLE_WORDS = 3
@@ -325,7 +325,7 @@ def similar_components(nodes: DataFrame, known: DataFrame | None = None, longest
 def _similar_nodes(prints: DataFrame, longest: int) -> DataFrame:
     """(fp, wide, low, root) of the distinct fingerprints; ``low`` is the first (last, key, digest) of their rows, null
     keys last."""
-    with small_broadcasts(prints.sparkSession):
+    with merge_joins(prints.sparkSession):
         return _rooted_prints(prints, longest)
 
 

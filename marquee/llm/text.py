@@ -35,17 +35,18 @@ def text_digest(text: Column) -> Column:
 
 
 @contextlib.contextmanager
-def small_broadcasts(spark: SparkSession, most: str = "1MB") -> Iterator[None]:
-    """Joins planned inside send at most ``most`` of a table to every task; larger ones are merged.
+def merge_joins(spark: SparkSession) -> Iterator[None]:
+    """Joins planned inside send no table to every task.
 
-    For steps of many rounds, each of which would build its broadcasts in the driver. The session's settings come back
-    at the end, so what is read lazily later is planned by them.
+    For steps of many rounds, each of which would build its broadcasts in the driver, and for exploded rows, whose size
+    Spark guesses from the arrays they come from. The session's settings come back at the end, so what is read lazily
+    later is planned by them.
     """
     names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
     before = {name: spark.conf.get(name, None) for name in names}
     try:
         for name in names:
-            spark.conf.set(name, most)
+            spark.conf.set(name, "-1")
         yield
     finally:
         for name, value in before.items():
