@@ -3,20 +3,24 @@
 Every line is hashed, and a rolling hash over ``WINDOW`` neighbouring line hashes decides whether a chunk starts at a
 line. The decision looks at nothing else, so lines inserted elsewhere in a document move no boundary. A line of more
 than ``OWN_LINE`` words is always its own chunk. Chunks that occur more than once in the corpus are compared byte by
-byte with their first occurrence. The chunk at either edge of a shared passage also holds lines of its own document;
-therefore a repeat is extended line by line, as far as the lines around the chunk equal those around its first
-occurrence. Repeats of several lines, and of single lines of more than ``LONG_LINE`` words, are then removed everywhere
-but at their first occurrence; a shorter line that repeats by itself stays.
-
-Plan: DataFrame functions only. First only digests and positions of chunks move, combined before the shuffle, so a
-chunk that a third of all documents share is a row per task. The texts of chunks whose digest repeats are then
-grouped by the text itself, which compares their bytes. For the extension the line hashes of the two documents, 64
-bits a line, meet at each repeat. Removals are joined to the documents by document.
+byte with their first occurrence. Repeats of several lines, and of single lines of more than ``LONG_LINE`` words, are
+removed everywhere but at their first occurrence; a shorter line that repeats by itself stays.
+
+The chunk at either edge of a shared passage also holds lines of its own document, and a short passage may hold no whole
+chunk. Passages need no boundary: every two neighbouring lines with words are a pair, pairs that repeat an earlier one
+byte by byte are joined to stretches where they share lines, and stretches of more than ``LONG_LINE`` words go. So every
+passage of more words that stands earlier, in one place or in parts, goes whole, within a document as well. Of every line
+that goes, the earliest equal one stays.
+
+Plan: DataFrame functions only. First only digests and positions of chunks and pairs move, combined before the shuffle,
+so one that a third of all documents share is a row per task. The texts of those whose digest repeats are then grouped
+by the text itself, which compares their bytes. Stretches are found by document from positions and word counts alone,
+and removals are joined to the documents by document.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marquee.llm.text import WORD_PATTERN
@@ -26,8 +30,6 @@ WINDOW = 2
 EXPECTED_LINES = 2  # a chunk has about so many lines
 LONG_LINE = 50
 OWN_LINE = 20
-SEED_WORDS = 8  # a single line of fewer words is no place to start a comparison from
-REACH = 64  # lines; between two chunks of a passage there are as many single lines with a chance of 2^-64
 # Fixed values of the rolling hash: a prime below 2^31 and the multiplier of a step.
 MODULUS = 2147483647
 STEP = 1000003
@@ -47,102 +49,92 @@ def _rolling(hashes: Column, at: Column, window: int) -> Column:
     )
 
 
-def chunked(docs: DataFrame, key: str = "doc_id", window: int = WINDOW, expected: int = EXPECTED_LINES) -> DataFrame:
-    """(key, text_digest, at, lines, words): the chunks of every text, ``at`` is the index of their first line and
-    ``words`` the words of the longest. Null texts have none."""
+def parted(docs: DataFrame, key: str = "doc_id", window: int = WINDOW, expected: int = EXPECTED_LINES) -> DataFrame:
+    """(key, text_digest, pair, at, n_lines, words, last_words, text): what is compared of every text.
+
+    Chunks that would go if they repeat, of several lines with some word or of one with more than ``LONG_LINE``: ``words``
+    are those of the longest line. Pairs of neighbouring lines with words, blank ones between them left out of the text:
+    ``words`` and ``last_words`` are those of both. ``at`` is the index of the first line. Null texts have none.
+    """
     marked = (
         docs.filter("text IS NOT NULL")
         .select(F.col(key).alias("key"), F.xxhash64("text").alias("text_digest"), F.split("text", "\n", -1).alias("lines"))
         .withColumn("facts", F.transform("lines", lambda x: F.struct(_line_hash(x).alias("h"), F.regexp_count(x, F.lit(WORD_PATTERN)).alias("words"))))
     )
     hashes, own = F.col("facts.h"), lambda i: F.get(F.col("facts.words"), i) > OWN_LINE
+    every = F.sequence(F.lit(0), F.size("lines") - 1)
     starts = F.filter(
-        F.sequence(F.lit(0), F.size("lines") - 1),
-        lambda i: (i == 0) | own(i) | own(i - 1) | (F.shiftright(_rolling(hashes, i, window), 7) % expected == 0),
+        every, lambda i: (i == 0) | own(i) | own(i - 1) | (F.shiftright(_rolling(hashes, i, window), 7) % expected == 0),
+    )
+    worded = F.filter(every, lambda i: F.get(F.col("facts.words"), i) > 0)
+    cut = marked.select(
+        "key", "text_digest", "lines", F.col("facts.words").alias("counts"), starts.alias("starts"), worded.alias("worded")
     )
-    cut = marked.select("key", "text_digest", "lines", F.col("facts.words").alias("counts"), starts.alias("starts"))
 
-    def chunk(start: Column, number: Column) -> Column:
-        size = F.coalesce(F.get("starts", number + 1), F.size("lines")) - start
+    def part(pair: bool, at: Column, size: Column, words: Column, last: Column, text: Column) -> Column:
         return F.struct(
-            start.alias("at"), F.slice("lines", start + 1, size).alias("lines"),
-            F.array_max(F.slice("counts", start + 1, size)).alias("words"),
+            F.lit(pair).alias("pair"), at.alias("at"), size.alias("n_lines"), words.alias("words"), last.alias("last_words"),
+            text.alias("text"),
         )
 
-    chunks = F.transform("starts", chunk)
-    return cut.select("key", "text_digest", F.inline(chunks))
+    def chunk(start: Column, number: Column) -> Column:
+        size = F.coalesce(F.get("starts", number + 1), F.size("lines")) - start
+        text = F.array_join(F.slice("lines", start + 1, size), "\n")
+        return part(False, start, size, F.array_max(F.slice("counts", start + 1, size)), F.lit(0), text)
 
+    def pair(start: Column, number: Column) -> Column:
+        end = F.get("worded", number + 1)
+        text = F.concat(F.get("lines", start), F.lit("\n"), F.get("lines", end))
+        return part(True, start, end - start + 1, F.get("counts", start), F.get("counts", end), text)
 
-def comparable(chunks: DataFrame) -> DataFrame:
-    """Chunks that are compared: several lines with some word, or a single line of more than ``SEED_WORDS``."""
-    return chunks.filter(((F.size("lines") > 1) & (F.col("words") > 0)) | (F.col("words") > SEED_WORDS))
+    chunks = F.filter(F.transform("starts", chunk), lambda c: ((c["n_lines"] > 1) & (c["words"] > 0)) | (c["words"] > LONG_LINE))
+    pairs = F.transform(F.slice("worded", 1, F.greatest(F.size("worded") - 1, F.lit(0))), pair)
+    return cut.select("key", "text_digest", F.inline(F.concat(chunks, pairs)))
 
 
 def repeats(docs: DataFrame, key: str = "doc_id", window: int = WINDOW, expected: int = EXPECTED_LINES) -> DataFrame:
-    """(place, n_lines, words, first) of every chunk that repeats one at an earlier place, which is ``first``.
+    """(pair, key, text_digest, at, n_lines, words, last_words) of every chunk and pair that repeats one at an earlier place.
 
     A place is (last, key, text_digest, at); places are ordered by key, null last, then by the text's digest and
-    the chunk's first line.
+    the first line.
     """
-    rows = comparable(chunked(docs, key, window, expected)).select(
-        F.struct(F.col("key").isNull().alias("last"), "key", "text_digest", "at").alias("place"),
-        F.size("lines").alias("n_lines"), "words", F.array_join("lines", "\n").alias("chunk"),
-    ).withColumn("digest", F.unhex(F.md5("chunk")))
+    rows = parted(docs, key, window, expected).select(
+        "pair", F.struct(F.col("key").isNull().alias("last"), "key", "text_digest", "at").alias("place"), "n_lines", "words",
+        "last_words", "text",
+    ).withColumn("digest", F.unhex(F.md5("text")))
     # Several rows at one place are copies of one document and count once.
     often = (
-        rows.groupBy("digest").agg(F.min("place").alias("low"), F.max("place").alias("high"))
-        .filter("low < high").select("digest")
+        rows.groupBy("pair", "digest").agg(F.min("place").alias("low"), F.max("place").alias("high"))
+        .filter("low < high").select("pair", "digest")
     )
-    suspects = materialize(rows.join(often, "digest", "left_semi"), "line-chunks")
-    first = suspects.groupBy("digest", "chunk").agg(F.min("place").alias("first"))  # equal bytes, not just digests
-    found = suspects.join(first, ["digest", "chunk"]).filter("place > first")
-    return found.select("place", "n_lines", "words", "first").distinct()
-
-
-def _equal_run(most: Column, differs) -> Column:
-    """How many of the steps 1 to ``most`` pass before the first that differs."""
-    most = F.least(most, F.lit(REACH))
-    steps = F.when(most > 0, F.sequence(F.lit(1), most)).otherwise(F.array().cast("array<int>"))
-    return F.coalesce(F.array_min(F.filter(steps, differs)) - 1, F.greatest(most, F.lit(0)))
-
-
-def extended(found: DataFrame, docs: DataFrame, key: str = "doc_id") -> DataFrame:
-    """(key, text_digest, at, n_lines) of the repeats, with the equal lines before and after them, that are removed:
-    those of several lines, and single lines of more than ``LONG_LINE`` words.
-
-    Only lines of another document extend a repeat. An extension equals lines of an earlier document, so of every
-    line that goes, the earliest equal one stays.
-    """
-    hashes = docs.filter("text IS NOT NULL").select(
-        F.col(key).alias("key"), F.xxhash64("text").alias("text_digest"),
-        F.transform(F.split("text", "\n", -1), lambda x: F.xxhash64(x)).alias("lines"),
-    ).dropDuplicates(["key", "text_digest"])
-
-    def lines_of(side: str) -> DataFrame:
-        return hashes.select(*[F.col(c).alias(f"{side}_{c}") for c in ("key", "text_digest", "lines")])
-
-    def same(side: str, place: str) -> Column:
-        return F.col(f"{place}.key").eqNullSafe(F.col(f"{side}_key")) & (
-            F.col(f"{place}.text_digest") == F.col(f"{side}_text_digest")
+    suspects = materialize(rows.join(often, ["pair", "digest"], "left_semi"), "line-parts")
+    first = suspects.groupBy("pair", "digest", "text").agg(F.min("place").alias("first"))  # equal bytes, not just digests
+    found = suspects.join(first, ["pair", "digest", "text"]).filter("place > first")
+    return found.select(
+        "pair", F.col("place.key").alias("key"), F.col("place.text_digest").alias("text_digest"), F.col("place.at").alias("at"),
+        "n_lines", "words", "last_words",
+    ).distinct()
+
+
+def stretches(pairs: DataFrame) -> DataFrame:
+    """(key, text_digest, at, n_lines) of the runs of repeated pairs that share lines and have more than ``LONG_LINE`` words."""
+    in_order = Window.partitionBy("key", "text_digest").orderBy("at")
+    end = F.col("at") + F.col("n_lines") - 1
+    apart = F.coalesce(F.col("at") > F.lag(end).over(in_order), F.lit(True))
+    runs = pairs.withColumn("end", end).withColumn("apart", apart.cast("int")).withColumn("run", F.sum("apart").over(in_order))
+    return (
+        runs.groupBy("key", "text_digest", "run")
+        .agg(
+            F.min("at").alias("low"), F.max("end").alias("high"),
+            (F.sum("words") + F.max_by("last_words", "at")).alias("total"),
         )
-
-    met = found.join(lines_of("a"), same("a", "place")).join(lines_of("b"), same("b", "first"))
-    at, start, n = F.col("place.at"), F.col("first.at"), F.col("n_lines")
-    apart = ~(F.col("place.key").eqNullSafe(F.col("first.key")) & (F.col("place.text_digest") == F.col("first.text_digest")))
-    before = _equal_run(F.least(at, start), lambda k: F.get("a_lines", at - k) != F.get("b_lines", start - k))
-    after = _equal_run(
-        F.least(F.size("a_lines") - at, F.size("b_lines") - start) - n,
-        lambda k: F.get("a_lines", at + n + k - 1) != F.get("b_lines", start + n + k - 1),
+        .filter(F.col("total") > LONG_LINE)
+        .select("key", "text_digest", F.col("low").alias("at"), (F.col("high") - F.col("low") + 1).alias("n_lines"))
     )
-    back, on = F.when(apart, before).otherwise(0), F.when(apart, after).otherwise(0)
-    return met.select(
-        F.col("place.key").alias("key"), F.col("place.text_digest").alias("text_digest"), (at - back).alias("at"),
-        (n + back + on).alias("n_lines"), "words",
-    ).filter((F.col("n_lines") > 1) | (F.col("words") > LONG_LINE)).drop("words")
 
 
 def deduplicated(docs: DataFrame, key: str = "doc_id", window: int = WINDOW, expected: int = EXPECTED_LINES) -> DataFrame:
-    """The documents with repeated chunks cut out of ``text``, and the number of removed chunks and lines.
+    """The documents with repeated chunks and passages cut out of ``text``, and the number of both and of removed lines.
 
     Returns the columns of ``docs`` with the new text, ``removed_chunks`` and ``removed_lines``, which replace columns
     of these names. The lines that stay keep their order. A text of which all is removed is empty. Null and empty
@@ -150,7 +142,7 @@ def deduplicated(docs: DataFrame, key: str = "doc_id", window: int = WINDOW, exp
     is a repeat of the other. No rows give no rows.
     """
     found = materialize(repeats(docs, key, window, expected), "line-repeats")
-    ranges = extended(found, docs, key)
+    ranges = found.filter("NOT pair").select("key", "text_digest", "at", "n_lines").unionByName(stretches(found.filter("pair")))
     cuts = ranges.groupBy(F.col("key").alias("_key"), F.col("text_digest").alias("_digest")).agg(
         F.collect_list(F.struct("at", "n_lines")).alias("_cuts")
     )

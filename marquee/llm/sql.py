@@ -73,18 +73,20 @@ cut AS (SELECT *, list_filter(range(0, len(lines)), lambda i: i = 0 OR words[i +
 chunks AS (SELECT doc_id, td, starts[k] AS pos, lines[starts[k] + 1:coalesce(starts[k + 1], len(lines))] AS part,
     list_max(words[starts[k] + 1:coalesce(starts[k + 1], len(lines))]) AS words
     FROM cut, unnest(range(1, len(starts) + 1)) u(k)),
-placed AS (SELECT doc_id, td, pos, words, len(part) AS n, first_value((doc_id, td, pos)) OVER w AS f, dense_rank() OVER w AS nth
-    FROM chunks WHERE (len(part) > 1 AND words > 0) OR words > {line_chunks.SEED_WORDS}
-    WINDOW w AS (PARTITION BY array_to_string(part, chr(10)) ORDER BY doc_id NULLS LAST, td, pos)),
-met AS (SELECT p.doc_id, p.td, pos, n, words, f[3] AS fpos, a.lines AS a, b.lines AS b, p.doc_id = f[1] AND p.td = f[2] AS own FROM placed p
-    JOIN split a ON a.doc_id = p.doc_id AND a.td = p.td JOIN split b ON b.doc_id = f[1] AND b.td = f[2] WHERE nth > 1),
-reach AS (SELECT *, CASE WHEN own THEN 0 ELSE least(pos, fpos, {line_chunks.REACH}) END AS low,
-    CASE WHEN own THEN 0 ELSE least(len(a) - pos - n, len(b) - fpos - n, {line_chunks.REACH}) END AS high FROM met),
-cuts AS (SELECT doc_id, td, pos, n, words,
-    coalesce(list_min(list_filter(range(1, low + 1), lambda k: a[pos - k + 1] <> b[fpos - k + 1])) - 1, low) AS back,
-    coalesce(list_min(list_filter(range(1, high + 1), lambda k: a[pos + n + k] <> b[fpos + n + k])) - 1, high) AS onward FROM reach),
-gone AS (SELECT doc_id, td, count(*) AS removed_chunks, list_distinct(flatten(list(range(pos - back, pos + n + onward)))) AS gone
-    FROM cuts WHERE n + back + onward > 1 OR words > {line_chunks.LONG_LINE} GROUP BY doc_id, td),
+worded AS (SELECT doc_id, td, lines, words, list_filter(range(0, len(lines)), lambda i: words[i + 1] > 0) AS w FROM facts),
+pairs AS (SELECT doc_id, td, w[k] AS pos, w[k + 1] AS last, words[w[k] + 1] AS words, words[w[k + 1] + 1] AS last_words,
+    lines[w[k] + 1] || chr(10) || lines[w[k + 1] + 1] AS part FROM worded, unnest(range(1, len(w))) u(k)),
+again AS (SELECT * FROM pairs QUALIFY dense_rank() OVER (PARTITION BY part ORDER BY doc_id NULLS LAST, td, pos) > 1),
+runs AS (SELECT *, sum(apart) OVER (PARTITION BY doc_id, td ORDER BY pos) AS run FROM (SELECT *, CASE WHEN
+    coalesce(pos > lag(last) OVER (PARTITION BY doc_id, td ORDER BY pos), true) THEN 1 ELSE 0 END AS apart
+    FROM (SELECT DISTINCT * FROM again))),
+cuts AS (SELECT DISTINCT doc_id, td, pos, pos + len(part) AS past FROM chunks
+    WHERE (len(part) > 1 AND words > 0) OR words > {line_chunks.LONG_LINE}
+    QUALIFY dense_rank() OVER (PARTITION BY array_to_string(part, chr(10)) ORDER BY doc_id NULLS LAST, td, pos) > 1
+    UNION ALL SELECT doc_id, td, min(pos), max(last) + 1 FROM runs GROUP BY doc_id, td, run
+    HAVING sum(words) + max_by(last_words, pos) > {line_chunks.LONG_LINE}),
+gone AS (SELECT doc_id, td, count(*) AS removed_chunks, list_distinct(flatten(list(range(pos, past)))) AS gone
+    FROM cuts GROUP BY doc_id, td),
 kept AS (SELECT g.doc_id, g.td, removed_chunks, len(gone) AS removed_lines, array_to_string(list_transform(
     list_filter(range(0, len(lines)), lambda i: NOT list_contains(gone, i)), lambda i: lines[i + 1]), chr(10)) AS text
     FROM gone g JOIN split s ON s.doc_id = g.doc_id AND s.td = g.td)

@@ -111,25 +111,30 @@ def line_chunks(text):
 
 def without_repeats(rows):
     """{doc_id: text} of (doc_id, text) with distinct ids."""
-    first, seeds = {}, []
+    chunks, pairs = set(), set()
     lines = {key: text.split("\n") for key, text in rows if text is not None}
+    gone = {key: set() for key in lines}
     for key in sorted(lines):
-        for at, part in line_chunks("\n".join(lines[key])):
+        own = lines[key]
+        for at, part in line_chunks("\n".join(own)):
             most = max(len(words(x)) for x in part)
-            if (len(part) > 1 and most) or most > 8:
-                where = first.setdefault("\n".join(part), (key, at))
-                if where != (key, at):
-                    seeds.append((key, at, len(part), *where))
-    gone = {key: set() for key in lines}
-    for key, at, n, other, start in seeds:
-        a, b, low, high = lines[key], lines[other], 0, n
-        if key != other:
-            while at - low > 0 and start - low > 0 and a[at - low - 1] == b[start - low - 1]:
-                low += 1
-            while at + high < len(a) and start + high < len(b) and a[at + high] == b[start + high]:
-                high += 1
-        if low + high > 1 or len(words(a[at])) > 50:
-            gone[key].update(range(at - low, at + high))
+            if (len(part) > 1 and most) or most > 50:
+                if "\n".join(part) in chunks:
+                    gone[key].update(range(at, at + len(part)))
+                chunks.add("\n".join(part))
+        worded = [i for i, x in enumerate(own) if words(x)]
+        run, last = [], None
+        for a, b in [*zip(worded, worded[1:]), (None, None)]:
+            again = a is not None and (own[a], own[b]) in pairs
+            if again and last == a:
+                run.append(b)
+            else:
+                if sum(len(words(own[i])) for i in run) > 50:
+                    gone[key].update(range(run[0], run[-1] + 1))
+                run = [a, b] if again else []
+            last = b if again else None
+            if a is not None:
+                pairs.add((own[a], own[b]))
     out = {key: None for key, _ in rows}
     return out | {key: "\n".join(x for i, x in enumerate(lines[key]) if i not in gone[key]) for key in lines}
 

@@ -51,6 +51,32 @@ def test_whole_passages_go_and_stay_once(spark):
     assert all(set(rows[i][1].split("\n")) - set(passages[i % 10]) <= set(lines) for i, lines in got.items())
 
 
+def test_no_passage_of_over_fifty_words_is_missed(spark):
+    """Short passages of long lines, which hold few chunk boundaries, with other lines around."""
+    rng = random.Random(9)
+    line = lambda n: " ".join("".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(n))
+    passages = [[line(rng.randrange(13, 21)) for _ in range(4)] for _ in range(200)]
+    rows = [(i, "\n".join([line(6), *p, line(9)]), None, None, 0, 0) for i, p in enumerate(passages + passages)]
+    got = {r.doc_id: r.text.split("\n") for r in line_chunks.deduplicated(spark.createDataFrame(rows, SCHEMA).repartition(6)).collect()}
+    for i, p in enumerate(passages):
+        assert set(p) <= set(got[i]) and not set(p) & set(got[200 + i])
+        own = [x for x in rows[200 + i][1].split("\n") if x not in p]
+        assert got[200 + i] == own
+
+
+def test_a_passage_repeated_within_one_text_leaves_no_fragments(spark):
+    rng = random.Random(10)
+    line = lambda n: " ".join("".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(n))
+    passage = [line(rng.randrange(2, 14)) for _ in range(300)]
+    body = []
+    for i in range(20):
+        body += [line(7), *passage[:150], "", *passage[150:]]
+    rows = [(1, "\n".join(body), None, None, 0, 0)]
+    (got,) = line_chunks.deduplicated(spark.createDataFrame(rows, SCHEMA)).collect()
+    left = got.text.split("\n")
+    assert sum(x in set(passage) for x in left) == 300 and len([x for x in left if x]) == 320
+
+
 def test_boundaries_resist_shifts():
     rng = random.Random(2)
     lines = [" ".join(rng.choice("abcdefgh") * 3 for _ in range(6)) for _ in range(200)]
