@@ -14,11 +14,12 @@ from checks.sql import statement
 from marquee.functions import scoring, weights
 from marquee.functions.text import corpus_text, csv_list, tokens
 from marquee.operators import candidates as C
-from marquee.operators import choice, content, covisit, features, rates, trending
+from marquee.operators import choice, content, covisit, covisit_view, features, rates, trending
 from marquee.operators import ranking as R
 from marquee.plans import recommend as P
 from marquee.plans import train as T
 from marquee.plans.features import user_features
+from marquee.plans.serving import Requests, write_layout
 from marquee.session import fresh_path, materialize, prepare
 from marquee.sources import archive, events
 from marquee.sources import star_schema as S
@@ -109,6 +110,22 @@ def serving(spark, root) -> P.ServingTables:
     )
 
 
+def newest_user(spark, root) -> str:
+    newest = F.max_by("user_id", F.struct("event_ts", "event_id"))
+    return shared("newest-user", spark, root, lambda: S.interactions(spark, root).agg(newest).first()[0])
+
+
+def requests(spark, root) -> Requests:
+    """The stored layout for single requests."""
+
+    def build():
+        path = fresh_path(spark, "serving-layout")
+        write_layout(serving(spark, root), path, buckets=8)
+        return Requests(spark, path)
+
+    return shared("requests", spark, root, build)
+
+
 def profiled(spark, root):
     tables = serving(spark, root)
     profile = tables.users.select("user_id", "region", F.col("maturity_rating").alias("user_rating"))
@@ -435,6 +452,29 @@ def _(spark, root):
     return edges.select("source_item_id", "neighbor_item_id", "score")
 
 
+@query("pair_counts", """SELECT s AS item_id, t AS other_id, shared_users AS shared, x.users, y.users AS other_users,
+    round(shared_users / sqrt(CAST(x.users * y.users AS DOUBLE)), 6) AS score
+    FROM cv_pairs JOIN cv_n x ON x.item_id = s JOIN cv_n y ON y.item_id = t WHERE s < t""")
+def _(spark, root):
+    """Counts and scores of all pairs of titles, not of the published edges alone."""
+    return covisit_view.pair_counts(covisit.user_items(S.interactions(spark, root)))
+
+
+@query("stream_neighbors", "SELECT * FROM cv_edges")
+def _(spark, root):
+    """Edges of the maintained view after five batches of events."""
+
+    def build():
+        view = covisit_view.View(fresh_path(spark, "covisit-view"))
+        events_of = materialize(S.interactions(spark, root), "view-events")
+        for n in range(5):
+            batch = events_of.filter(F.pmod(F.xxhash64("event_id"), F.lit(5)) == n)
+            covisit_view.apply_batch(view, covisit.user_items(batch), n, compact_every=3)
+        return view
+
+    return shared("covisit-view", spark, root, build).edges(spark)
+
+
 @query("collab_neighbors", "SELECT source_item_id, neighbor_item_id, score, 'collaborative' AS algorithm FROM cv_edges")
 def _(spark, root):
     return covisit.collaborative_neighbors(S.interactions(spark, root))
@@ -606,8 +646,14 @@ def _(spark, root):
     ORDER BY event_ts DESC, event_id DESC LIMIT 1)""")
 def _(spark, root):
     """The user of the newest event, as a single request would ask."""
-    newest = F.max_by("user_id", F.struct("event_ts", "event_id"))
-    user = S.interactions(spark, root).agg(newest).first()[0]
+    return requests(spark, root).recommend(newest_user(spark, root)).withColumn("position", F.col("position").cast("long"))
+
+
+@query("recommend_one_unstored", """SELECT * FROM served WHERE user_id = (SELECT user_id FROM inter
+    ORDER BY event_ts DESC, event_id DESC LIMIT 1)""")
+def _(spark, root):
+    """The same from the whole tables, with the user as a filter."""
+    user = newest_user(spark, root)
     return P.recommend(serving(spark, root).only_user(user)).withColumn("position", F.col("position").cast("long"))
 
 
@@ -769,6 +815,11 @@ def _(spark, root):
     return I.read_feature(spark, ingested(spark, root), "consumed")
 
 
+@query("stream_trending", "SELECT * FROM trending")
+def _(spark, root):
+    return I.read_trending(spark, ingested(spark, root))
+
+
 @query("stream_events_per_minute", PER_MINUTE.format(ts="event_ts", by="event_type, ", t="inter"))
 def _(spark, root):
     files = _message_files(spark, root, "messages", events.encode(S.interactions(spark, root)))

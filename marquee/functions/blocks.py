@@ -8,6 +8,8 @@ import numpy as np
 import pandas as pd
 
 MATCHES = "x long, y long, score double"
+#: A vector with the blocks it asks, or a cell with the blocks that ask it.
+ASKS = "block int, v long, cell int, others array<int>"
 _MILLION = 1_000_000
 # How the products of a term are added up depends on their number: terms with few of them together,
 # terms with many as columns of dense matrices, the rest one by one.
@@ -115,3 +117,97 @@ def matches_across(top_k: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
         ])
 
     return find
+
+
+# Upper bounds are summed in single precision and compared with scores of six decimals.
+_SLACK, _ROUNDING = 2e-6, 1e-5
+_POSTINGS_AT_ONCE = 100_000
+_COLUMNS_AT_ONCE = 64
+
+
+def _sums(rows: np.ndarray, height: int, terms: np.ndarray, weights: np.ndarray, tops: np.ndarray) -> np.ndarray:
+    """Sum of weight times top per row and column of ``tops``, with postings sorted by row."""
+    out = np.zeros((height, tops.shape[1]), np.float32)
+    cuts = np.r_[np.arange(0, len(rows), _POSTINGS_AT_ONCE), len(rows)]
+    for low, high in zip(cuts[:-1], cuts[1:]):
+        if low == high:
+            continue
+        products = weights[low:high, None] * tops[terms[low:high]]
+        starts = np.flatnonzero(np.r_[True, rows[low + 1:high] != rows[low:high - 1]])
+        out[rows[low:high][starts]] += np.add.reduceat(products, starts, axis=0)
+    return out
+
+
+def _columns(known: np.ndarray, term_lists: list[np.ndarray], top_lists: list[np.ndarray]) -> np.ndarray:
+    """One column of maxima per list, over the terms ``known``."""
+    out = np.zeros((len(known), len(term_lists)), np.float32)
+    for column, (terms, tops) in enumerate(zip(term_lists, top_lists, strict=True)):
+        at = np.minimum(np.searchsorted(known, terms), len(known) - 1)
+        held = known[at] == terms
+        np.maximum.at(out[:, column], at[held], tops[held].astype(np.float32))
+    return out
+
+
+def _heavy_part(rows: np.ndarray, weights: np.ndarray, bound: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which postings come before the lighter rest whose length is at most half the bound, and that length per row.
+
+    A unit vector gains at most the length of the rest from it, whatever the terms. Postings are heaviest first.
+    """
+    squares = weights.astype(np.float64) ** 2
+    ends = np.r_[np.flatnonzero(rows[1:] != rows[:-1]), len(rows) - 1]
+    before = np.cumsum(squares) - squares
+    total = np.zeros(len(bound))
+    total[rows[ends]] = before[ends] + squares[ends]
+    rest = np.sqrt(np.maximum(total[rows] - before, 0))
+    heavy = rest > bound[rows] / 2
+    length = np.zeros(len(bound))
+    np.maximum.at(length, rows[~heavy], rest[~heavy])
+    return heavy, length
+
+
+def _reached(sums: np.ndarray, bound: np.ndarray) -> np.ndarray:
+    return (sums > 0) & (sums * (1 + _ROUNDING) + _SLACK >= bound[:, None])
+
+
+def asked_cells(vectors: pd.DataFrame, index: pd.DataFrame) -> pd.DataFrame:
+    """Which vectors of a block may find a better match in which cells of other blocks.
+
+    Bounds are taken over whole blocks first, then over the cells of a block for the vectors that reached it.
+    """
+    empty = pd.DataFrame({"block": [], "v": [], "cell": [], "others": []}, dtype=object)
+    if vectors.empty or index.empty:
+        return empty
+    block = int(vectors["block"].iloc[0])
+    lengths = vectors["terms"].str.len().to_numpy()
+    rows = np.repeat(np.arange(len(vectors)), lengths)
+    known, terms = np.unique(np.concatenate(vectors["terms"].to_numpy()), return_inverse=True)
+    weights = np.concatenate(vectors["weights"].to_numpy()).astype(np.float32)
+    bound, partners = vectors["bound"].to_numpy(), [[] for _ in range(len(vectors))]
+    heavy, rest = _heavy_part(rows, weights, bound)
+    out = []
+    for other, cells in index.groupby("block"):
+        whole = _columns(known, [np.concatenate(cells["terms"].to_numpy())], [np.concatenate(cells["tops"].to_numpy())])
+        upper = np.minimum(
+            _sums(rows, len(vectors), terms, weights, whole),
+            _sums(rows[heavy], len(vectors), terms[heavy], weights[heavy], whole) + rest[:, None],
+        )
+        asking = np.flatnonzero(_reached(upper, bound)[:, 0])
+        if not len(asking):
+            continue
+        chosen = np.isin(rows, asking)
+        place = np.searchsorted(asking, rows[chosen])
+        asked = np.zeros(len(asking), bool)
+        for low in range(0, len(cells), _COLUMNS_AT_ONCE):
+            part = cells.iloc[low:low + _COLUMNS_AT_ONCE]
+            tops = _columns(known, list(part["terms"]), list(part["tops"]))
+            reached = _reached(_sums(place, len(asking), terms[chosen], weights[chosen], tops), bound[asking])
+            asked |= reached.any(1)
+            out += [(int(other), None, int(cell), [block]) for cell in part["cell"].to_numpy()[reached.any(0)]]
+        for row in asking[asked]:
+            partners[row].append(int(other))
+    names = vectors["v"].to_numpy()
+    out += [(block, int(names[row]), None, others) for row, others in enumerate(partners) if others]
+    if not out:
+        return empty
+    found = pd.DataFrame(out, columns=["block", "v", "cell", "others"])
+    return found.astype({"v": "Int64", "cell": "Int32"})

@@ -3,11 +3,18 @@
 Exact, and no pair of texts ever becomes a row:
 
 1. Copies (same bag of tokens) are folded into one vector that stands for its members.
-2. Vectors are cut into blocks of bounded size, similar ones together (by their heaviest terms).
-3. Each block finds the best matches among its own vectors, which gives every vector a bound.
-4. Two blocks meet in one task. Their dot products are added up term by term in a small dense array,
+2. Vectors are cut into blocks of bounded size, similar ones together (by common terms among their heaviest), and blocks
+   into cells.
+3. Each block finds the best matches among its own vectors, which gives every vector a lower bound: the score that a
+   match elsewhere must reach.
+4. An inverted index over cells holds, per term, the largest weight in the cell. The products of a vector's weights with
+   them add up to an upper bound of its scores in the cell; so do the products of its heaviest terms plus the length of
+   the lighter rest. A vector travels to a block only if it asks one of the block's cells, or
+   lies in a cell that a vector of the block asks: where the upper bound reaches the lower one. Blocks that ask
+   nothing of each other never meet.
+5. Two blocks meet in one task. Their dot products are added up term by term in a small dense array,
    and only matches that reach the bound leave the task, at most ``top_k`` per vector.
-5. Neighbours of a vector are unfolded to member texts, smallest ids first.
+6. Neighbours of a vector are unfolded to member texts, smallest ids first.
 
 A term or a group of copies that covers much of the corpus makes no task larger: tasks are cut by
 vectors, not by terms.
@@ -20,7 +27,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marquee.functions.blocks import MATCHES, matches_across, matches_within
+from marquee.functions.blocks import ASKS, MATCHES, asked_cells, matches_across, matches_within
 from marquee.functions.text import corpus_text, tokens
 from marquee.session import materialize
 
@@ -28,6 +35,10 @@ from marquee.session import materialize
 BLOCK_VECTORS = 2048
 BLOCK_POSTINGS = 2_000_000
 MOST_TASKS = 20_000
+#: Vectors per cell of the bound index, and blocks whose cells a task bounds at once.
+CELL_VECTORS = 64
+HEAVY_TERMS = 8
+CHUNK_BLOCKS = 16
 
 
 def active_items(items: DataFrame) -> DataFrame:
@@ -88,26 +99,35 @@ def _fold_copies(corpus: DataFrame, stop_words: tuple[str, ...] | None) -> tuple
 
 
 def _vectors_with_weights(texts: DataFrame, vectors: DataFrame) -> DataFrame:
-    """(v, postings): unit weights of each distinct vector as an array of (w, term), heaviest first."""
+    """(v, terms, weights, heads) of each distinct vector of length one, heaviest first. ``heads`` are the two most common
+    of its ``HEAVY_TERMS`` heaviest terms, by which it is placed.
+
+    A term of one vector alone adds to its length and to no product, so it is not among the terms; vectors that share no
+    term have no matches and are left out.
+    """
     chosen = vectors.select(F.col("first_id").alias("item_id"), "v", "copies")
     words = texts.select("item_id", "bag").join(chosen, "item_id").select("v", "copies", F.explode("bag").alias("term"))
     counts = materialize(words.groupBy("v", "copies", "term").agg(F.count("*").alias("tf")), "content-terms")
     n_docs = texts.agg(F.count("*")).scalar()
-    frequency = counts.groupBy("term").agg(F.sum("copies").alias("df"))
+    frequency = counts.groupBy("term").agg(F.sum("copies").alias("df"), F.count("*").alias("vectors"))
     numbered = materialize(
         frequency.withColumn("t", F.monotonically_increasing_id()).withColumn("idf", idf(F.col("df"), n_docs)),
         "content-vocabulary",
     )
-    raw = counts.join(numbered, "term").select("v", "t", (F.col("tf") * F.col("idf")).alias("raw"))
+    common = F.transform(F.slice("heaviest", 1, HEAVY_TERMS), lambda one: F.struct(one["vectors"].alias("n"), one["t"].alias("t")))
+    heads = F.transform(F.slice(F.sort_array(common, asc=False), 1, 2), lambda one: one["t"])
+    raw = counts.join(numbered, "term").select("v", "t", "vectors", (F.col("tf") * F.col("idf")).alias("raw"))
     return (
         raw.groupBy("v").agg(
-            F.sort_array(F.collect_list(F.struct("raw", "t")), asc=False).alias("heaviest"),
+            F.sort_array(F.collect_list(F.when(F.col("vectors") > 1, F.struct("raw", "t", "vectors"))), asc=False).alias("heaviest"),
             F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("norm"),
         )
+        .filter(F.size("heaviest") > 0)
         .select(
             "v",
             F.transform("heaviest", lambda one: one["t"]).alias("terms"),
             F.transform("heaviest", lambda one: one["raw"] / F.col("norm")).alias("weights"),
+            heads.alias("heads"),
         )
     )
 
@@ -115,13 +135,13 @@ def _vectors_with_weights(texts: DataFrame, vectors: DataFrame) -> DataFrame:
 def _cut_into_blocks(
     vectors: DataFrame, block_vectors: int, block_postings: int = BLOCK_POSTINGS
 ) -> tuple[DataFrame, int]:
-    """Vectors with a ``block`` number. Blocks follow the heaviest terms, so likely neighbours share one.
+    """Vectors with ``block`` and ``cell`` numbers. Blocks follow the heads, so likely neighbours share one.
 
     A vector fills a share of a block, by its postings or as one of ``block_vectors``; blocks are cut where the
     running sum of shares passes a whole number, so none holds more than its bounds and one vector. The sum is
     added up within ranges of the order first, then over the ranges.
     """
-    order = [F.get("terms", F.lit(0)), F.get("terms", F.lit(1)), F.col("v")]
+    order = [F.get("heads", F.lit(0)), F.get("heads", F.lit(1)), F.col("v")]
     share = F.greatest(F.lit(1.0 / block_vectors), F.size("terms") / F.lit(float(block_postings)))
     vectors = materialize(vectors.withColumn("share", share), "content-weights")
     total = vectors.agg(F.coalesce(F.sum("share"), F.lit(0.0))).first()[0]
@@ -136,13 +156,62 @@ def _cut_into_blocks(
     )
     inside = Window.partitionBy("range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     at = F.col("before") + F.coalesce(F.sum("share").over(inside), F.lit(0.0))
+    cells = max(1, math.ceil(block_vectors / CELL_VECTORS))
     cut = materialize(
-        ranged.join(ranges, "range").withColumn("block", F.floor(at).cast("int")).drop("range", "share", "before"),
+        ranged.join(ranges, "range").withColumn("at", at).withColumn("block", F.floor("at").cast("int"))
+        .withColumn("cell", F.floor((F.col("at") - F.col("block")) * cells).cast("int"))
+        .drop("range", "share", "before", "at", "heads"),
         "content-blocks",
     )
     return cut, (cut.agg(F.max("block")).first()[0] or 0) + 1
 
 
+def _cell_index(vectors: DataFrame) -> DataFrame:
+    """(block, cell, terms, tops): the largest weight of each term in each cell. Cells are stored together, so most of
+    the maximum is taken before the shuffle."""
+    posting = F.explode(F.arrays_zip("terms", "weights")).alias("p")
+    tops = (
+        vectors.select("block", "cell", posting).groupBy("block", "cell", F.col("p.terms").alias("t"))
+        .agg(F.max("p.weights").alias("top"))
+    )
+    return tops.groupBy("block", "cell").agg(F.collect_list("t").alias("terms"), F.collect_list("top").alias("tops"))
+
+
+def _asks(bounded: DataFrame, index: DataFrame, blocks: int) -> DataFrame:
+    """What each block asks of the cells of every other block: (block, v, cell, others), see ``blocks.asked_cells``.
+
+    A block meets the index of ``CHUNK_BLOCKS`` blocks in a task, so what travels here is a vector per chunk and a
+    cell's maxima per block, not a vector per block.
+    """
+    last = (blocks - 1) // CHUNK_BLOCKS
+    left = bounded.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(last))))
+    right = index.select(
+        F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("asker"),
+        F.floor(F.col("block") / CHUNK_BLOCKS).cast("int").alias("chunk"), "block", "cell", "terms", "tops",
+    ).filter("asker <> block")
+    return left.groupBy("block", "chunk").cogroup(right.groupBy("asker", "chunk")).applyInPandas(asked_cells, ASKS)
+
+
+def _shipped(bounded: DataFrame, blocks: int) -> DataFrame:
+    """(vector, partner): every vector with the other blocks it has to meet."""
+    asks = materialize(_asks(bounded, materialize(_cell_index(bounded), "content-cells"), blocks), "content-asks")
+    gathered = F.flatten(F.collect_list("others"))
+    asking = asks.filter("v IS NOT NULL").groupBy("v").agg(gathered.alias("asking"))
+    asked = asks.filter("cell IS NOT NULL").groupBy("block", "cell").agg(F.array_distinct(gathered).alias("asked"))
+    nobody = F.array().cast("array<int>")
+    partners = F.array_union(F.coalesce("asking", nobody), F.coalesce("asked", nobody))
+    return bounded.join(asking, "v", "left").join(asked, ["block", "cell"], "left").withColumn(
+        "partner", F.explode(partners)
+    ).drop("asking", "asked", "cell")
+
+
+def _with_bounds(vectors: DataFrame, within: DataFrame, top_k: int) -> DataFrame:
+    """Vectors with the score of their ``top_k``-th match so far, 0 while they have fewer."""
+    bounds = within.groupBy("x").agg(F.count("*").alias("n"), F.min("score").alias("bound"))
+    known = bounds.filter(F.col("n") >= top_k).select(F.col("x").alias("v"), "bound")
+    return vectors.join(known, "v", "left").withColumn("bound", F.coalesce("bound", F.lit(0.0)))
+
+
 def _similar_vectors(vectors: DataFrame, top_k: int, block_vectors: int) -> DataFrame:
     """(x, y, score): at least the ``top_k`` best y of every x with positive score."""
     vectors, blocks = _cut_into_blocks(vectors, block_vectors)
@@ -150,14 +219,9 @@ def _similar_vectors(vectors: DataFrame, top_k: int, block_vectors: int) -> Data
     if blocks == 1:
         return within
     within = materialize(within, "content-within")
-
-    bounds = within.groupBy("x").agg(F.count("*").alias("n"), F.min("score").alias("bound"))
-    bounded = vectors.join(
-        bounds.filter(F.col("n") >= top_k).select(F.col("x").alias("v"), "bound"), "v", "left"
-    ).withColumn("bound", F.coalesce("bound", F.lit(0.0)))
-    partner = F.explode(F.filter(F.sequence(F.lit(0), F.lit(blocks - 1)), lambda other: other != F.col("block")))
+    bounded = materialize(_with_bounds(vectors, within, top_k), "content-bounded")
     across = (
-        bounded.withColumn("partner", partner)
+        _shipped(bounded, blocks)
         .withColumn("low", F.least("block", "partner"))
         .withColumn("high", F.greatest("block", "partner"))
         .drop("partner")

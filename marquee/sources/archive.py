@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marquee.session import children
+from marquee.session import children, remove
 
 HOUR_PARTS = ("year", "month", "day", "hour")
 ARCHIVE_SCHEMA = T.StructType([
@@ -69,3 +70,29 @@ def replay(spark: SparkSession, path: str, start: datetime, end: datetime) -> Da
         return spark.createDataFrame([], ARCHIVE_SCHEMA)
     rows = spark.read.schema(ARCHIVE_SCHEMA).option("basePath", path).json(folders)
     return rows.select(*ARCHIVE_SCHEMA.fieldNames()).dropDuplicates(["event_id", "user_id", *HOUR_PARTS])
+
+
+def compact_archive(spark: SparkSession, path: str, start: datetime, end: datetime) -> int:
+    """Merge the batch folders of the hours from ``start`` up to ``end``, which must be over, to one folder per hour.
+
+    The merged folder is written before the others are removed, and a replay gives a message once, so a job that fails in
+    between loses and doubles nothing. Copies of a message are folded. Returns the number of folders removed.
+    """
+    crowded = {}
+    for hour in hour_folders(spark, path, start, end):
+        batches = children(spark, hour, "batch_id")
+        if len(batches) > 1:
+            crowded[hour] = batches
+    if not crowded:
+        return 0
+    folders = [f"{hour}/batch_id={batch}" for hour, batches in crowded.items() for batch in batches]
+    rows = spark.read.schema(ARCHIVE_SCHEMA).option("basePath", path).json(folders)
+    merged = f"merged-{uuid.uuid4().hex}"
+    (
+        rows.select(*ARCHIVE_SCHEMA.fieldNames()).dropDuplicates(["event_id", "user_id", *HOUR_PARTS])
+        .withColumn("batch_id", F.lit(merged)).hint("rebalance", *HOUR_PARTS)
+        .write.mode("append").partitionBy(*HOUR_PARTS, "batch_id").json(path)
+    )
+    for folder in folders:
+        remove(spark, folder)
+    return len(folders)

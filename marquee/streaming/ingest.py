@@ -15,22 +15,24 @@ union, sums); a busy user or title is reduced inside each task before anything i
 
 from __future__ import annotations
 
-import functools
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from marquee.operators import features
 from marquee.schema import STORED_FACTS
-from marquee.session import children, exists, materialize, remove, scratch
+from marquee.session import materialize, remove, scratch
 from marquee.sources.archive import write_archive
 from marquee.sources.events import decode, quarantined, usable
+from marquee.streaming import trending
+from marquee.streaming.store import BatchStore
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 RECENT_KEPT = 20
+FEATURES = ("recent", "watched", "affinity", "popularity", "consumed", "panes")
+COMPACT_EVERY = 60
 
 
 @dataclass(frozen=True)
@@ -82,6 +84,7 @@ def batch_features(facts: DataFrame, items: DataFrame) -> dict[str, DataFrame]:
         "affinity": features.genre_affinity(summary, items),
         "popularity": features.regional_popularity(facts, items),
         "consumed": facts.groupBy("event_type").agg(F.count("*").alias("n")),
+        "panes": trending.panes(facts),
     }
 
 
@@ -102,6 +105,8 @@ def merge_feature(name: str, parts: DataFrame) -> DataFrame:
         return parts.groupBy("region", "item_id").agg(F.sum("popularity").cast("decimal(18,6)").alias("popularity"))
     if name == "consumed":
         return parts.groupBy("event_type").agg(F.sum("n").alias("n"))
+    if name == "panes":
+        return trending.merged_panes(parts)
     raise ValueError(f"unknown feature {name}")
 
 
@@ -112,7 +117,10 @@ def _archive_batch(paths: Paths):
     return write
 
 
-def _write_batch(items: DataFrame, paths: Paths):
+def _write_batch(items: DataFrame, paths: Paths, compact_every: int | None = None):
+    """Facts and feature summaries of a batch. Every ``compact_every`` batches they are merged right there, so no reader
+    meets more than about twice as many folders."""
+
     def write(batch: DataFrame, batch_id: int) -> None:
         spark, target = batch.sparkSession, f"{paths.facts}/batch_id={batch_id}"
         (
@@ -123,6 +131,11 @@ def _write_batch(items: DataFrame, paths: Paths):
         with scratch(spark, f"batch-{batch_id}"):
             for name, part in batch_features(facts, items).items():
                 part.write.mode("overwrite").parquet(f"{paths.feature(name)}/batch_id={batch_id}")
+        write_trending(spark, paths.root, batch_id)
+        if compact_every and (batch_id + 1) % compact_every == 0:
+            compact_facts(spark, paths.root)
+            for name in FEATURES:
+                compact(spark, paths.root, name)
 
     return write
 
@@ -134,8 +147,13 @@ def ingest(
     root: str,
     trigger: dict | None = None,
     horizon: str | None = None,
+    compact_every: int | None = COMPACT_EVERY,
 ) -> list[StreamingQuery]:
-    """Start the ingestion of a streaming ``value`` column; results go below ``root``."""
+    """Start the ingestion of a streaming ``value`` column; results go below ``root``.
+
+    Facts and features are compacted every ``compact_every`` batches, by the query that writes them; the archive with
+    ``archive.compact_archive``, by whoever knows that an hour is over.
+    """
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     paths = Paths(root.rstrip("/"))
     trigger = trigger or {"processingTime": "10 seconds"}
@@ -153,7 +171,7 @@ def ingest(
     )
     facts = (
         deduplicated(events.drop("value"), horizon)
-        .writeStream.queryName("facts").foreachBatch(_write_batch(items, paths))
+        .writeStream.queryName("facts").foreachBatch(_write_batch(items, paths, compact_every))
         .option("checkpointLocation", paths.checkpoint("facts")).trigger(**trigger).start()
     )
     return [archive, quarantine, facts]
@@ -167,50 +185,30 @@ def finish(queries: list[StreamingQuery]) -> None:
 
 def batches_after(spark: SparkSession, folder: str, done: int | None) -> list[int]:
     """Ids of the batch folders that come after ``done``."""
-    ids = sorted(int(value) for value in children(spark, folder, "batch_id"))
-    return [i for i in ids if done is None or i > done]
+    return BatchStore(folder).batches(spark, done)
 
 
 def _bases(spark: SparkSession, folder: str) -> list[int]:
-    """Compactions that were written completely, oldest first."""
-    found = sorted(int(value) for value in children(spark, f"{folder}-compacted", "upto"))
-    return [i for i in found if exists(spark, f"{folder}-compacted/upto={i}/_SUCCESS")]
+    return BatchStore(folder).bases(spark)
+
 
+def fact_store(root: str) -> BatchStore:
+    return BatchStore(Paths(root).facts, STORED_FACTS, cumulative=False)
 
-def _parts(
-    spark: SparkSession, folder: str, bases: list[int], batches: list[int], schema: T.StructType | None = None
-) -> DataFrame:
-    """The given compactions and batches, read by path; nothing else is listed."""
-    paths = [f"{folder}-compacted/upto={i}" for i in bases] + [f"{folder}/batch_id={i}" for i in batches]
-    if not paths:
-        raise ValueError(f"nothing was ingested below {folder}")
-    reader = spark.read.schema(schema) if schema else spark.read
-    parts = [reader.parquet(path) for path in paths]
-    return functools.reduce(DataFrame.unionByName, parts)
 
+def feature_store(root: str, name: str) -> BatchStore:
+    return BatchStore(Paths(root).feature(name))
 
-def read_facts(spark: SparkSession, root: str) -> DataFrame:
+
+def read_facts(spark: SparkSession, root: str, before: int | None = None) -> DataFrame:
     """Stored facts with event time as the batch jobs expect it."""
-    folder = Paths(root).facts
-    bases = _bases(spark, folder)
-    facts = _parts(spark, folder, bases, batches_after(spark, folder, bases[-1] if bases else None), STORED_FACTS)
+    facts = fact_store(root).read(spark, before)
     return facts.withColumn("event_ts", F.col("event_ts").cast("timestamp_ntz"))
 
 
 def last_batch(spark: SparkSession, root: str) -> int | None:
     """Id of the newest batch of facts, None before the first."""
-    folder = Paths(root).facts
-    return max([*_bases(spark, folder), *batches_after(spark, folder, None)], default=None)
-
-
-def _retire(spark: SparkSession, folder: str, done: int | None, older_bases: list[int]) -> None:
-    """Remove what the compaction before the newest one covers; readers that started before the newest one can
-    finish."""
-    for i in batches_after(spark, folder, None):
-        if done is not None and i <= done:
-            remove(spark, f"{folder}/batch_id={i}")
-    for i in older_bases:
-        remove(spark, f"{folder}-compacted/upto={i}")
+    return fact_store(root).last(spark)
 
 
 def compact_facts(spark: SparkSession, root: str) -> int | None:
@@ -218,45 +216,36 @@ def compact_facts(spark: SparkSession, root: str) -> int | None:
 
     Returns the last batch that is covered.
     """
-    folder = Paths(root).facts
-    bases = _bases(spark, folder)
-    done = bases[-1] if bases else None
-    fresh = batches_after(spark, folder, done)
-    if not fresh:
-        return done
-    (
-        _parts(spark, folder, [], fresh, STORED_FACTS).hint("rebalance", "event_date")
-        .write.mode("overwrite").partitionBy("event_date").parquet(f"{folder}-compacted/upto={fresh[-1]}")
-    )
-    _retire(spark, folder, done, [])
-    return fresh[-1]
+    return fact_store(root).compact(spark, lambda rows: rows.hint("rebalance", "event_date"), "event_date")
 
 
 def read_feature(spark: SparkSession, root: str, name: str) -> DataFrame:
     """Current state of a feature: newest compaction merged with the batches after it."""
-    folder = Paths(root).feature(name)
-    bases = _bases(spark, folder)[-1:]
-    parts = _parts(spark, folder, bases, batches_after(spark, folder, bases[-1] if bases else None))
-    merged = merge_feature(name, parts)
+    merged = merge_feature(name, feature_store(root, name).read(spark))
     if "last_ts" in merged.columns:
         merged = merged.withColumn("last_ts", F.col("last_ts").cast("timestamp_ntz"))
     return merged
 
 
+def write_trending(spark: SparkSession, root: str, batch_id: int) -> None:
+    """The best titles of every region after a batch, for readers that want them at once; the batch before stays."""
+    sums = trending.window_sums(feature_store(root, "panes").read(spark), fact_store(root).read(spark))
+    store = feature_store(root, "trending")
+    store.write(trending.top_titles(sums), batch_id)
+    for old in store.batches(spark):
+        if old < batch_id - 1:
+            remove(spark, store.path(old))
+
+
+def read_trending(spark: SparkSession, root: str) -> DataFrame:
+    """The best titles of every region in the hours before the newest event."""
+    store = feature_store(root, "trending")
+    return spark.read.parquet(store.path(store.last(spark)))
+
+
 def compact(spark: SparkSession, root: str, name: str) -> int | None:
     """Merge the newest compaction of a feature and the batches after it into a new one.
 
     It is visible when it is complete. What the previous compaction covers is then removed.
     """
-    folder = Paths(root).feature(name)
-    bases = _bases(spark, folder)
-    done = bases[-1] if bases else None
-    fresh = batches_after(spark, folder, done)
-    if not fresh:
-        return done
-    parts = _parts(spark, folder, bases[-1:], fresh)
-    merge_feature(name, parts).select(*parts.columns).write.mode("overwrite").parquet(
-        f"{folder}-compacted/upto={fresh[-1]}"
-    )
-    _retire(spark, folder, done, bases[:-1])
-    return fresh[-1]
+    return feature_store(root, name).compact(spark, lambda rows: merge_feature(name, rows))

@@ -51,6 +51,52 @@ def test_neighbors_equal_brute_force(spark, seed, block):
     assert got == brute_force(texts, 4)
 
 
+def test_vectors_stay_where_bounds_are_below_their_matches(spark):
+    """Texts of separate topics: only blocks that share a topic meet, and the result is that of all pairs."""
+    rng = random.Random(5)
+    texts = {}
+    for topic in range(12):
+        words = [f"t{topic}w{i}" for i in range(6)]
+        for i in range(20):
+            texts[f"d{topic:02d}{i:02d}"] = f"topic{topic} " + " ".join(rng.choices(words, k=5)) + f" own{topic}x{i}"
+    df = spark.createDataFrame(sorted(texts.items()), "item_id string, text string")
+    got = content.content_neighbors(df, top_k=3, stop_words=(), block_vectors=20)
+    assert {tuple(r) for r in got.select("source_item_id", "neighbor_item_id", "score").collect()} == brute_force(texts, 3)
+
+    folded, vectors = content._fold_copies(df, ())
+    cut, n = content._cut_into_blocks(content._vectors_with_weights(folded, vectors), 20)
+    within = cut.groupBy("block").applyInPandas(blocks.matches_within(3), blocks.MATCHES)
+    bounded = content._with_bounds(cut, within, 3)
+    assert n >= 12 and content._shipped(bounded, n).count() < 0.3 * cut.count() * (n - 1)
+
+
+def test_upper_bounds_hold():
+    rng = np.random.default_rng(8)
+    for seed in range(20):
+        n, vocabulary = 30, 25
+        weights = rng.random((n, vocabulary)) * (rng.random((n, vocabulary)) < 0.3)
+        weights[:, 0] += 0.01
+        weights /= np.linalg.norm(weights, axis=1, keepdims=True)
+        order = np.argsort(-weights, axis=1)
+        frame = pd.DataFrame({
+            "v": np.arange(n), "block": 0, "bound": rng.random(n) * 0.8,
+            "terms": [o[weights[i, o] > 0] for i, o in enumerate(order)],
+            "weights": [weights[i, o][weights[i, o] > 0] for i, o in enumerate(order)],
+        })
+        left = frame[:15]
+        index = pd.DataFrame([
+            {"block": 1 + c // 2, "cell": c % 2, "terms": np.flatnonzero(weights[rows].max(0)), "tops": weights[rows].max(0)[weights[rows].max(0) > 0]}
+            for c, rows in enumerate(np.array_split(np.arange(15, n), 4))
+        ])
+        found = blocks.asked_cells(left, index)
+        asked = {(v, b) for v, others in found[found["v"].notna()][["v", "others"]].itertuples(index=False) for b in others}
+        cells = set(found[found["cell"].notna()][["block", "cell"]].itertuples(index=False, name=None))
+        for x in range(15):
+            for c, rows in enumerate(np.array_split(np.arange(15, n), 4)):
+                if (weights[rows] @ weights[x]).max() >= max(frame["bound"][x], 1e-6):
+                    assert (x, 1 + c // 2) in asked and (1 + c // 2, c % 2) in cells, seed
+
+
 def test_corpus_smaller_than_the_list(spark):
     df = spark.createDataFrame([("a", "one word"), ("b", "two words")], "item_id string, text string")
     rows = content.content_neighbors(df, stop_words=()).collect()
