@@ -12,10 +12,11 @@ byte by byte are joined to stretches where they share lines, and stretches of mo
 passage of more words that stands earlier, in one place or in parts, goes whole, within a document as well. Of every line
 that goes, the earliest equal one stays.
 
-Plan: DataFrame functions only. First only digests and positions of chunks and pairs move, combined before the shuffle,
-so one that a third of all documents share is a row per task. The texts of those whose digest repeats are then grouped
-by the text itself, which compares their bytes. Stretches are found by document from positions and word counts alone,
-and removals are joined to the documents by document.
+Plan: DataFrame functions only. First only 64-bit digests and positions of chunks and pairs move, combined before the
+shuffle, so one that a third of all documents share is a row per task. Texts are read again only for digests that repeat:
+the smallest and the largest text of a digest, taken before the shuffle as well, are equal exactly if all its texts are,
+byte by byte; texts that merely share a digest are grouped by themselves. Stretches are found by document from positions
+and word counts alone, and removals are joined to the documents by document.
 """
 
 from __future__ import annotations
@@ -49,17 +50,27 @@ def _rolling(hashes: Column, at: Column, window: int) -> Column:
     )
 
 
+def _lines(docs: DataFrame, key: str) -> DataFrame:
+    return docs.filter("text IS NOT NULL").select(
+        F.col(key).alias("key"), F.xxhash64("text").alias("text_digest"), F.split("text", "\n", -1).alias("lines")
+    )
+
+
+def _text(pair: Column, at: Column, size: Column) -> Column:
+    """What is compared of a part: a chunk whole, of a pair its two lines."""
+    both = F.concat(F.get("lines", at), F.lit("\n"), F.get("lines", at + size - 1))
+    return F.when(pair, both).otherwise(F.array_join(F.slice("lines", at + 1, size), "\n"))
+
+
 def parted(docs: DataFrame, key: str = "doc_id", window: int = WINDOW, expected: int = EXPECTED_LINES) -> DataFrame:
-    """(key, text_digest, pair, at, n_lines, words, last_words, text): what is compared of every text.
+    """(key, text_digest, pair, at, n_lines, words, last_words, digest): what is compared of every text.
 
     Chunks that would go if they repeat, of several lines with some word or of one with more than ``LONG_LINE``: ``words``
     are those of the longest line. Pairs of neighbouring lines with words, blank ones between them left out of the text:
     ``words`` and ``last_words`` are those of both. ``at`` is the index of the first line. Null texts have none.
     """
-    marked = (
-        docs.filter("text IS NOT NULL")
-        .select(F.col(key).alias("key"), F.xxhash64("text").alias("text_digest"), F.split("text", "\n", -1).alias("lines"))
-        .withColumn("facts", F.transform("lines", lambda x: F.struct(_line_hash(x).alias("h"), F.regexp_count(x, F.lit(WORD_PATTERN)).alias("words"))))
+    marked = _lines(docs, key).withColumn(
+        "facts", F.transform("lines", lambda x: F.struct(_line_hash(x).alias("h"), F.regexp_count(x, F.lit(WORD_PATTERN)).alias("words")))
     )
     hashes, own = F.col("facts.h"), lambda i: F.get(F.col("facts.words"), i) > OWN_LINE
     every = F.sequence(F.lit(0), F.size("lines") - 1)
@@ -71,45 +82,59 @@ def parted(docs: DataFrame, key: str = "doc_id", window: int = WINDOW, expected:
         "key", "text_digest", "lines", F.col("facts.words").alias("counts"), starts.alias("starts"), worded.alias("worded")
     )
 
-    def part(pair: bool, at: Column, size: Column, words: Column, last: Column, text: Column) -> Column:
+    def part(pair: bool, at: Column, size: Column, words: Column, last: Column) -> Column:
+        text = _text(F.lit(pair), at, size)
         return F.struct(
             F.lit(pair).alias("pair"), at.alias("at"), size.alias("n_lines"), words.alias("words"), last.alias("last_words"),
-            text.alias("text"),
+            F.xxhash64(F.lit(pair), text).alias("digest"),
         )
 
     def chunk(start: Column, number: Column) -> Column:
         size = F.coalesce(F.get("starts", number + 1), F.size("lines")) - start
-        text = F.array_join(F.slice("lines", start + 1, size), "\n")
-        return part(False, start, size, F.array_max(F.slice("counts", start + 1, size)), F.lit(0), text)
+        return part(False, start, size, F.array_max(F.slice("counts", start + 1, size)), F.lit(0))
 
     def pair(start: Column, number: Column) -> Column:
         end = F.get("worded", number + 1)
-        text = F.concat(F.get("lines", start), F.lit("\n"), F.get("lines", end))
-        return part(True, start, end - start + 1, F.get("counts", start), F.get("counts", end), text)
+        return part(True, start, end - start + 1, F.get("counts", start), F.get("counts", end))
 
     chunks = F.filter(F.transform("starts", chunk), lambda c: ((c["n_lines"] > 1) & (c["words"] > 0)) | (c["words"] > LONG_LINE))
     pairs = F.transform(F.slice("worded", 1, F.greatest(F.size("worded") - 1, F.lit(0))), pair)
     return cut.select("key", "text_digest", F.inline(F.concat(chunks, pairs)))
 
 
+def _texts(suspects: DataFrame, docs: DataFrame, key: str) -> DataFrame:
+    """(digest, place, pair, text) of the suspects; each document is met once, with all of its own."""
+    wanted = suspects.groupBy(F.col("place.key").alias("_key"), F.col("place.text_digest").alias("_digest")).agg(
+        F.collect_set(F.struct("digest", "place", "pair", "n_lines")).alias("wanted")
+    )
+    same = F.col("key").eqNullSafe(F.col("_key")) & (F.col("text_digest") == F.col("_digest"))
+    each = F.transform("wanted", lambda w: F.struct(
+        w["digest"].alias("digest"), w["place"].alias("place"), w["pair"].alias("pair"), _text(w["pair"], w["place"]["at"], w["n_lines"]).alias("text"),
+    ))
+    return _lines(docs, key).join(wanted, same).select(F.inline(each))
+
+
 def repeats(docs: DataFrame, key: str = "doc_id", window: int = WINDOW, expected: int = EXPECTED_LINES) -> DataFrame:
     """(pair, key, text_digest, at, n_lines, words, last_words) of every chunk and pair that repeats one at an earlier place.
 
     A place is (last, key, text_digest, at); places are ordered by key, null last, then by the text's digest and
     the first line.
     """
-    rows = parted(docs, key, window, expected).select(
-        "pair", F.struct(F.col("key").isNull().alias("last"), "key", "text_digest", "at").alias("place"), "n_lines", "words",
-        "last_words", "text",
-    ).withColumn("digest", F.unhex(F.md5("text")))
+    place = F.struct(F.col("key").isNull().alias("last"), "key", "text_digest", "at").alias("place")
+    rows = materialize(parted(docs, key, window, expected).select("digest", "pair", place, "n_lines", "words", "last_words"), "line-parts")
     # Several rows at one place are copies of one document and count once.
-    often = (
-        rows.groupBy("pair", "digest").agg(F.min("place").alias("low"), F.max("place").alias("high"))
-        .filter("low < high").select("pair", "digest")
-    )
-    suspects = materialize(rows.join(often, ["pair", "digest"], "left_semi"), "line-parts")
-    first = suspects.groupBy("pair", "digest", "text").agg(F.min("place").alias("first"))  # equal bytes, not just digests
-    found = suspects.join(first, ["pair", "digest", "text"]).filter("place > first")
+    often = rows.groupBy("digest").agg(F.min("place").alias("first"), F.max("place").alias("last")).filter("first < last")
+    suspects = materialize(rows.join(often.select("digest", "first"), "digest"), "line-suspects")
+    texts = _texts(suspects, docs, key)
+    same_kind, same_text = F.min("pair") == F.max("pair"), F.min("text") == F.max("text")
+    alike = materialize(texts.groupBy("digest").agg((same_kind & same_text).alias("alike")), "line-texts")
+    found = suspects.join(alike.filter("alike"), "digest").filter("place > first")
+    mixed = alike.filter("NOT alike").select("digest")
+    if not mixed.isEmpty():  # different texts of one digest
+        theirs = _texts(suspects.join(mixed, "digest", "left_semi"), docs, key)
+        first = theirs.groupBy("digest", "pair", "text").agg(F.min("place").alias("_first"))
+        again = theirs.join(first, ["digest", "pair", "text"]).filter("place > _first").select("pair", "place").distinct()
+        found = found.drop("alike").unionByName(suspects.join(again, ["pair", "place"], "left_semi"))
     return found.select(
         "pair", F.col("place.key").alias("key"), F.col("place.text_digest").alias("text_digest"), F.col("place.at").alias("at"),
         "n_lines", "words", "last_words",

@@ -77,6 +77,16 @@ def test_a_passage_repeated_within_one_text_leaves_no_fragments(spark):
     assert sum(x in set(passage) for x in left) == 300 and len([x for x in left if x]) == 320
 
 
+def test_texts_that_share_a_digest_are_told_apart(spark, monkeypatch):
+    """With digests of two bits nearly all texts share one; only equal bytes are repeats."""
+    rows = _rows()[:60]
+    docs = spark.createDataFrame([(*r, "a", "b", 1, 2) for r in rows], SCHEMA).repartition(3)
+    hashed = line_chunks.F.xxhash64
+    short = lambda *columns: hashed(*columns) % 4 if len(columns) == 2 else hashed(*columns)
+    monkeypatch.setattr(line_chunks.F, "xxhash64", short)
+    assert {r.doc_id: r.text for r in line_chunks.deduplicated(docs).collect()} == plain.without_repeats(rows)
+
+
 def test_boundaries_resist_shifts():
     rng = random.Random(2)
     lines = [" ".join(rng.choice("abcdefgh") * 3 for _ in range(6)) for _ in range(200)]
