@@ -48,6 +48,7 @@ WIDE_LEAST_SHARED = 18
 WIDE_MOST_BITS = 56
 # Odd numbers that shuffle the positions before they are cut into triples; a text is in 21 lists for each.
 ROUNDS = (1, 37, 11, 23)
+LEADERS = 4
 BLOCK_BYTES = 1 << 20  # a text is shingled in blocks of about this size
 
 _FOLD = bytes.maketrans(UPPER.encode(), LOWER.encode())
@@ -245,7 +246,8 @@ def _index(nodes: DataFrame, *more: str) -> DataFrame:
     triples = F.array(*[F.struct(*[F.lit(x) for x in (n, *triple)]) for n, triple in enumerate(_triples())])
     byte = "(shiftrightunsigned(wide[cast({0} / 8 as int)], 8 * ({0} % 8)) & 255L)"
     key = " | ".join(["bigint(t.col1) << 24", *(f"{byte.format(f't.col{i}')} << {8 * (4 - i)}" for i in (2, 3, 4))])
-    return nodes.select("node", "wide", *more, triples.alias("triples")).select(F.explode(F.expr(f"transform(triples, t -> {key})")).alias("list"), "node", *more)
+    keyed = nodes.select("node", "wide", *more, triples.alias("triples"))
+    return keyed.select(F.explode(F.expr(f"transform(triples, t -> {key})")).alias("list"), "node", *more)
 
 
 def _similar(most: int, least_shared: int) -> Column:
@@ -265,13 +267,14 @@ def _similar(most: int, least_shared: int) -> Column:
 def leader_links(nodes: DataFrame, most: int = WIDE_MOST_BITS, least_shared: int = WIDE_LEAST_SHARED) -> DataFrame:
     """Links (u, v) of similar wide fingerprints with one member of each of their lists, from (node, wide).
 
-    A list joins the fingerprints that agree in three positional bytes. Its members are compared with one of them,
-    another one in every list, so a list costs its length; large groups of near copies, which share many lists, become
-    one component by this alone. The other pairs of a list are left to ``crossing_links``.
+    A list joins the fingerprints that agree in three positional bytes. Its members are compared with one of them, so a
+    list costs its length; large groups of near copies, which share many lists, become one component by this alone. Lists
+    of the same members name one of ``LEADERS`` leaders, so such a group gives that many links a member and not one per
+    list. The other pairs of a list are left to ``crossing_links``.
     """
     entries = _index(nodes)
     leaders = (
-        entries.groupBy("list").agg(F.count("*").alias("n"), F.expr("min_by(node, xxhash64(node, list))").alias("leader"))
+        entries.groupBy("list").agg(F.count("*").alias("n"), F.expr(f"min_by(node, xxhash64(node, shiftright(list, 24) % {LEADERS}))").alias("leader"))
         .filter("n > 1").drop("n")
     )
     pairs = (
