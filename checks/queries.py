@@ -296,8 +296,8 @@ def _(spark, root):
 
 @query("enrich_events", "SELECT event_id, item_id, title, genres FROM inter JOIN items USING (item_id)")
 def _(spark, root):
-    titles = S.items(spark, root).select("item_id", "title", "genres")
-    return S.interactions(spark, root).join(titles, "item_id").select("event_id", "item_id", "title", "genres")
+    titled = features.titled_events(S.interactions(spark, root), S.items(spark, root))
+    return titled.select("event_id", "item_id", "title", "genres")
 
 
 @query("interaction_weight", "SELECT event_id, CAST(weight AS DOUBLE) AS weight FROM weighted")
@@ -681,7 +681,7 @@ def _(spark, root):
     """Requests come from users and from suppliers, who are no users."""
     users = S.users(spark, root).select("user_id")
     outsiders = S.table(spark, root, "supplier").select(F.concat(F.lit("s"), F.col("s_suppkey").cast("string")).alias("user_id"))
-    return users.unionByName(outsiders).join(users, "user_id", "left_anti")
+    return P.unknown_users(users.unionByName(outsiders), users)
 
 
 # --- operational aggregates ---------------------------------------------------------------------

@@ -14,6 +14,11 @@ def known_events(events: DataFrame, items: DataFrame) -> DataFrame:
     return events.join(items.select("item_id"), "item_id", "left_semi")
 
 
+def titled_events(events: DataFrame, items: DataFrame, columns: tuple[str, ...] = ("title", "genres")) -> DataFrame:
+    """Events on titles of the catalog with facts of the title; other events are left out."""
+    return events.join(items.select("item_id", *columns), "item_id")
+
+
 def user_item_summary(events: DataFrame, items: DataFrame) -> DataFrame:
     """One row per (user, known title): last event, whether it counts as watched, summed increment.
 

@@ -76,6 +76,11 @@ def recommend(tables: ServingTables, limit: int = 10, **options) -> DataFrame:
     return R.served(R.best(R.diverse(scored_candidates(tables, **options)), limit))
 
 
+def unknown_users(asked: DataFrame, users: DataFrame) -> DataFrame:
+    """The rows of ``asked`` whose user is not registered; they get no recommendations."""
+    return asked.join(users.select("user_id"), "user_id", "left_anti")
+
+
 def latest_version(versions: DataFrame) -> DataFrame:
     """One row with the newest version, 'untrained' when there is none."""
     return versions.agg(F.coalesce(F.max_by("version", "created_at"), F.lit("untrained")).alias("model_version"))
