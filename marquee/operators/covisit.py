@@ -1,12 +1,16 @@
 """Item-item co-visitation: cosine of the user sets of two titles, best neighbours per title.
 
+No pair of titles is moved between tasks. A title's row carries the whole list of a user who visited it to the task of
+the title, which counts there how often each other title comes with it. Titles are numbered by support, then id; among
+partners that share equally many users with a title the smaller number ranks first, so ``top_k`` per such count are
+enough, and only these leave the task. Titles of very many users are counted in parts, which are added up.
+
 Work per user grows with the square of the number of distinct titles, so users are split by size:
 
-* Users up to ``pair_limit`` titles produce their pairs, which are counted before the shuffle.
-* Larger users never produce pairs. Titles that the same large users touched form one class. What
-  large users add to a pair depends only on the two classes, and among titles of one class that a
-  source shares no small user with, the least visited rank first. The best ``top_k + 1`` titles of a
-  class are therefore enough, and the result is exact.
+* Users up to ``pair_limit`` titles travel as whole lists.
+* Larger users never do. Titles that the same large users touched form one class. What large users add to a pair
+  depends only on the two classes, and among titles of one class that a source shares no small user with, the least
+  visited rank first. The best ``top_k + 1`` titles of a class are therefore enough, and the result is exact.
 """
 
 from __future__ import annotations
@@ -14,10 +18,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from marquee.functions.partners import PARTNERS, first_partners, first_with_overlaps
 from marquee.functions.weights import is_engagement
 from marquee.session import materialize
 
 PAIR_LIMIT = 500
+#: Pairs that a task counts, titles of a large user per list, and users of a title that one task counts.
+TASK_PAIRS = 4_000_000
+MOST_TASKS = 20_000
+LIST_TITLES = 2_000
+HOT_USERS = 20_000
 
 
 def engaged_events(events: DataFrame) -> DataFrame:
@@ -34,30 +44,86 @@ def item_support(pairs: DataFrame) -> DataFrame:
 
 
 def _number_items(visits: DataFrame) -> DataFrame:
-    """Titles with their support and a number that sorts like the title id."""
-    numbered = item_support(visits).orderBy("item_id").withColumn("item", F.monotonically_increasing_id())
-    return materialize(numbered, "covisit-items")
+    """Titles with their support and a number without gaps that sorts like support, then title id."""
+    at = F.monotonically_increasing_id()  # partition and place in it
+    ordered = materialize(item_support(visits).orderBy("users", "item_id").withColumn("at", at), "covisit-order")
+    part = F.shiftright("at", 33).alias("part")
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = ordered.groupBy(part).agg(F.count("*").alias("n"))
+    offsets = parts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    kind = "int" if ordered.count() < 2**31 else "bigint"
+    number = (F.col("offset") + F.col("at").bitwiseAND((1 << 33) - 1)).cast(kind)
+    numbered = ordered.withColumn("part", part).join(F.broadcast(offsets), "part")
+    return materialize(numbered.select("item_id", "users", number.alias("item")), "covisit-items")
+
+
+def _tasks(pairs) -> int:
+    return min(max(1, -(-int(pairs or 0) // TASK_PAIRS)), MOST_TASKS)
+
+
+def _cold(rows: DataFrame, numbers: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """The rows of titles that one task can count, and the others with a ``part`` of their users, if there are any: titles
+    of more than ``HOT_USERS`` users have the largest numbers."""
+    hot_from, most = numbers.filter(F.col("users") > HOT_USERS).agg(F.min("item"), F.max("users")).first()
+    if hot_from is None:
+        return rows, None
+    part = F.pmod(F.xxhash64("user_id"), F.lit(-(-most // HOT_USERS))).cast("int")
+    return rows.filter(F.col("a") < hot_from), rows.filter(F.col("a") >= hot_from).withColumn("part", part)
+
+
+def _counted(placed: DataFrame, *keys: str, beside: tuple[str, ...] = ()) -> DataFrame:
+    """(a, b, shared): how often b is in a list that came to a. Rows that are placed by a stay where they are."""
+    arrays = [F.get(name, F.col("nth")).alias(name) for name in beside]
+    each = placed.select("a", *keys, *beside, F.posexplode("list").alias("nth", "b")).select("a", *keys, "b", *arrays)
+    first = [F.first(name).alias(name) for name in beside]
+    return each.groupBy("a", *keys, "b").agg(F.count("*").alias("shared"), *first)
+
+
+def _hot_counted(hot: DataFrame, tasks: int, beside: tuple[str, ...] = ()) -> DataFrame:
+    """As ``_counted``, for each part of the users first."""
+    parts = _counted(hot.select("a", "part", "list", *beside).repartition(tasks, "a", "part"), "part", beside=beside)
+    return parts.groupBy("a", "b").agg(
+        F.sum("shared").alias("shared"), *[F.first(name).alias(name) for name in beside]
+    )
 
 
-def _mirror(pairs: DataFrame, names: tuple[str, ...]) -> DataFrame:
-    """Both directions of each unordered pair (a, b) with its per-side columns, in one pass."""
-    forward = F.struct("a", "b", "shared", *[c for n in names for c in (f"{n}_a", f"{n}_b")])
-    backward = F.struct(
-        F.col("b").alias("a"), F.col("a").alias("b"), "shared",
-        *[c for n in names for c in (F.col(f"{n}_b").alias(f"{n}_a"), F.col(f"{n}_a").alias(f"{n}_b"))],
-    )
-    return pairs.select(F.inline(F.array(forward, backward)))
+def _binned(rows: DataFrame, tasks: int):
+    """Rows in one group of titles a task."""
+    return rows.withColumn("bin", F.pmod(F.xxhash64("a"), F.lit(tasks)).cast("int")).repartition(tasks, "bin").groupBy("bin")
 
 
-def _small_user_pairs(visits: DataFrame, names: tuple[str, ...]) -> DataFrame:
-    left = visits.select("user_id", F.col("item").alias("a"), *[F.col(n).alias(f"{n}_a") for n in names])
-    right = visits.select("user_id", F.col("item").alias("b"), *[F.col(n).alias(f"{n}_b") for n in names])
-    sides = [f"{n}_{side}" for n in names for side in "ab"]
-    return (
-        left.join(right, "user_id").filter("a < b")
-        .groupBy("a", "b")
-        .agg(F.count("*").alias("shared"), *[F.first(c).alias(c) for c in sides])
-    )
+def _first_partners(counts: DataFrame, limit: int) -> DataFrame:
+    """The ``limit`` smallest partners of a title among those with the same count, which rank before the others."""
+    window = Window.partitionBy("a", "shared").orderBy("b")
+    return counts.withColumn("n", F.row_number().over(window)).filter(F.col("n") <= limit).select("a", "b", "shared")
+
+
+def _lists(visits: DataFrame, *names: str) -> DataFrame:
+    """(user_id, list, ...) of the items of each user and of columns beside them, in the same order."""
+    gathered = visits.groupBy("user_id").agg(F.collect_list(F.struct("item", *names)).alias("all"))
+    arrays = [F.col("all.item").alias("list"), *[F.col(f"all.{name}").alias(name) for name in names]]
+    return materialize(gathered.filter(F.col("user_id").isNotNull()).select("user_id", *arrays), "covisit-lists")
+
+
+def _by_small_users(visits: DataFrame, numbers: DataFrame, top_k: int, by_large: DataFrame | None = None) -> DataFrame:
+    """(a, b, shared): the first partners of a among the titles that small users share with it. What large users add comes
+    as (a, class, overlap); visits then name the class of their title."""
+    beside = () if by_large is None else ("class",)
+    lists = _lists(visits, *beside)
+    tasks = _tasks(lists.agg(F.sum(F.size("list").cast("long") * F.size("list"))).first()[0])
+    cold, hot = _cold(lists.select("user_id", F.explode("list").alias("a"), "list", *beside), numbers)
+    cold = _binned(cold.select("a", "list", *beside), tasks)
+    if by_large is None:
+        found = cold.applyInArrow(first_partners(top_k), PARTNERS)
+    else:
+        found = cold.cogroup(_binned(by_large, tasks)).applyInArrow(first_with_overlaps(top_k), PARTNERS)
+    if hot is None:
+        return found
+    counts = _hot_counted(hot, tasks, beside).filter("a <> b")
+    if by_large is not None:
+        whole = F.col("shared") + F.coalesce("overlap", F.lit(0))
+        counts = counts.join(by_large, ["a", "class"], "left").select("a", "b", whole.alias("shared"))
+    return found.unionByName(_first_partners(counts, top_k))
 
 
 def _classes(visits: DataFrame) -> DataFrame:
@@ -66,68 +132,49 @@ def _classes(visits: DataFrame) -> DataFrame:
     A class is told by the number of users and two 64-bit combinations of their hashes, so no list
     of users is gathered anywhere.
     """
-    marks = visits.groupBy("item", "users").agg(
+    marks = visits.groupBy("item").agg(
         F.count("*").alias("size"),
         F.bit_xor(F.xxhash64("user_id")).alias("mark_1"),
         F.bit_xor(F.xxhash64(F.lit("other"), "user_id")).alias("mark_2"),
     )
     key = ["size", "mark_1", "mark_2"]
     names = marks.groupBy(*key).agg(F.min("item").alias("class"))
-    return marks.join(names, key).select("item", "users", "class")
-
-
-def _overlaps(members: DataFrame, per_split: int) -> DataFrame:
-    """How many large users two classes share. A user's classes are split into parts of about ``per_split``, which
-    meet all of them in different tasks, so a task grows with the user's size and not with its square."""
-    parts = members.groupBy("user_id").agg(F.ceil(F.count("*") / F.lit(per_split)).cast("int").alias("parts"))
-    split = members.join(parts, "user_id")
-    left = split.select(
-        "user_id", F.col("class").alias("class_a"), F.pmod(F.xxhash64("class"), "parts").cast("int").alias("split")
+    return marks.join(names, key).select("item", "class")
+
+
+def _overlaps(members: DataFrame, numbers: DataFrame) -> DataFrame:
+    """(class_a, class_b, overlap): how many large users two classes share. A user's classes are cut into lists of about
+    ``LIST_TITLES``, each of which meets all of them in a task of its own, so a task grows with the user's size and not
+    with its square."""
+    sizes = members.groupBy("user_id").agg(F.count("*").alias("size"))
+    sizes = sizes.withColumn("parts", F.ceil(F.col("size") / F.lit(LIST_TITLES)).cast("int"))
+    sizes = materialize(sizes, "covisit-large-sizes")
+    split = members.join(sizes, "user_id")
+    lists = split.groupBy("user_id", F.pmod(F.xxhash64("class"), "parts").cast("int").alias("part")).agg(
+        F.collect_list("class").alias("list")
     )
-    right = split.select(
-        "user_id", F.col("class").alias("class_b"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("split")
+    sources = split.select(
+        "user_id", F.col("class").alias("a"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
     )
-    return left.join(right, ["user_id", "split"]).groupBy("class_a", "class_b").agg(F.count("*").alias("overlap"))
-
-
-def _large_user_edges(visits: DataFrame, classes: DataFrame, overlaps: DataFrame, top_k: int) -> DataFrame:
-    in_class = Window.partitionBy("class").orderBy("users", "item")
+    rows = sources.join(lists, ["user_id", "part"]).select("user_id", "a", "list")
+    tasks = _tasks(sizes.agg(F.sum(F.col("size") * F.col("size"))).first()[0])
+    cold, hot = _cold(rows, numbers)
+    counts = _counted(cold.select("a", "list").repartition(tasks, "a"))
+    if hot is not None:
+        counts = counts.unionByName(_hot_counted(hot, tasks))
+    return counts.toDF("class_a", "class_b", "overlap")
+
+
+def _large_user_edges(large: DataFrame, classes: DataFrame, top_k: int) -> DataFrame:
+    """(a, b, shared) by large users alone: the best members of the best classes, from (a, class, overlap)."""
+    in_class = Window.partitionBy("class").orderBy("item")
     best = (
         classes.withColumn("n", F.row_number().over(in_class)).filter(F.col("n") <= top_k + 1)
-        .select(F.col("class").alias("class_b"), F.col("item").alias("b"), F.col("users").alias("users_b"))
-    )
-    rank = F.col("overlap") * F.col("overlap") / F.col("users_b")
-    per_class = Window.partitionBy("class_a").orderBy(rank.desc(), "b")
-    lists = (
-        overlaps.join(best, "class_b")
-        .withColumn("n", F.row_number().over(per_class)).filter(F.col("n") <= top_k + 1)
-        .select("class_a", "class_b", "b", "users_b")
-    )
-    sources = classes.select(
-        F.col("item").alias("a"), F.col("users").alias("users_a"), F.col("class").alias("class_a")
+        .select("class", F.col("item").alias("b"))
     )
-    return sources.join(lists, "class_a").filter("a <> b").withColumn("shared", F.lit(0).cast("long"))
-
-
-def _rank():
-    return F.col("shared") * F.col("shared") / F.col("users_b")
-
-
-def _above_floor(edges: DataFrame, top_k: int) -> DataFrame:
-    """Drop edges that cannot be among the ``top_k`` of their title, before anything is sorted.
-
-    The floor of a title is the largest power of two that at least ``top_k`` of its edges reach. It is
-    found by counting and has one (number, floor) row per title. Spark sends the floors to every task if they
-    are small; else edges are placed by title, where the ranking needs them anyway.
-    """
-    steps = [2.0**-i for i in range(-4, 28)]
-    reached = [F.sum((_rank() >= step).cast("int")).alias(f"reach_{i}") for i, step in enumerate(steps)]
-    floor = F.lit(0.0)
-    for i in reversed(range(len(steps))):
-        floor = F.when(F.col(f"reach_{i}") >= top_k, F.lit(steps[i])).otherwise(floor)
-    floors = edges.groupBy("a").agg(*reached).select("a", floor.alias("floor"))
-    floors = materialize(floors, "covisit-floors")
-    return edges.join(floors, "a").filter(_rank() >= F.col("floor")).drop("floor")
+    # A class is named by its member that ranks first.
+    first = _first_partners(large.select("a", F.col("class").alias("b"), F.col("overlap").alias("shared")), top_k + 1)
+    return first.withColumnRenamed("b", "class").join(best, "class").filter("a <> b").select("a", "b", "shared")
 
 
 def covisit_edges(visits: DataFrame, top_k: int = 8, pair_limit: int = PAIR_LIMIT) -> DataFrame:
@@ -139,40 +186,41 @@ def covisit_edges(visits: DataFrame, top_k: int = 8, pair_limit: int = PAIR_LIMI
     visits = materialize(visits, "covisit-visits")
     numbers = _number_items(visits)
     large = visits.groupBy("user_id").count().filter(F.col("count") > pair_limit).select("user_id")
-    numbered = visits.join(numbers, "item_id").select("user_id", "item", "users")
+    numbered = visits.join(numbers, "item_id").select("user_id", "item")
 
     if large.isEmpty():
-        pairs = materialize(_small_user_pairs(numbered, ("users",)), "covisit-pairs")
-        edges = _mirror(pairs, ("users",))
+        found = _by_small_users(numbered, numbers, top_k)
     else:
         large = materialize(large, "covisit-large-users")
         large_visits = materialize(numbered.join(large, "user_id", "left_semi"), "covisit-large-visits")
         classes = materialize(_classes(large_visits), "covisit-classes")
         members = large_visits.join(classes.filter("item = class").select("item", "class"), "item")
-        overlaps = materialize(_overlaps(members, pair_limit), "covisit-overlaps")
+        overlaps = materialize(_overlaps(members.select("user_id", "class"), numbers), "covisit-overlaps")
+        of_title = classes.select(F.col("item").alias("a"), F.col("class").alias("class_a")).join(overlaps, "class_a")
+        by_large = of_title.select("a", F.col("class_b").alias("class"), "overlap")
         small = numbered.join(large, "user_id", "left_anti").join(classes.select("item", "class"), "item", "left")
-        names = ("users", "class")
-        both = _mirror(_small_user_pairs(small, names), names).unionByName(
-            _large_user_edges(large_visits, classes, overlaps, top_k)
-        )
-        sides = ("users_a", "users_b", "class_a", "class_b")
-        merged = both.groupBy("a", "b").agg(F.sum("shared").alias("shared"), *[F.first(c).alias(c) for c in sides])
-        shared = (F.col("shared") + F.coalesce("overlap", F.lit(0))).alias("shared")
-        edges = merged.join(overlaps, ["class_a", "class_b"], "left").select("a", "b", shared, "users_a", "users_b")
-        edges = materialize(edges, "covisit-edges")
-
-    edges = _above_floor(edges.select("a", "b", "shared", "users_a", "users_b"), top_k)
-    window = Window.partitionBy("a").orderBy(_rank().desc(), "b")
-    best = edges.withColumn("n", F.row_number().over(window)).filter(F.col("n") <= top_k)
-    sources = numbers.select(F.col("item").alias("a"), F.col("item_id").alias("source_item_id"))
-    targets = numbers.select(F.col("item").alias("b"), F.col("item_id").alias("neighbor_item_id"))
-    return best.join(sources, "a").join(targets, "b").select(
+        by_small = _by_small_users(small, numbers, top_k, by_large)
+        # A pair that small users share as well has its whole count in the first part.
+        both = by_small.unionByName(_large_user_edges(by_large, classes, top_k))
+        found = both.groupBy("a", "b").agg(F.max("shared").alias("shared"))
+
+    found = materialize(found, "covisit-found")
+    sources = numbers.select(
+        F.col("item").alias("a"), F.col("item_id").alias("source_item_id"), F.col("users").alias("source_users")
+    )
+    targets = numbers.select(
+        F.col("item").alias("b"), F.col("item_id").alias("neighbor_item_id"), F.col("users").alias("neighbor_users")
+    )
+    rank = F.col("shared") * F.col("shared") / F.col("neighbor_users")
+    window = Window.partitionBy("a").orderBy(rank.desc(), "neighbor_item_id")
+    best = found.join(targets, "b").withColumn("n", F.row_number().over(window)).filter(F.col("n") <= top_k)
+    return best.join(sources, "a").select(
         "source_item_id",
         "neighbor_item_id",
         F.col("shared").alias("shared_users"),
-        F.col("users_a").alias("source_users"),
-        F.col("users_b").alias("neighbor_users"),
-        F.round(F.col("shared") / F.sqrt(F.col("users_a") * F.col("users_b")), 6).alias("score"),
+        "source_users",
+        "neighbor_users",
+        F.round(F.col("shared") / F.sqrt(F.col("source_users") * F.col("neighbor_users")), 6).alias("score"),
     )
 
 

@@ -53,3 +53,32 @@ def test_impressions_and_unknown_types_do_not_count(spark):
     rows = [("u", "a", "impression"), ("u", "b", "click"), ("u", "c", "shared"), ("u", "d", "complete")]
     events = spark.createDataFrame(rows, "user_id string, item_id string, event_type string")
     assert {row["item_id"] for row in covisit.user_items(events).collect()} == {"b", "d"}
+
+
+def test_titles_of_many_users_are_counted_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(covisit, "HOT_USERS", 4)
+    monkeypatch.setattr(covisit, "LIST_TITLES", 6)
+    monkeypatch.setattr(covisit, "TASK_PAIRS", 300)
+    visits = visits_with_large_users(7, 4)
+    df = spark.createDataFrame(sorted(set(visits)), "user_id string, item_id string")
+    for limit in (500, 10):
+        edges = covisit.covisit_edges(df, top_k=5, pair_limit=limit)
+        assert {tuple(row) for row in edges.collect()} == brute_force(visits, 5)
+
+
+def test_no_pair_is_moved_or_stored(spark, tmp_path, monkeypatch):
+    """Every user shares a title with every other and has 39 of its own: what is written grows with the lists."""
+    visits = [("u%d" % u, "all") for u in range(60)] + [("u%d" % u, "m%d-%d" % (u, i)) for u in range(60) for i in range(39)]
+    df = spark.createDataFrame(visits, "user_id string, item_id string")
+    rows = {}
+    stored = covisit.materialize
+
+    def counted(table, name):
+        table = stored(table, name)
+        rows[name] = table.count()
+        return table
+
+    monkeypatch.setattr(covisit, "materialize", counted)
+    assert {tuple(row) for row in covisit.covisit_edges(df, top_k=2).collect()} == brute_force(visits, 2)
+    pairs = sum(n * (n - 1) for n in [40] * 60)
+    assert sum(rows.values()) < pairs / 4
