@@ -353,7 +353,7 @@ def _(spark, root):
 @query("tf_df", "SELECT item_id, term, tf, df FROM it_raw")
 def _(spark, root):
     counts = content.term_counts(content.item_corpus(S.items(spark, root)))
-    return counts.join(content.document_frequency(counts), "term").select("item_id", "term", "tf", "df")
+    return content.with_frequency(counts).select("item_id", "term", "tf", "df")
 
 
 @query("tfidf_weights", "SELECT item_id, term, round(weight, 6) AS weight FROM it_w")

@@ -211,3 +211,10 @@ def asked_cells(vectors: pd.DataFrame, index: pd.DataFrame) -> pd.DataFrame:
         return empty
     found = pd.DataFrame(out, columns=["block", "v", "cell", "others"])
     return found.astype({"v": "Int64", "cell": "Int32"})
+
+
+def asked_by_blocks(vectors: pd.DataFrame, index: pd.DataFrame) -> pd.DataFrame:
+    """``asked_cells`` of each block among the vectors, in the cells of all other blocks."""
+    return pd.concat([asked_cells(own, index[index["block"] != block]) for block, own in vectors.groupby("block")] or [
+        asked_cells(vectors, index)
+    ])

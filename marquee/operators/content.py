@@ -27,7 +27,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marquee.functions.blocks import ASKS, MATCHES, asked_cells, matches_across, matches_within
+from marquee.functions.blocks import ASKS, MATCHES, asked_by_blocks, matches_across, matches_within
 from marquee.functions.text import corpus_text, tokens
 from marquee.session import materialize
 
@@ -35,10 +35,11 @@ from marquee.session import materialize
 BLOCK_VECTORS = 2048
 BLOCK_POSTINGS = 2_000_000
 MOST_TASKS = 20_000
-#: Vectors per cell of the bound index, and blocks whose cells a task bounds at once.
+#: Vectors per cell of the bound index, blocks that ask it in a task, and postings of the blocks asked there.
 CELL_VECTORS = 64
 HEAVY_TERMS = 8
-CHUNK_BLOCKS = 16
+ASKING_BLOCKS = 8
+CHUNK_POSTINGS = 4_000_000
 
 
 def active_items(items: DataFrame) -> DataFrame:
@@ -62,6 +63,11 @@ def document_frequency(counts: DataFrame) -> DataFrame:
     return counts.groupBy("term").agg(F.count("*").alias("df"))
 
 
+def with_frequency(counts: DataFrame) -> DataFrame:
+    """``counts`` with the ``df`` of their terms. Vocabularies grow with the corpus, so none is sent through the driver."""
+    return counts.join(document_frequency(counts).hint("merge"), "term")
+
+
 def idf(df: Column, n_docs: Column) -> Column:
     return F.ln((1.0 + n_docs) / (1.0 + df)) + 1.0
 
@@ -73,7 +79,7 @@ def tfidf(corpus: DataFrame, stop_words: tuple[str, ...] | None = None) -> DataF
     raw = F.col("tf") * idf(F.col("df"), n_docs)
     per_item = Window.partitionBy("item_id")
     return (
-        counts.join(document_frequency(counts), "term")
+        with_frequency(counts)
         .withColumn("raw", raw)
         .withColumn("weight", F.col("raw") / F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(per_item)))
         .select("item_id", "term", "tf", "df", "weight")
@@ -99,8 +105,8 @@ def _fold_copies(corpus: DataFrame, stop_words: tuple[str, ...] | None) -> tuple
 
 
 def _vectors_with_weights(texts: DataFrame, vectors: DataFrame) -> DataFrame:
-    """(v, terms, weights, heads) of each distinct vector of length one, heaviest first. ``heads`` are the two most common
-    of its ``HEAVY_TERMS`` heaviest terms, by which it is placed.
+    """(v, copies, terms, weights, heads) of each distinct vector of length one, heaviest first. ``heads`` are its
+    ``HEAVY_TERMS`` heaviest terms, the most common first, without those that most vectors hold; by them it is placed.
 
     A term of one vector alone adds to its length and to no product, so it is not among the terms; vectors that share no
     term have no matches and are left out.
@@ -114,17 +120,18 @@ def _vectors_with_weights(texts: DataFrame, vectors: DataFrame) -> DataFrame:
         frequency.withColumn("t", F.monotonically_increasing_id()).withColumn("idf", idf(F.col("df"), n_docs)),
         "content-vocabulary",
     )
-    common = F.transform(F.slice("heaviest", 1, HEAVY_TERMS), lambda one: F.struct(one["vectors"].alias("n"), one["t"].alias("t")))
-    heads = F.transform(F.slice(F.sort_array(common, asc=False), 1, 2), lambda one: one["t"])
-    raw = counts.join(numbered, "term").select("v", "t", "vectors", (F.col("tf") * F.col("idf")).alias("raw"))
+    split = F.filter(F.slice("heaviest", 1, HEAVY_TERMS), lambda one: one["vectors"] * 2 <= F.lit(vectors.count()))
+    common = F.transform(split, lambda one: F.struct(one["vectors"].alias("n"), one["t"].alias("t")))
+    heads = F.transform(F.sort_array(common, asc=False), lambda one: one["t"])
+    raw = counts.join(numbered, "term").select("v", "copies", "t", "vectors", (F.col("tf") * F.col("idf")).alias("raw"))
     return (
-        raw.groupBy("v").agg(
+        raw.groupBy("v", "copies").agg(
             F.sort_array(F.collect_list(F.when(F.col("vectors") > 1, F.struct("raw", "t", "vectors"))), asc=False).alias("heaviest"),
             F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("norm"),
         )
         .filter(F.size("heaviest") > 0)
         .select(
-            "v",
+            "v", "copies",
             F.transform("heaviest", lambda one: one["t"]).alias("terms"),
             F.transform("heaviest", lambda one: one["raw"] / F.col("norm")).alias("weights"),
             heads.alias("heads"),
@@ -141,7 +148,9 @@ def _cut_into_blocks(
     running sum of shares passes a whole number, so none holds more than its bounds and one vector. The sum is
     added up within ranges of the order first, then over the ranges.
     """
-    order = [F.get("heads", F.lit(0)), F.get("heads", F.lit(1)), F.col("v")]
+    if "heads" not in vectors.columns:
+        vectors = vectors.withColumn("heads", F.slice("terms", 1, HEAVY_TERMS))
+    order = [F.col("heads"), F.col("v")]
     share = F.greatest(F.lit(1.0 / block_vectors), F.size("terms") / F.lit(float(block_postings)))
     vectors = materialize(vectors.withColumn("share", share), "content-weights")
     total = vectors.agg(F.coalesce(F.sum("share"), F.lit(0.0))).first()[0]
@@ -180,16 +189,24 @@ def _cell_index(vectors: DataFrame) -> DataFrame:
 def _asks(bounded: DataFrame, index: DataFrame, blocks: int) -> DataFrame:
     """What each block asks of the cells of every other block: (block, v, cell, others), see ``blocks.asked_cells``.
 
-    A block meets the index of ``CHUNK_BLOCKS`` blocks in a task, so what travels here is a vector per chunk and a
-    cell's maxima per block, not a vector per block.
+    ``ASKING_BLOCKS`` blocks meet in a task the index of as many blocks as hold ``CHUNK_POSTINGS`` postings, so a vector
+    travels once per such chunk and a cell's maxima once per group of blocks.
     """
-    last = (blocks - 1) // CHUNK_BLOCKS
-    left = bounded.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(last))))
+    postings = bounded.agg(F.sum(F.size("terms"))).first()[0]
+    wide = max(1, int(CHUNK_POSTINGS * blocks // max(postings, 1)))
+    group = lambda width: F.floor(F.col("block") / width).cast("int")
+    count = lambda width: F.lit((blocks - 1) // width)
+    left = bounded.select(
+        group(ASKING_BLOCKS).alias("asker"), F.explode(F.sequence(F.lit(0), count(wide))).alias("chunk"),
+        "block", "v", "terms", "weights", "bound",
+    )
     right = index.select(
-        F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("asker"),
-        F.floor(F.col("block") / CHUNK_BLOCKS).cast("int").alias("chunk"), "block", "cell", "terms", "tops",
-    ).filter("asker <> block")
-    return left.groupBy("block", "chunk").cogroup(right.groupBy("asker", "chunk")).applyInPandas(asked_cells, ASKS)
+        F.explode(F.sequence(F.lit(0), count(ASKING_BLOCKS))).alias("asker"), group(wide).alias("chunk"),
+        "block", "cell", "terms", "tops",
+    )
+    tasks = min(((blocks - 1) // ASKING_BLOCKS + 1) * ((blocks - 1) // wide + 1), MOST_TASKS)
+    left, right = (side.repartition(tasks, "asker", "chunk").groupBy("asker", "chunk") for side in (left, right))
+    return left.cogroup(right).applyInPandas(asked_by_blocks, ASKS)
 
 
 def _shipped(bounded: DataFrame, blocks: int) -> DataFrame:
@@ -206,16 +223,24 @@ def _shipped(bounded: DataFrame, blocks: int) -> DataFrame:
 
 
 def _with_bounds(vectors: DataFrame, within: DataFrame, top_k: int) -> DataFrame:
-    """Vectors with the score of their ``top_k``-th match so far, 0 while they have fewer."""
-    bounds = within.groupBy("x").agg(F.count("*").alias("n"), F.min("score").alias("bound"))
-    known = bounds.filter(F.col("n") >= top_k).select(F.col("x").alias("v"), "bound")
+    """Vectors with the score of the ``top_k``-th text found so far, 0 while there are fewer. Copies of a vector are texts
+    of score 1 for each other, and a match gives as many texts as it has copies."""
+    copies = vectors.select(F.col("v").alias("y"), "copies")
+    own = vectors.select(F.col("v").alias("x"), F.lit(1.0).alias("score"), (F.col("copies") - 1).alias("copies"))
+    texts = within.join(copies, "y").select("x", "score", "copies").unionByName(own)
+    so_far = Window.partitionBy("x").orderBy(F.col("score").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    known = (
+        texts.withColumn("n", F.sum("copies").over(so_far)).filter(F.col("n") >= top_k)
+        .groupBy(F.col("x").alias("v")).agg(F.max("score").alias("bound"))
+    )
     return vectors.join(known, "v", "left").withColumn("bound", F.coalesce("bound", F.lit(0.0)))
 
 
 def _similar_vectors(vectors: DataFrame, top_k: int, block_vectors: int) -> DataFrame:
     """(x, y, score): at least the ``top_k`` best y of every x with positive score."""
     vectors, blocks = _cut_into_blocks(vectors, block_vectors)
-    within = vectors.groupBy("block").applyInPandas(matches_within(top_k), MATCHES)
+    placed = vectors.repartition(min(blocks, MOST_TASKS), "block")
+    within = placed.groupBy("block").applyInPandas(matches_within(top_k), MATCHES)
     if blocks == 1:
         return within
     within = materialize(within, "content-within")
@@ -274,11 +299,11 @@ def similar_texts(
         .select("digest", "found")
     )
     others = F.filter("found", lambda one: one["neighbor"] != F.col("item_id"))
-    return texts.join(lists, "digest", "left").select(
-        "item_id",
-        F.transform(F.slice(others, 1, top_k), lambda one: F.struct(one["neighbor"].alias("neighbor"), one["score"].alias("score")))
-        .alias("matches"),
+    matches = F.transform(
+        F.slice(others, 1, top_k), lambda one: F.struct(one["neighbor"].alias("neighbor"), one["score"].alias("score"))
     )
+    # The generator keeps the lists a step of their own, so they are cut once and not once per use.
+    return texts.join(lists, "digest", "left").select("item_id", F.inline(F.array(F.struct(matches.alias("matches")))))
 
 
 def _edges(matches: DataFrame) -> DataFrame:
@@ -304,7 +329,8 @@ def content_neighbors(corpus: DataFrame, top_k: int = 8, **options) -> DataFrame
     filler = F.transform(unused, lambda one: F.struct(one.alias("neighbor"), F.lit(0.0).alias("score")))
     filled = (
         similar_texts(corpus, top_k, **options)
-        .select("item_id", matches.alias("matches"), spare.alias("spare"))
-        .select("item_id", F.slice(F.concat("matches", filler), 1, top_k).alias("matches"))
+        .select("item_id", F.inline(F.array(F.struct(matches.alias("matches"), spare.alias("spare")))))
+        .select("item_id", F.when(F.size("matches") < top_k, F.slice(F.concat("matches", filler), 1, top_k))
+                .otherwise(F.col("matches")).alias("matches"))
     )
     return _edges(filled).withColumn("algorithm", F.lit("content"))

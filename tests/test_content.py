@@ -155,3 +155,36 @@ def test_the_corpus_is_read_once(spark, tmp_path):
 
     content.similar_texts(df.mapInArrow(counted, df.schema), stop_words=()).collect()
     assert reads.value == 30
+
+
+def test_copies_raise_the_bound(spark):
+    """Texts with as many copies as the list is long have nothing to look for below a score of 1."""
+    texts = {f"d{i}{c}": f"alpha beta{i} gamma{i % 2}" for i in range(6) for c in range(4 if i < 3 else 1)}
+    df = spark.createDataFrame(sorted(texts.items()), "item_id string, text string")
+    folded, vectors = content._fold_copies(df, ())
+    cut, _ = content._cut_into_blocks(content._vectors_with_weights(folded, vectors), 3)
+    nothing = spark.createDataFrame([], blocks.MATCHES)
+    bounds = [row["bound"] for row in content._with_bounds(cut, nothing, 3).collect()]
+    assert bounds.count(1.0) == 3 and len(bounds) == 6
+    rows = content.content_neighbors(df, top_k=3, stop_words=(), block_vectors=3).collect()
+    assert {(r["source_item_id"], r["neighbor_item_id"], r["score"]) for r in rows} == brute_force(texts, 3)
+
+
+def test_terms_of_every_text_do_not_place_it(spark):
+    """A catalog: the words that all titles hold say nothing about where a vector belongs."""
+    rows = [(f"d{k}{g}{b}", f"size brand {k} {k} {g} {g} {b}") for k in ("hot", "old", "red") for g in ("ring", "bolt", "rod")
+            for b in (f"b{i}" for i in range(10, 17))]
+    df = spark.createDataFrame(rows, "item_id string, text string")
+    folded, vectors = content._fold_copies(df, ())
+    weights = content._vectors_with_weights(folded, vectors)
+    term = {r["t"]: r["vectors"] for r in weights.select(F.explode("terms").alias("t")).groupBy("t").agg(F.count("*").alias("vectors")).collect()}
+    heads = [r["heads"] for r in weights.collect()]
+    assert all(len(h) == 3 and [term[t] for t in h] == [21, 21, 9] for h in heads)
+
+
+def test_the_vocabulary_is_not_broadcast(spark):
+    df = spark.createDataFrame([(f"d{i}", f"word{i} every") for i in range(30)], "item_id string, text string")
+    joined = content.with_frequency(content.term_counts(df, ()))
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and "SortMergeJoin" in plan
+    assert {(r["term"], r["df"]) for r in joined.collect()} == {("every", 30), *((f"word{i}", 1) for i in range(30))}
