@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from marquee.functions import blocks
 from marquee.operators import content
+from marquee.session import shuffle_files_removed
 
 
 def brute_force(texts, top_k):
@@ -188,3 +189,50 @@ def test_the_vocabulary_is_not_broadcast(spark):
     plan = joined._jdf.queryExecution().executedPlan().toString()
     assert "Broadcast" not in plan and "SortMergeJoin" in plan
     assert {(r["term"], r["df"]) for r in joined.collect()} == {("every", 30), *((f"word{i}", 1) for i in range(30))}
+
+
+@pytest.mark.parametrize("seed", [2, 3])
+def test_squares_and_rounds_equal_brute_force(spark, monkeypatch, seed):
+    """Squares of several blocks, and rounds that each move a part of the vectors."""
+    for name, value in {"SQUARE_POSTINGS": 60, "LEAST_SIDES": 2, "ROUND_SHARE": 1, "ROUND_POSTINGS": 1, "CHUNK_POSTINGS": 60, "ASKING_BLOCKS": 2}.items():
+        monkeypatch.setattr(content, name, value)
+    texts = corpus(seed)
+    df = spark.createDataFrame(sorted(texts.items()), "item_id string, text string")
+    rows = content.content_neighbors(df, top_k=4, stop_words=(), block_vectors=6).collect()
+    assert {(r["source_item_id"], r["neighbor_item_id"], r["score"]) for r in rows} == brute_force(texts, 4)
+
+
+def test_a_vector_travels_once_per_square(spark):
+    met = spark.createDataFrame([(7, list(range(7)) + list(range(8, 40)))], "block int, partners array<int>")
+    squares = content._with_squares(met, 10).first()["squares"]
+    assert [(s["low"], s["high"]) for s in squares] == [(0, 0), (0, 1), (0, 2), (0, 3)]
+    assert [len(s["blocks"]) for s in squares] == [9, 10, 10, 10]
+
+
+def test_at_most_k_matches_leave_a_square():
+    """However many blocks meet there; the best of all of them."""
+    rng = np.random.default_rng(4)
+    weights = rng.random((60, 8))
+    weights /= np.linalg.norm(weights, axis=1, keepdims=True)
+    square = pd.DataFrame({
+        "block": np.arange(60) // 10, "v": np.arange(60), "terms": [np.arange(8)] * 60, "weights": list(weights),
+        "bound": 0.0, "low": 0, "high": 0,
+    })
+    square["blocks"] = [np.array([b for b in range(6) if b != own], np.int32) for own in square["block"]]
+    found = blocks.matches_in_square(3)(square.sample(frac=1, random_state=1))
+    units = np.floor(np.minimum(weights @ weights.T, 1) * 1e6 + 0.5)
+    for x in range(60):
+        others = sorted((-units[x, y], y) for y in range(60) if y // 10 != x // 10)[:3]
+        mine = found[found["x"] == x]
+        assert {(-round(s * 1e6), y) for s, y in zip(mine["score"], mine["y"])} == set(others)
+
+
+def test_shuffle_files_of_a_round_are_removed(spark, tmp_path):
+    def held():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {files.apply(i).getName() for i in range(files.size())}
+
+    before = held()
+    with shuffle_files_removed(spark):
+        spark.range(1000).repartition(5, "id").write.parquet(str(tmp_path / "rows"))
+    assert not {name for name in held() - before if name.startswith("shuffle")}
