@@ -102,6 +102,22 @@ def matches_within(top_k: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
     return find
 
 
+def _best_reached(dots: np.ndarray, x: np.ndarray, y: np.ndarray, bound: np.ndarray, top_k: int) -> pd.DataFrame:
+    """As ``_best`` of the rounded scores. Where few scores reach the bound of their row, only these are rounded and sorted."""
+    near = dots >= ((np.maximum(bound, 1) - 0.51) / _MILLION)[:, None]
+    if np.count_nonzero(near) > 2 * top_k * len(x):
+        return _best(_units(dots), x, y, bound, top_k)
+    row, column = np.nonzero(near)
+    score = _units(dots[row, column])
+    hit = score >= np.maximum(bound, 1)[row]
+    row, column, score = row[hit], column[hit], score[hit]
+    order = np.lexsort((column, -score, row))
+    row, column, score = row[order], column[order], score[order]
+    starts = np.flatnonzero(np.r_[True, row[1:] != row[:-1]]) if len(row) else np.zeros(0, np.int64)
+    first = np.arange(len(row)) - np.repeat(starts, np.diff(np.r_[starts, len(row)])) < top_k
+    return pd.DataFrame({"x": x[row[first]], "y": y[column[first]], "score": score[first] / _MILLION})
+
+
 def _raise_bounds(found: pd.DataFrame, block: pd.DataFrame, new: pd.DataFrame, top_k: int) -> pd.DataFrame:
     """The ``top_k`` best matches of the vectors of a block so far; who has as many looks for no worse ones."""
     best = pd.concat([found, new], ignore_index=True) if len(found) else new
@@ -132,10 +148,14 @@ def matches_in_square(top_k: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
                 if not len(a) or not len(b):
                     continue
                 left, right = members[low].iloc[a], members[high].iloc[b]
-                units = _units(_dot_products(left, right))
+                dots = _dot_products(left, right)
                 x, y = left["v"].to_numpy(), right["v"].to_numpy()
-                found[low] = _raise_bounds(found[low], members[low], _best(units, x, y, _bound_units(left), top_k), top_k)
-                found[high] = _raise_bounds(found[high], members[high], _best(units.T, y, x, _bound_units(right), top_k), top_k)
+                for block, new in (
+                    (low, _best_reached(dots, x, y, _bound_units(left), top_k)),
+                    (high, _best_reached(dots.T, y, x, _bound_units(right), top_k)),
+                ):
+                    if len(new):
+                        found[block] = _raise_bounds(found[block], members[block], new, top_k)
         return pd.concat([nothing, *found.values()])
 
     return find

@@ -227,6 +227,17 @@ def test_at_most_k_matches_leave_a_square():
         assert {(-round(s * 1e6), y) for s, y in zip(mine["score"], mine["y"])} == set(others)
 
 
+@pytest.mark.parametrize("bound", [0, 400_000, 900_000])
+def test_few_scores_that_reach_the_bound_are_the_best_ones(bound):
+    rng = np.random.default_rng(6)
+    dots = np.round(rng.random((40, 50)), 2) * (rng.random((40, 50)) < 0.5)
+    x, y, bounds = np.arange(40), np.arange(100, 150), np.full(40, bound) + np.arange(40) * 1000
+    for top_k in (2, 30):
+        want = blocks._best(blocks._units(dots), x, y, bounds, top_k)
+        got = blocks._best_reached(dots, x, y, bounds, top_k)
+        assert set(got.itertuples(index=False, name=None)) == set(want.itertuples(index=False, name=None))
+
+
 def test_shuffle_files_of_a_round_are_removed(spark, tmp_path):
     def held():
         files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
