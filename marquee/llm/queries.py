@@ -78,7 +78,7 @@ def op2(spark, root):
 
 @query("op6_suffix_tree_scores")
 def op6(spark, root):
-    return suffix_tree.score_texts(table(spark, root, "documents"))
+    return suffix_tree.score_texts(table(spark, root, "documents"), across_words=True)
 
 
 @query("op10_adaptive_scan")

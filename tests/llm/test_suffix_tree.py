@@ -1,7 +1,8 @@
 import math
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from marquee.llm import suffix_tree
@@ -79,3 +80,83 @@ def test_nothing_to_learn_from(spark):
 
 def test_empty_table(spark):
     assert suffix_tree.score_texts(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def text_model(lines, depth, least_share, least_gain, prior):
+    """A function from texts to log10 probabilities, by counting every context of every text in a dictionary."""
+    counts = defaultdict(Counter)
+    for line in lines:
+        body = b"\n" * depth + line
+        for i in range(depth, len(body)):
+            for k in range(depth + 1):
+                counts[body[i - k:i]][body[i]] += 1
+    total = {c: sum(row.values()) for c, row in counts.items()}
+    everything = total.get(b"", 0)
+    kept = {b""}
+    for c in counts:
+        if c and total[c] >= least_share * everything:
+            gain = sum(n * math.log(n / total[c] * total[c[1:]] / counts[c[1:]][a]) for a, n in counts[c].items())
+            if gain >= least_gain:
+                kept |= {c[i:] for i in range(len(c))}
+
+    def chance(c, a):
+        if not c:
+            return (counts[b""][a] + 1) / (everything + 256)
+        return (counts[c][a] + prior * chance(c[1:], a)) / (total[c] + prior)
+
+    def score(line):
+        body = b"\n" * depth + line
+        longest = lambda i: next(body[i - k:i] for k in range(depth, -1, -1) if body[i - k:i] in kept)
+        return sum(math.log10(chance(longest(i), body[i])) for i in range(depth, len(body)))
+
+    return score, kept
+
+
+def test_texts_equal_brute_force_across_words(spark):
+    """Contexts hold the ends of the words before; three tasks find them together."""
+    rows = [*corpus(spark), (900, None), (901, ""), (902, "Ünseen \x1c wörds"), (None, "the The"), (900, None), (905, "w" * 5000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    lines = [suffix_tree.line_of(text) for _, text in rows]
+    for depth in (3, 6):
+        settings = {**SETTINGS, "depth": depth}
+        score, kept = text_model(
+            [line for (key, _), line in zip(rows, lines, strict=True) if not held(key)],
+            *(settings[k] for k in ("depth", "least_share", "least_gain", "prior")),
+        )
+        assert any(b" " in c[1:-1] for c in kept)
+        got = suffix_tree.score_texts(docs, across_words=True, frequent=50, **settings).collect()
+        base, _, _ = brute(rows, SETTINGS)
+        same([tuple(r) for r in got], [(*row[:6], score(line)) for row, line in zip(base, lines, strict=True)])
+
+
+def test_chunks_and_pieces_change_nothing():
+    lines = [suffix_tree.line_of(text) for text in ("some words", "", "w" * 100, None, "The end")]
+    whole, = suffix_tree.text_symbols(lines, 3)
+    small = list(suffix_tree.text_symbols(lines, 3, most=7))
+    assert len(small) > 10
+    for name in ("context", "symbol", "text"):
+        assert (np.concatenate([getattr(one, name) for one in small]) == getattr(whole, name)).all()
+    assert bytes(whole.symbol.astype(np.uint8).tolist()) == b"".join(lines)
+
+
+def test_order_of_words_counts(spark):
+    rows = [(i, "alpha beta gamma delta " * 20) for i in range(40)] + [(900, "alpha beta gamma delta"), (901, "delta alpha gamma beta")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r for r in suffix_tree.score_texts(docs, across_words=True).filter("doc_id >= 900").collect()}
+    assert got[900].base_score == pytest.approx(got[901].base_score)
+    assert got[900].score > got[901].score + 1
+
+
+def test_across_words_without_texts_to_learn_from(spark):
+    rows = [(i, "some words") for i in range(60) if held(i)]
+    got = suffix_tree.score_texts(spark.createDataFrame(rows, "doc_id long, text string"), across_words=True).collect()
+    assert len(got) == len(rows) and got[0].score == pytest.approx(-math.log10(256) * (5 + 6 + 1))
+    assert suffix_tree.score_texts(spark.createDataFrame([], "doc_id long, text string"), across_words=True).count() == 0
+
+
+def test_places_of_keys():
+    keys = np.unique(np.random.default_rng(1).integers(0, 1 << 59, 5000))
+    places = suffix_tree.Places(keys)
+    assert (places.find(keys) == np.arange(len(keys))).all()
+    others = np.setdiff1d(np.arange(3000), keys)
+    assert (places.find(others) == -1).all() and len(suffix_tree.Places(keys[:0]).find(others)) == len(others)
