@@ -53,6 +53,7 @@ FREQUENT = 100_000
 HELD_WORDS = 300_000  # distinct words that a task holds before it hands their counts on
 CHUNK_SYMBOLS = 1 << 21  # symbols that a task looks at together
 CHUNK_SHARE = 0.25
+LOOKED_UP = 1 << 16  # symbols whose contexts are looked up together, so that what is made on the way stays in the caches
 HELD_GRAMS = 1_000_000  # distinct contexts that a task holds before it hands their counts on
 
 SPACE, END = 0x20, 0x0A
@@ -279,9 +280,14 @@ def text_context_counts(docs: DataFrame, key: str, depth: int = DEPTH, least_sha
 
     def count(chunk: Symbols):
         contexts = shared.value
-        found = np.r_[0, contexts.keys][contexts.longest(chunk.context, depth)]
-        grams = found >> 56 << 56 | (found & (1 << 56) - 1) << 8 | chunk.symbol
-        return np.unique(grams, return_counts=True)
+        nearest_first = np.sort(chunk.context.astype(np.uint64).byteswap() | chunk.symbol.astype(np.uint64))
+        first = np.flatnonzero(np.r_[True, nearest_first[1:] != nearest_first[:-1]])
+        n, grams = np.diff(np.r_[first, len(nearest_first)]), nearest_first[first]
+        context, symbol = (grams & ~np.uint64(255)).byteswap().astype(np.int64), (grams & np.uint64(255)).astype(np.int64)
+        places = range(0, len(grams), LOOKED_UP)
+        longest = np.concatenate([contexts.longest(context[at:at + LOOKED_UP], depth) for at in places])
+        found = np.r_[0, contexts.keys][longest]
+        return _summed([found >> 56 << 56 | (found & (1 << 56) - 1) << 8 | symbol], [n])
 
     return _with_shorter(_counted_in_tasks(learned, depth, count))
 
@@ -292,7 +298,7 @@ class Places:
     def __init__(self, keys: np.ndarray):
         bits = max(4, (4 * len(keys)).bit_length())
         self._shift, self._last = np.uint64(64 - bits), (1 << bits) - 1
-        self._slots, self._places = np.full(1 << bits, -1, np.int64), np.zeros(1 << bits, np.int32)
+        self._slots, self._places = np.full(1 << bits, -1, np.int64), np.full(1 << bits, -1, np.int32)
         open_ = np.arange(len(keys))
         at = self._first_slot(keys)
         while len(open_):
@@ -303,15 +309,16 @@ class Places:
             open_, at = open_[~placed], at[~placed] + 1 & self._last
 
     def _first_slot(self, keys: np.ndarray) -> np.ndarray:
-        return (keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> self._shift).astype(np.int64)
+        return (keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> self._shift).view(np.int64)
 
     def find(self, wanted: np.ndarray) -> np.ndarray:
         """Places of the wanted keys, -1 for those that are not there."""
         at = self._first_slot(wanted)
-        there = self._slots[at]
-        found = np.where(there == wanted, self._places[at], -1)
+        there = self._slots.take(at)
+        found = self._places.take(at)  # -1 in empty slots
         open_ = np.flatnonzero((there != wanted) & (there >= 0))
         at = at[open_]
+        found[open_] = -1
         while len(open_):
             at = at + 1 & self._last
             there = self._slots[at]
@@ -333,13 +340,26 @@ class Contexts:
     def _places(self) -> Places:
         return Places(self.keys)
 
+    @functools.cached_property
+    def _of_two(self) -> tuple[np.ndarray, np.ndarray]:
+        """For every two bytes the longest context at their end, and those that are contexts whole."""
+        best = self._extended(np.arange(1 << 16), np.zeros(1 << 16, np.int64), np.arange(1 << 16), 1, 2)
+        return best, np.r_[0, self.keys][best] >> 56 == 2
+
     def longest(self, context: np.ndarray, depth: int) -> np.ndarray:
         """The longest of these contexts at the end of each given one."""
-        best, open_ = np.zeros(len(context), np.int64), np.arange(len(context))
-        for k in range(1, depth + 1):
-            at = self._places.find(context[open_] & (1 << 8 * k) - 1 | k << 56)
-            open_ = open_[at >= 0]
-            best[open_] = at[at >= 0] + 1
+        if depth < 2:
+            return self._extended(context, np.zeros(len(context), np.int64), np.arange(len(context)), 1, depth)
+        best, whole = self._of_two
+        last = context & 0xFFFF
+        return self._extended(context, best[last], np.flatnonzero(whole[last]), 3, depth)
+
+    def _extended(self, context: np.ndarray, best: np.ndarray, open_: np.ndarray, least: int, most: int) -> np.ndarray:
+        for k in range(least, most + 1):
+            at = self._places.find(context.take(open_) & (1 << 8 * k) - 1 | k << 56)
+            there = np.flatnonzero(at >= 0)
+            open_ = open_.take(there)
+            best[open_] = at.take(there) + 1
         return best
 
 
@@ -359,15 +379,18 @@ class SuffixTree:
         return Places(self.pairs)
 
     def _symbol_scores(self, state: np.ndarray, symbol: np.ndarray) -> np.ndarray:
-        """Natural logarithms of the symbols' probabilities after the states."""
-        state, score, open_ = state.copy(), np.zeros(len(state)), np.arange(len(state))
+        """Natural logarithms of the symbols' probabilities after the states, which are changed."""
+        at = self._pairs.find(state << 8 | symbol)
+        score, open_ = self.scores[at], np.flatnonzero(at < 0)
+        score[open_] = 0.0
         while len(open_):
+            shorter = state[open_]
+            score[open_] += self.backoff[shorter]
+            state[open_] = self.parent[shorter]
             at = self._pairs.find(state[open_] << 8 | symbol[open_])
             hit = at >= 0
             score[open_[hit]] += self.scores[at[hit]]
             open_ = open_[~hit]
-            score[open_] += self.backoff[state[open_]]
-            state[open_] = self.parent[state[open_]]
         return score
 
     def word_scores(self, words: list[bytes]) -> np.ndarray:
@@ -382,7 +405,7 @@ class SuffixTree:
     def text_scores(self, lines: list[bytes]) -> np.ndarray:
         """log10 probability of each text, given as all its symbols."""
         total = np.zeros(len(lines))
-        for chunk in text_symbols(lines, self.depth):
+        for chunk in text_symbols(lines, self.depth, LOOKED_UP):
             state = self.contexts.longest(chunk.context, self.depth)
             total += np.bincount(chunk.text, self._symbol_scores(state, chunk.symbol), len(lines))
         return total / math.log(10)
