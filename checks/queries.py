@@ -757,10 +757,14 @@ def ingested(spark, root) -> str:
     """Output root of one ingestion run in which every event is delivered twice, in shuffled order."""
 
     def build():
-        sent = events.encode(S.interactions(spark, root))
-        files = _message_files(spark, root, "messages", sent.unionByName(sent).orderBy(F.xxhash64("value")))
+        # One shuffle deals and mixes both copies; the files of a batch are as many as all cores write at once.
+        per_batch = max(3, -(-spark.sparkContext.defaultParallelism // 2))
+        sent = events.encode(S.interactions(spark, root)).select("value", F.explode(F.array(F.lit(1), F.lit(2))).alias("copy"))
+        mixed = F.xxhash64("value", "copy")
+        files = fresh_path(spark, "messages")
+        sent.repartition(2 * per_batch, mixed).sortWithinPartitions(mixed).select("value").write.text(files)
         out = fresh_path(spark, "ingest")
-        messages = I.read_files(spark, files, files_per_batch=3)
+        messages = I.read_files(spark, files, files_per_batch=per_batch)
         I.finish(I.ingest(spark, messages, S.items(spark, root), out, trigger={"availableNow": True}))
         return out
 

@@ -23,7 +23,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from marquee.operators import features
 from marquee.schema import STORED_FACTS
-from marquee.session import materialize, remove, scratch
+from marquee.session import adaptive, materialize, remove, scratch
 from marquee.sources.archive import write_archive
 from marquee.sources.events import decode, quarantined, usable
 from marquee.streaming import trending
@@ -119,9 +119,16 @@ def _archive_batch(paths: Paths):
 
 def _write_batch(items: DataFrame, paths: Paths, compact_every: int | None = None):
     """Facts and feature summaries of a batch. Every ``compact_every`` batches they are merged right there, so no reader
-    meets more than about twice as many folders."""
+    meets more than about twice as many folders.
+
+    A stateful stream turns adaptive execution off in its session. That is for the plan of the stream, which is made
+    before; what is written here uses it, so days are gathered in few files and small steps run few tasks."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        with adaptive(batch.sparkSession):
+            write_all(batch, batch_id)
+
+    def write_all(batch: DataFrame, batch_id: int) -> None:
         spark, target = batch.sparkSession, f"{paths.facts}/batch_id={batch_id}"
         (
             batch.withColumns({"ingestion_ts": F.localtimestamp(), "event_date": F.to_date("event_ts")})

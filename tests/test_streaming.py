@@ -103,6 +103,20 @@ def test_a_repeated_batch_changes_nothing(spark, root, facts, items):
     assert I.read_facts(spark, root).count() == 600
 
 
+def test_a_batch_gathers_days_where_the_stream_is_not_adaptive(spark, facts, items, tmp_path):
+    name, paths = "spark.sql.adaptive.enabled", I.Paths(str(tmp_path))
+    batch = facts.withColumn("event_ts", F.col("event_ts").cast("timestamp")).repartition(4)
+    spark.conf.set(name, "false")  # as in the session of a stateful stream
+    try:
+        I._write_batch(items, paths)(batch, 0)
+        assert spark.conf.get(name) == "false"
+    finally:
+        spark.conf.set(name, "true")
+    days = list(Path(paths.facts, "batch_id=0").glob("event_date=*"))
+    assert len(days) == 3 and all(len(list(day.glob("*.parquet"))) == 1 for day in days)
+    assert_features(spark, str(tmp_path), facts, items)
+
+
 def test_facts_carry_the_time_of_their_load(spark, root):
     facts = I.read_facts(spark, root)
     assert facts.filter("ingestion_ts IS NULL").count() == 0 and facts.schema["ingestion_ts"].dataType.simpleString() == "timestamp_ntz"
