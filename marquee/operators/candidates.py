@@ -17,6 +17,7 @@ SESSION_LENGTH = 5
 SESSION_DECAY = (1.0, 0.7, 0.7 * 0.7, 0.7 * 0.7 * 0.7, 0.7 * 0.7 * 0.7 * 0.7)
 RECENT_FOR_RANKING = 10
 MOST_REGIONS = 10_000
+MOST_HOT = 1_000
 
 FACTS = ("title", "genres", "release_year", "maturity_rating", "available_regions", "is_active")
 
@@ -70,18 +71,29 @@ def _neighbor_lists(neighbors: DataFrame, facts: DataFrame) -> DataFrame:
 def _from_recent(recent: DataFrame, neighbors: DataFrame, facts: DataFrame) -> DataFrame:
     """Session candidates and the neighbours of recent titles, in one lookup by title.
 
-    The lookup side has one row per title, so a title that is recent for very many users is a plain
-    skewed join, which adaptive execution splits.
+    The lookup has one row per title that is recent for somebody. A title that holds more than one in ``MOST_HOT`` of all
+    recent rows is hot: there are fewer than that many, and their lists go to every task, so the rows stay where they are,
+    by user. The other titles meet their rows in a join in which no title is large.
     """
-    known = facts.select("item_id", "facts")
-    lookup = known.join(_neighbor_lists(neighbors, facts), "item_id", "full_outer")
+    counts = recent.groupBy("item_id").agg(F.count("*").alias("n"))
+    is_hot = F.col("n") * MOST_HOT > counts.agg(F.sum("n")).scalar()
+    asked = counts.select("item_id", is_hot.alias("hot"))
+    known = facts.select("item_id", "facts").join(asked.select("item_id"), "item_id", "left_semi")
+    sources = asked.select(F.col("item_id").alias("source_item_id"))
+    lists = _neighbor_lists(neighbors.join(sources, "source_item_id", "left_semi"), facts)
+    lookup = known.join(lists, "item_id", "full_outer").join(asked, "item_id")
+    hot_titles = F.broadcast(asked.filter("hot").select("item_id"))
     itself = F.struct(
         "item_id", F.lit("session").alias("source"), F.col("session_score").alias("score"), "facts"
     )
     rows = F.when(F.col("session_score").isNotNull(), F.array(itself)).otherwise(F.array())
-    return recent.join(lookup, "item_id").select(
-        "user_id", F.inline(F.concat(rows, F.coalesce("near", F.array())))
-    )
+
+    def unfolded(joined: DataFrame) -> DataFrame:
+        return joined.select("user_id", F.inline(F.concat(rows, F.coalesce("near", F.array()))))
+
+    of_hot = recent.join(F.broadcast(lookup.filter("hot")), "item_id")
+    of_others = recent.join(hot_titles, "item_id", "left_anti").join(lookup.filter("NOT hot"), "item_id")
+    return unfolded(of_hot).unionByName(unfolded(of_others))
 
 
 def _from_trending(users: DataFrame, trending: DataFrame, facts: DataFrame) -> DataFrame:

@@ -130,3 +130,33 @@ def test_diversity_comes_before_the_limit(spark):
 def test_limit_range(spark, limit):
     with pytest.raises(ValueError, match="limit"):
         ranking.best(spark.createDataFrame([], "user_id string, item_id string, blend double"), limit)
+
+
+def _recents(spark, tables, rows):
+    recent = spark.createDataFrame(rows, "user_id string, item_id string, position int, session_score double")
+    return candidates._from_recent(recent, tables.neighbors, candidates.item_facts(tables.items))
+
+
+def test_a_hot_title_leaves_its_rows_where_they_are(spark, tables):
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in conf}
+    rows = [(f"u{i}", "m0", 1, 1.0) for i in range(200)]
+    try:
+        for name, value in conf.items():
+            spark.conf.set(name, value)
+        found = _recents(spark, tables, rows).withColumn("part", F.spark_partition_id()).collect()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert len(found) == 800 and len({r["part"] for r in found}) > 1
+
+
+@pytest.mark.parametrize("most_hot", [1, 3, 1000])
+def test_hot_and_other_titles_give_the_same_candidates(spark, tables, monkeypatch, most_hot):
+    monkeypatch.setattr(candidates, "MOST_HOT", most_hot)
+    rows = [(f"u{i}", "m0", 1, 1.0) for i in range(5)] + [("u0", "m3", 2, None), ("u1", "m4", 2, 0.7), ("u2", "left", 2, 0.7)]
+    rows += [("u3", None, 2, 0.7)]
+    found = sorted((r["user_id"], r["item_id"], r["source"], r["score"], r["facts"] is None) for r in _recents(spark, tables, rows).collect())
+    near = [("m0", "session", 1.0, False), ("m1", "collaborative", 0.5, False), ("gone", "collaborative", 0.4, True),
+            ("m2", "content", 0.0, False)]
+    assert found == sorted([(f"u{i}", *one) for i in range(5) for one in near] + [("u1", "m4", "session", 0.7, False)])
