@@ -9,6 +9,8 @@ import pyarrow as pa
 
 #: A title, a partner and the users they share.
 PARTNERS = "a bigint, b bigint, shared bigint"
+#: Such partners, or a class, a class that it shares large users with, and their number.
+CLASS_PARTNERS = f"{PARTNERS}, bin int, of_class boolean"
 _TITLE_BITS = 40
 
 
@@ -26,12 +28,13 @@ def _flat(table: pa.Table, name: str) -> np.ndarray:
     return values.astype(np.int64)
 
 
-def _counts(lists: pa.Table, names: np.ndarray, beside: str | None) -> tuple[np.ndarray, ...]:
-    """Place of the title in ``names``, partner and number of lists, sorted by title and partner, and what is beside it."""
+def _counts(lists: pa.Table, names: np.ndarray, beside: str | None, itself: bool = False) -> tuple[np.ndarray, ...]:
+    """Place of the title in ``names``, partner and number of lists, sorted by title and partner, and what is beside it.
+    ``itself`` keeps the title among its partners."""
     sizes = np.concatenate([np.zeros(0, np.int64), *[chunk.value_lengths().to_numpy() for chunk in lists["list"].chunks]])
     titles = np.repeat(np.searchsorted(names, _column(lists, "a")), sizes)
     partners = _flat(lists, "list")
-    other = np.flatnonzero(names[titles] != partners)
+    other = slice(None) if itself else np.flatnonzero(names[titles] != partners)
     keys = titles[other] << _TITLE_BITS | partners[other]
     if beside is None:
         keys.sort()
@@ -68,20 +71,27 @@ def first_partners(limit: int) -> Callable[[pa.Table], pa.Table]:
     return find
 
 
-def first_with_overlaps(limit: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
-    """From (a, list, class), where ``class`` holds the class of each partner or NULL, and (a, class, overlap): a pair's
-    count is increased by the overlap with the partner's class."""
-    def find(lists: pa.Table, overlaps: pa.Table) -> pa.Table:
-        names = np.unique(_column(lists, "a"))
-        title, partner, shared, of = _counts(lists, names, "class")
-        known = np.isin(_column(overlaps, "a"), names)
-        keys = np.searchsorted(names, _column(overlaps, "a")[known]) << _TITLE_BITS | _column(overlaps, "class")[known]
-        order = np.argsort(keys)
-        keys, more = keys[order], _column(overlaps, "overlap")[known][order]
-        if len(keys):
-            wanted = np.where(of < 0, -1, title << _TITLE_BITS | np.maximum(of, 0))
+def first_with_classes(limit: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """From (a, own, bin, list, class), where ``class`` holds the class of each partner or NULL and ``own`` that of the title,
+    and (a, bin, list) with the classes of large users: a pair's count is increased by the overlap of its classes, which is
+    how many lists of large users hold both. Of each class come the ``limit + 1`` first classes of each overlap."""
+    def find(lists: pa.Table, met: pa.Table) -> pa.Table:
+        classes = np.unique(_column(met, "a"))
+        of, partner, overlap, _ = _counts(met, classes, None, itself=True)
+        names, first = np.unique(_column(lists, "a"), return_index=True)
+        own = lists["own"].fill_null(-1).to_numpy().astype(np.int64)[first]
+        title, other, shared, others_class = _counts(lists, names, "class")
+        if len(of) and len(title):
+            keys = of << _TITLE_BITS | partner
+            place = np.minimum(np.searchsorted(classes, own), len(classes) - 1)
+            known = (classes[place] == own)[title] & (others_class >= 0)
+            wanted = np.where(known, place[title] << _TITLE_BITS | np.maximum(others_class, 0), -1)
             at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-            shared = shared + np.where(keys[at] == wanted, more[at], 0)
-        return _first(names, title, partner, shared, limit)
+            shared = shared + np.where(keys[at] == wanted, overlap[at], 0)
+        titles, of_class = _first(names, title, other, shared, limit), _first(classes, of, partner, overlap, limit + 1)
+        n, m = titles.num_rows, of_class.num_rows
+        return pa.concat_tables([titles, of_class]).append_column(
+            "bin", pa.array(np.full(n + m, (lists if lists.num_rows else met)["bin"][0].as_py(), np.int32))
+        ).append_column("of_class", pa.array(np.arange(n + m) >= n))
 
     return find

@@ -82,3 +82,33 @@ def test_no_pair_is_moved_or_stored(spark, tmp_path, monkeypatch):
     assert {tuple(row) for row in covisit.covisit_edges(df, top_k=2).collect()} == brute_force(visits, 2)
     pairs = sum(n * (n - 1) for n in [40] * 60)
     assert sum(rows.values()) < pairs / 4
+
+
+@pytest.mark.parametrize("hot_users", [4, 20_000])
+def test_rounds_of_large_users_equal_brute_force(spark, monkeypatch, hot_users):
+    """Several rounds, users whose classes are cut, classes whose titles are dealt to several bins, and hot titles."""
+    for name, value in {"HOT_USERS": hot_users, "LIST_TITLES": 6, "TASK_PAIRS": 300, "ROUND_PAIRS": 1500}.items():
+        monkeypatch.setattr(covisit, name, value)
+    visits = visits_with_large_users(9, 3)
+    visits += [(user, f"n{i:02d}") for user in ("big0", "big1") for i in range(30)] + [("u0", "n00"), ("u1", "n00"), ("u1", "n07")]
+    df = spark.createDataFrame(sorted(set(visits)), "user_id string, item_id string")
+    edges = covisit.covisit_edges(df, top_k=5, pair_limit=10)
+    assert {tuple(row) for row in edges.collect()} == brute_force(visits, 5)
+
+
+def test_no_pair_of_classes_is_stored(spark, monkeypatch):
+    """All users are large and hardly two titles have the same ones: what is written grows with the lists."""
+    rng = random.Random(12)
+    visits = [("u%d" % u, "m%d" % i) for u in range(60) for i in rng.sample(range(400), 40)]
+    df = spark.createDataFrame(visits, "user_id string, item_id string")
+    rows = {}
+    stored = covisit.materialize
+
+    def counted(table, name):
+        table = stored(table, name)
+        rows[name] = table.count()
+        return table
+
+    monkeypatch.setattr(covisit, "materialize", counted)
+    assert {tuple(row) for row in covisit.covisit_edges(df, top_k=2, pair_limit=20).collect()} == brute_force(visits, 2)
+    assert sum(rows.values()) < 60 * 40 * 39 / 4
