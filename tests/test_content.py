@@ -247,3 +247,48 @@ def test_shuffle_files_of_a_round_are_removed(spark, tmp_path):
     with shuffle_files_removed(spark):
         spark.range(1000).repartition(5, "id").write.parquet(str(tmp_path / "rows"))
     assert not {name for name in held() - before if name.startswith("shuffle")}
+
+
+def test_all_blocks_meet_where_the_index_saves_little(spark, monkeypatch):
+    """Texts of few words that most share: a sample of blocks tells that nearly all ask each other, so the others do not ask."""
+    monkeypatch.setattr(content, "MANY_BLOCKS", 2)
+    monkeypatch.setattr(content, "SAMPLE_SHARE", 1)
+    monkeypatch.setattr(content, "_asks", lambda *_: pytest.fail("all blocks ask the index"))
+    for name, value in {"SQUARE_POSTINGS": 100, "LEAST_SIDES": 2, "ROUND_SHARE": 1, "ROUND_POSTINGS": 1}.items():
+        monkeypatch.setattr(content, name, value)
+    rng = random.Random(11)
+    texts = {f"d{i:03d}": " ".join(rng.choices([f"word{w}" for w in range(14)], k=7)) for i in range(90)}
+    df = spark.createDataFrame(sorted(texts.items()), "item_id string, text string")
+    rows = content.content_neighbors(df, top_k=4, stop_words=(), block_vectors=10).collect()
+    assert {(r["source_item_id"], r["neighbor_item_id"], r["score"]) for r in rows} == brute_force(texts, 4)
+
+
+def test_blocks_hold_texts_of_one_language(spark, monkeypatch):
+    monkeypatch.setattr(content, "MANY_BLOCKS", 2)
+    monkeypatch.setattr(content, "TOPICS", 2)
+    rng = random.Random(3)
+    rows = []
+    for i in range(200):
+        first = 0 if i % 2 else 30
+        terms = [first, *rng.sample(range(first + 1, first + 30), 6)]
+        rows.append((i, terms, [0.6] + [0.32] * 6, [rng.randrange(10_000)]))
+    vectors = spark.createDataFrame(rows, "v long, terms array<long>, weights array<double>, heads array<long>")
+    cut, _ = content._cut_into_blocks(vectors, 20)
+    kinds = [r["kinds"] for r in cut.groupBy("block").agg(F.collect_set(F.col("v") % 2).alias("kinds")).collect()]
+    assert len(kinds) == 10 and sum(len(k) > 1 for k in kinds) <= 1
+
+
+def test_scores_that_single_precision_cannot_tell_apart():
+    """More vectors than a list holds, whose scores differ by less than single precision resolves near a bound."""
+    rng = np.random.default_rng(7)
+    weights = np.vstack([rng.random((1, 300)), np.tile(rng.random((1, 300)), (39, 1)) + rng.random((39, 300)) * 2e-6])
+    weights /= np.linalg.norm(weights, axis=1, keepdims=True)
+    square = pd.DataFrame({
+        "block": [0] + [1] * 39, "v": np.arange(40), "terms": [np.arange(300)] * 40, "weights": list(weights), "bound": 0.0,
+    })
+    square["blocks"] = [np.array([1 - own], np.int32) for own in square["block"]]
+    found = blocks.matches_in_square(3)(square)
+    units = np.floor(np.minimum(weights @ weights.T, 1) * 1e6 + 0.5)
+    mine = found[found["x"] == 0]
+    assert [(-round(s * 1e6), y) for s, y in zip(mine["score"], mine["y"])] == sorted((-units[0, y], y) for y in range(1, 40))[:3]
+    assert all(found[found["x"] == y]["score"].round(6).tolist() == [units[0, y] / 1e6] for y in range(1, 40))
